@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from strata.functions.checks import enforce_varchar
 from strata.session import replace_path
-from strata.sources.datasets import XML_ROOT_TAG, XML_ROW_TAG, check_format
+from strata.sources.datasets import TEXT_TIME_OPTIONS, XML_ROOT_TAG, XML_ROW_TAG, check_format
 
 # Bounds the rows per part file so that a multi-line (hence unsplittable) re-read of an
 # export still runs one task per modest file.
@@ -109,13 +109,15 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str =
     """
     f = check_format(fmt)
     out = enforce_varchar(df, varchar_limits or {})
-    if f in ("csv", "json", "xml"):
-        out = printable(out) if f == "csv" else out
+    if f == "csv":
+        out = printable(out)
     writer = out.write.format(f)
     if f == "csv":
         writer = writer.options(**csv_write_options(max_records_per_file=max_records_per_file))
     elif max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+    if f in ("json", "xml"):
+        writer = writer.options(**TEXT_TIME_OPTIONS)
     if f == "xml":
         writer = writer.option("rowTag", XML_ROW_TAG).option("rootTag", XML_ROOT_TAG)
     if partition_by:

@@ -18,6 +18,12 @@ SCHEMA_NEEDED = ("json", "csv", "xml")
 XML_ROW_TAG = "row"
 XML_ROOT_TAG = "rows"
 
+# Text formats print timestamps with microseconds (Spark's default keeps milliseconds).
+TEXT_TIME_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
 
 def check_format(fmt: str) -> str:
     f = fmt.lower()
@@ -38,6 +44,9 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet",
         reader = reader.schema(schema)
     if f == "csv":
         reader = reader.options(**csv_read_options())
+    elif f == "json":
+        reader = reader.options(**TEXT_TIME_OPTIONS)
     elif f == "xml":
-        reader = reader.option("rowTag", XML_ROW_TAG)
+        reader = (reader.options(**TEXT_TIME_OPTIONS).option("rowTag", XML_ROW_TAG)
+                  .option("ignoreSurroundingSpaces", "false"))
     return reader.format(f).load(path)
