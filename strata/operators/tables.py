@@ -89,3 +89,28 @@ def full_refresh_load(spark: SparkSession, table: str, source: DataFrame,
         return rows
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {stage}")
+
+
+# --- the same loads against a JDBC table ---
+# Not exercised by the tests here: no database server may run in this environment.
+
+def append_load_jdbc(source: DataFrame, url: str, table: str,
+                     properties: dict[str, str] | None = None, num_partitions: int | None = None) -> None:
+    """Append ``source`` to JDBC ``table`` (T5); ``num_partitions`` caps parallel connections.
+
+    Each task commits its own slice, so unlike a catalog-table append a failed job can
+    leave the slices of finished tasks behind.
+    """
+    writer = source.write.mode("append")
+    if num_partitions:
+        writer = writer.option("numPartitions", str(num_partitions))
+    writer.jdbc(url, table, properties=dict(properties or {}))
+
+
+def clear_table_jdbc(spark: SparkSession, url: str, table: str,
+                     properties: dict[str, str] | None = None) -> None:
+    """Remove every row of JDBC ``table``, keeping its definition (T2): an empty overwrite
+    with ``truncate`` issues ``TRUNCATE TABLE`` instead of drop-and-create."""
+    empty = spark.read.jdbc(url, table, properties=dict(properties or {})).where(F.lit(False))
+    empty.write.mode("overwrite").option("truncate", "true").jdbc(url, table,
+                                                                  properties=dict(properties or {}))

@@ -125,3 +125,17 @@ def test_movie_analytics_hot_customer_against_brute_force(spark):
 def test_movie_analytics_single_shuffle(spark):
     plan = movie_analytics(*_inputs(spark))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_user_purchase_zone_independent(spark, tmp_path):
+    from strata.operators import export_csv
+    from strata.sources import read_csv_typed
+
+    row = ("1", "A", "d", 1, dt.datetime(2010, 3, 28, 1, 30), Decimal("1.500"), 7, "UK")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/London")  # 01:30 is in a DST gap
+        path = export_csv(spark.createDataFrame([row], USER_PURCHASE), str(tmp_path / "z"))
+        assert tuple(user_purchase(read_csv_typed(spark, path)).first()) == row
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
