@@ -16,8 +16,10 @@ def varchar(col: Column | str, limit: int, name: str | None = None) -> Column:
     """
     c = F.col(col) if isinstance(col, str) else col
     label = name or (col if isinstance(col, str) else "value")
+    # octet_length is O(1) and bytes <= limit implies characters <= limit, so the
+    # character count is only taken for values that might be too long.
     return (
-        F.when(c.isNull() | (F.char_length(c) <= limit), c)
+        F.when(c.isNull() | (F.octet_length(c) <= limit) | (F.char_length(c) <= limit), c)
         .when(F.char_length(F.rtrim(c)) <= limit, F.substring(c, 1, limit))
         .otherwise(F.raise_error(F.concat(
             F.lit(f"value too long for {label} VARCHAR({limit}): "), F.substring(c, 1, 40))))

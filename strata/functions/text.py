@@ -22,7 +22,8 @@ def tokens(text: Column | str) -> Column:
     """Lower-cased word tokens of ``text``; NULL text gives an empty array."""
     c = F.col(text) if isinstance(text, str) else text
     parts = F.split(F.lower(F.coalesce(c, F.lit(""))), TOKEN_SEPARATOR)
-    return F.filter(parts, lambda t: F.length(t) > 0)
+    # array_remove (unlike a lambda filter) keeps the stage in whole-stage codegen.
+    return F.array_remove(parts, "")
 
 
 @lru_cache(maxsize=4)

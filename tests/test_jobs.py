@@ -79,3 +79,16 @@ def test_bronze_to_gold_missing_landing(spark, tmp_path):
     paths = FlowPaths(**{**paths.__dict__, "landing": str(tmp_path / "missing")})
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         bronze_to_gold(spark, paths)
+
+
+def test_cli_parse():
+    from strata.__main__ import parse
+
+    assert parse(["up", "in", "out"]) == ("up", {"in_csv": "in", "out": "out"})
+    assert parse(["crm", "a", "b", "orc", "--words", "good,great"]) == (
+        "crm", {"in_csv": "a", "out": "b", "fmt": "orc", "positive_words": ["good", "great"]})
+    assert parse(["show", "s", "t", "parquet", "5", "--order-by", "event_id"])[1]["order_by"] == ["event_id"]
+    with pytest.raises(SystemExit):
+        parse(["ma", "only_one"])
+    with pytest.raises(SystemExit):
+        parse(["nope"])
