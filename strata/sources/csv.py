@@ -5,8 +5,12 @@
 * an unquoted empty field is NULL, a quoted ``""`` is an empty string;
 * a quoted field may hold the delimiter, doubled quotes and newlines.
 
-Multi-line parsing makes a file unsplittable, so read parallelism comes from the number
-of part files; writers in :mod:`strata.operators.sinks` bound the rows per file.
+Multi-line parsing makes a file unsplittable.  ``multi_line="auto"`` (the default) first
+finds, with one parallel pass over the raw lines, the files in which some quoted field spans
+a line break, reads only those in multi-line mode and splits every other file across tasks.
+So one huge landing file without embedded newlines is still read by many tasks.  Writers in
+:mod:`strata.operators.sinks` bound the rows per file, so even multi-line re-reads of their
+output run one task per modest file.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.checks import enforce_varchar
@@ -43,10 +48,31 @@ def csv_read_options(*, header: bool = True, mode: str = "FAILFAST", multi_line:
     return opts
 
 
+def files_with_multiline_fields(spark: SparkSession, path: str | list[str],
+                                quote: str = '"') -> tuple[list[str], list[str]]:
+    """Split the files under ``path`` into (line-safe files, files needing multi-line mode).
+
+    With ``quote`` doubled as its own escape, a quoted field spans a line break exactly when
+    the line it opens on holds an odd number of quote characters.  The test runs on the raw
+    lines in parallel and returns only file names (metadata-sized) to the driver.
+    """
+    lines = spark.read.text(path)
+    everything = sorted(lines.inputFiles())
+    odd = (lines.where(((F.length("value") - F.length(F.translate("value", quote, ""))) % 2) == 1)
+           .select(F.input_file_name().alias("file")).distinct())
+    flagged = {r.file for r in odd.collect()}
+    multi = [f for f in everything if f in flagged]
+    return [f for f in everything if f not in flagged], multi
+
+
 def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructType = USER_PURCHASE,
-                   *, varchar_limits: Mapping[str, int] | None = None, **options) -> DataFrame:
+                   *, varchar_limits: Mapping[str, int] | None = None,
+                   multi_line: bool | str = "auto", **options) -> DataFrame:
     """Read header CSV at ``path`` as ``schema``.
 
+    ``multi_line``: ``True`` reads every file whole (one task per file), ``False`` splits
+    files by line and fails on a field with a line break, ``"auto"`` decides per file (one
+    extra parallel pass over the raw text; see :func:`files_with_multiline_fields`).
     ``varchar_limits`` (defaults to the purchase table's when ``schema`` is the purchase
     schema) adds the VARCHAR length rule as a column expression.  The result is lazy and
     column pruning skips parsing of unread columns, so a bad field in a column nobody reads
@@ -54,7 +80,21 @@ def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructT
     """
     if varchar_limits is None and schema == USER_PURCHASE:
         varchar_limits = USER_PURCHASE_VARCHAR
-    df = spark.read.schema(schema).options(**csv_read_options(**options)).csv(path)
+
+    def load(paths, multi: bool) -> DataFrame:
+        opts = csv_read_options(multi_line=multi, **options)
+        return spark.read.schema(schema).options(**opts).csv(paths)
+
+    if multi_line == "auto":
+        line_safe, multi = files_with_multiline_fields(spark, path)
+        if not multi:
+            df = load(path, False)
+        elif not line_safe:
+            df = load(path, True)
+        else:
+            df = load(line_safe, False).unionByName(load(multi, True))
+    else:
+        df = load(path, bool(multi_line))
     return enforce_varchar(df, varchar_limits or {})
 
 

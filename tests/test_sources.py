@@ -81,3 +81,35 @@ def test_bronze_kinds(spark, write_text):
 def test_unknown_dataset_format(spark, tmp_path):
     with pytest.raises(ValueError):
         read_dataset(spark, str(tmp_path), "excel")
+
+
+def test_auto_multiline_per_file(spark, tmp_path):
+    from strata.sources.csv import files_with_multiline_fields
+
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + '1,A,"x, ""y""",1,2010-12-01 08:26:00,1.5,7,UK\n' * 3)
+    (folder / "b.csv").write_text(HEADER + '2,B,"two\nlines",2,2010-12-01 08:26:00,2.5,8,FR\n')
+    safe, multi = files_with_multiline_fields(spark, str(folder))
+    assert [f.rsplit("/", 1)[-1] for f in safe] == ["a.csv"]
+    assert [f.rsplit("/", 1)[-1] for f in multi] == ["b.csv"]
+    got = sorted(rows(read_csv_typed(spark, str(folder))))
+    assert [r[2] for r in got] == ['x, "y"'] * 3 + ["two\nlines"]
+    for mode in (True, "auto"):
+        assert read_csv_typed(spark, str(folder), multi_line=mode).count() == 4
+
+
+def test_line_mode_rejects_embedded_newline(spark, write_text):
+    path = write_text(HEADER + '2,B,"two\nlines",2,2010-12-01 08:26:00,2.5,8,FR\n')
+    with pytest.raises(Exception):
+        read_csv_typed(spark, path, multi_line=False).collect()
+
+
+def test_large_single_file_is_split(spark, tmp_path):
+    folder = tmp_path / "big"
+    folder.mkdir()
+    line = "1,A,d,1,2010-12-01 08:26:00,1.5,7,UK\n"
+    (folder / "one.csv").write_text(HEADER + line * 200_000)
+    df = read_csv_typed(spark, str(folder))
+    assert df.rdd.getNumPartitions() > 1
+    assert df.count() == 200_000
