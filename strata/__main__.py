@@ -16,7 +16,7 @@ import argparse
 import sys
 
 from strata.plans.jobs import JOBS, run
-from strata.session import build_session
+from strata.session import build_session, size_session
 
 POSITIONAL = {
     "test": [],
@@ -51,6 +51,9 @@ def parse(argv: list[str]) -> tuple[str, dict]:
 def main(argv: list[str] | None = None) -> int:
     job, params = parse(sys.argv[1:] if argv is None else argv)
     spark = build_session(f"strata-{job}")
+    inputs = [params[k] for k in ("in_csv", "silver_root") if k in params]
+    if inputs:
+        size_session(spark, inputs)
     result = run(spark, job, **params)
     if job == "test":
         result.show()

@@ -15,20 +15,31 @@ from pyspark.sql import functions as F
 from strata.schemas import USER_PURCHASE_DDL
 
 
+def quoted(table: str) -> str:
+    """``table`` (optionally ``db.table``) as a back-quoted identifier, so a name can never
+    be read as SQL."""
+    parts = table.split(".")
+    if not 1 <= len(parts) <= 3 or not all(p.strip() for p in parts):
+        raise ValueError(f"not a table name: {table!r}")
+    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+
+
 def create_if_absent(spark: SparkSession, table: str, ddl: str = USER_PURCHASE_DDL,
                      using: str = "parquet") -> None:
     """``CREATE TABLE IF NOT EXISTS`` (T1): a no-op when present, schema not compared."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {using}")
+    if not using.isidentifier():
+        raise ValueError(f"not a data source name: {using!r}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({ddl}) USING {using}")
 
 
 def clear_table(spark: SparkSession, table: str) -> None:
     """Remove every row, keep the table and its schema."""
-    spark.sql(f"TRUNCATE TABLE {table}")
+    spark.sql(f"TRUNCATE TABLE {quoted(table)}")
 
 
 def drop_if_exists(spark: SparkSession, table: str) -> None:
     """Idempotent drop."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -80,15 +91,15 @@ def full_refresh_load(spark: SparkSession, table: str, source: DataFrame,
     qual = (lambda n: f"{db}.{n}") if db else (lambda n: n)
     stage, old = qual(f"{base}__stage_{tag}"), qual(f"{base}__old_{tag}")
     try:
-        spark.sql(f"CREATE TABLE {stage} LIKE {table}")
+        spark.sql(f"CREATE TABLE {quoted(stage)} LIKE {quoted(table)}")
         source.write.insertInto(stage)
         rows = spark.table(stage).count()
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-        spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
-        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted(old)}")
+        spark.sql(f"ALTER TABLE {quoted(stage)} RENAME TO {quoted(table)}")
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(old)}")
         return rows
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(stage)}")
 
 
 # --- the same loads against a JDBC table ---

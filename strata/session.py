@@ -7,6 +7,7 @@ folder is used only when the setting is absent *and* the master is local (tests)
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -65,7 +66,7 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
 
 def scratch_database(spark: SparkSession) -> str:
     """A catalog database whose managed tables live under the shared root."""
-    location = f"{shared_root(spark)}/strata/warehouse"
+    location = f"{shared_root(spark)}/strata/warehouse".replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{location}'")
     return SCRATCH_DB
 
@@ -75,6 +76,40 @@ def scratch_table(spark: SparkSession, tag: str) -> str:
     return f"{scratch_database(spark)}.{tag}_{uuid.uuid4().hex[:12]}"
 
 
+# --- sizing ---
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total bytes under ``paths`` from file-system metadata (no data is read)."""
+    total = 0
+    for path in paths:
+        fs, hpath = _fs(spark, path)
+        for status in (fs.globStatus(hpath) or []):
+            total += int(fs.getContentSummary(status.getPath()).getLength())
+    return total
+
+
+def sized_conf(total_bytes: int, partition_bytes: int = 256 << 20,
+               min_partitions: int = 8, max_partitions: int = 200_000) -> dict[str, str]:
+    """Runtime settings that keep each scan split and each shuffle partition near
+    ``partition_bytes``: enough initial shuffle partitions for the input (AQE coalesces
+    small ones afterwards, but cannot split an aggregation's partitions)."""
+    n = min(max_partitions, max(min_partitions, math.ceil(total_bytes / partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
+def size_session(spark: SparkSession, paths: list[str], **kwargs) -> dict[str, str]:
+    """Apply :func:`sized_conf` for the inputs at ``paths`` to the running session."""
+    conf = sized_conf(input_bytes(spark, paths), **kwargs)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
+
+
 # --- file-system helpers (Hadoop FileSystem, so they work on any shared store) ---
 
 def _fs(spark: SparkSession, path: str):

@@ -92,3 +92,13 @@ def test_cli_parse():
         parse(["ma", "only_one"])
     with pytest.raises(SystemExit):
         parse(["nope"])
+
+
+def test_sized_conf(spark, tmp_path):
+    from strata.session import input_bytes, sized_conf
+
+    assert sized_conf(0)["spark.sql.shuffle.partitions"] == "8"
+    assert sized_conf(10 << 40)["spark.sql.shuffle.partitions"] == str((10 << 40) // (256 << 20))
+    assert sized_conf(10 << 50)["spark.sql.shuffle.partitions"] == "200000"
+    (tmp_path / "f").write_bytes(b"x" * 1000)
+    assert input_bytes(spark, [str(tmp_path)]) == 1000

@@ -86,3 +86,25 @@ def test_table_varchar_enforced_on_insert(spark):
     with pytest.raises(Exception):
         append_load(spark, t, spark.createDataFrame([long_row], USER_PURCHASE))
     assert spark.table(t).count() == 0
+
+
+def test_quoted_names():
+    from strata.operators.tables import quoted
+
+    assert quoted("db.t") == "`db`.`t`"
+    assert quoted("we`ird") == "`we``ird`"
+    for bad in ("", "a..b", "a.b.c.d"):
+        with pytest.raises(ValueError):
+            quoted(bad)
+
+
+def test_name_is_not_sql(spark):
+    keep = scratch_table(spark, "keep")
+    create_if_absent(spark, keep)
+    db = keep.split(".")[0]
+    for name in (f"{db}.x; DROP TABLE {keep}", f"x; DROP TABLE {db}"):
+        try:
+            drop_if_exists(spark, name)  # an odd identifier: dropped if it exists, or rejected
+        except Exception:  # noqa: BLE001
+            pass
+    assert table_exists(spark, keep)
