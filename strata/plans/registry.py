@@ -23,7 +23,7 @@ from strata.plans.jobs import (FlowPaths, GOLD_MOVIE_ANALYTICS, SILVER_REVIEW_LO
                                SILVER_USER_PURCHASE, bronze_to_gold, run, session_smoke,
                                show_table)
 from strata.schemas import MOVIE_ANALYTICS, REVIEW_LOGS, USER_PURCHASE
-from strata.session import scratch_path, scratch_table
+from strata.session import scratch_path, scratch_table, shared_root
 from strata.sources.csv import read_bronze_csv, read_csv_typed
 from strata.sources.datasets import read_dataset
 from strata.sources.tables import read_table
@@ -47,10 +47,17 @@ def _exported_purchases(spark: SparkSession, sf_dir: str, tag: str) -> str:
     return path
 
 
-def _loaded_table(spark: SparkSession, sf_dir: str, tag: str) -> str:
+def _purchases_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The purchase input computed once and saved to the shared checkpoint folder, for
+    queries that load it more than once (a reliable checkpoint, not a local one)."""
+    shared_root(spark)  # makes sure a checkpoint folder is set
+    return inputs.purchases(spark, sf_dir).checkpoint(eager=True)
+
+
+def _loaded_table(spark: SparkSession, sf_dir: str, tag: str, source: DataFrame | None = None) -> str:
     name = scratch_table(spark, tag)
     create_if_absent(spark, name)
-    append_load(spark, name, inputs.purchases(spark, sf_dir))
+    append_load(spark, name, source if source is not None else inputs.purchases(spark, sf_dir))
     return name
 
 
@@ -115,18 +122,20 @@ def q_create_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_clear_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = _loaded_table(spark, sf_dir, "clear")
+    source = _purchases_once(spark, sf_dir)
+    name = _loaded_table(spark, sf_dir, "clear", source)
     clear_table(spark, name)
-    append_load(spark, name, inputs.purchases(spark, sf_dir))
+    append_load(spark, name, source)
     return read_table(spark, name)
 
 
 def q_drop_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = _loaded_table(spark, sf_dir, "drop")
+    source = _purchases_once(spark, sf_dir)
+    name = _loaded_table(spark, sf_dir, "drop", source)
     drop_if_exists(spark, name)
     drop_if_exists(spark, name)
     create_if_absent(spark, name)
-    append_load(spark, name, inputs.purchases(spark, sf_dir))
+    append_load(spark, name, source)
     return read_table(spark, name)
 
 
@@ -145,8 +154,9 @@ def q_row_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = _loaded_table(spark, sf_dir, "append")
-    append_load(spark, name, inputs.purchases(spark, sf_dir))
+    source = _purchases_once(spark, sf_dir)
+    name = _loaded_table(spark, sf_dir, "append", source)
+    append_load(spark, name, source)
     return read_table(spark, name)
 
 
