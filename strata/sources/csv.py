@@ -5,9 +5,9 @@
 * an unquoted empty field is NULL, a quoted ``""`` is an empty string;
 * a quoted field may hold the delimiter, doubled quotes and newlines.
 
-Multi-line parsing makes a file unsplittable.  ``multi_line="auto"`` (the default) first
-finds, with one parallel pass over the raw lines, the files in which some quoted field spans
-a line break, reads only those in multi-line mode and splits every other file across tasks.
+Multi-line parsing makes a file unsplittable.  ``multi_line="auto"`` (the default) looks
+at the files too big for one split, finds with one parallel pass over their raw lines those
+in which some quoted field spans a line break, and splits every other big file across tasks.
 So one huge landing file without embedded newlines is still read by many tasks.  Writers in
 :mod:`strata.operators.sinks` bound the rows per file, so even multi-line re-reads of their
 output run one task per modest file.
@@ -16,6 +16,7 @@ output run one task per modest file.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,32 @@ def csv_read_options(*, header: bool = True, mode: str = "FAILFAST", multi_line:
     return opts
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def _bytes(text: str) -> int:
+    t = str(text).strip().lower()
+    digits = t.rstrip("abcdefghijklmnopqrstuvwxyz")
+    return int(digits) * _UNITS[t[len(digits):]]
+
+
+def max_split_bytes(spark: SparkSession, total_bytes: int) -> int:
+    """The most bytes Spark puts in one file split for a scan of ``total_bytes``."""
+    max_part = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    open_cost = _bytes(spark.conf.get("spark.sql.files.openCostInBytes"))
+    min_parts = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    parallelism = int(min_parts) if min_parts else spark.sparkContext.defaultParallelism
+    return min(max_part, max(open_cost, total_bytes // max(1, parallelism)))
+
+
+def _same_file(uri: str) -> str:
+    """One spelling per file: ``file:/x``, ``file:///x`` and percent-encoded forms agree."""
+    parts = urlsplit(uri)
+    path = unquote(parts.path)
+    return f"{parts.scheme}://{parts.netloc}{path}" if parts.netloc else f"{parts.scheme}:{path}"
+
+
 def files_with_multiline_fields(spark: SparkSession, path: str | list[str],
                                 quote: str = '"') -> tuple[list[str], list[str]]:
     """Split the files under ``path`` into (line-safe files, files needing multi-line mode).
@@ -60,9 +87,32 @@ def files_with_multiline_fields(spark: SparkSession, path: str | list[str],
     everything = sorted(lines.inputFiles())
     odd = (lines.where(((F.length("value") - F.length(F.translate("value", quote, ""))) % 2) == 1)
            .select(F.input_file_name().alias("file")).distinct())
-    flagged = {r.file for r in odd.collect()}
-    multi = [f for f in everything if f in flagged]
-    return [f for f in everything if f not in flagged], multi
+    flagged = {_same_file(r.file) for r in odd.collect()}
+    multi = [f for f in everything if _same_file(f) in flagged]
+    return [f for f in everything if _same_file(f) not in flagged], multi
+
+
+def plan_csv_files(spark: SparkSession, path: str | list[str]) -> tuple[list[str], list[str]] | None:
+    """Which files to read split by line and which whole; ``None`` means all whole.
+
+    A file no larger than Spark's split size is one task either way, so it is read whole
+    without looking at it.  Only larger files get the line test of
+    :func:`files_with_multiline_fields`.  The listing comes from a ``binaryFile`` scan of
+    path and length only, which opens no file.
+    """
+    files = [(r.path, r.length) for r in
+             spark.read.format("binaryFile").load(path).select("path", "length").collect()]
+    open_cost = _bytes(spark.conf.get("spark.sql.files.openCostInBytes"))
+    split = max_split_bytes(spark, sum(n + open_cost for _, n in files))
+    big = [p for p, n in files if n > split]
+    if not big:
+        return None
+    line_safe, _ = files_with_multiline_fields(spark, big)
+    if not line_safe:
+        return None
+    safe = {_same_file(p) for p in line_safe}
+    return (sorted(p for p in big if _same_file(p) in safe),
+            sorted(p for p, _ in files if _same_file(p) not in safe))
 
 
 def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructType = USER_PURCHASE,
@@ -71,8 +121,9 @@ def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructT
     """Read header CSV at ``path`` as ``schema``.
 
     ``multi_line``: ``True`` reads every file whole (one task per file), ``False`` splits
-    files by line and fails on a field with a line break, ``"auto"`` decides per file (one
-    extra parallel pass over the raw text; see :func:`files_with_multiline_fields`).
+    files by line and fails on a field with a line break, ``"auto"`` decides per file (an
+    extra parallel pass over the raw text of files too big for one split; see
+    :func:`plan_csv_files`).
     ``varchar_limits`` (defaults to the purchase table's when ``schema`` is the purchase
     schema) adds the VARCHAR length rule as a column expression.  The result is lazy and
     column pruning skips parsing of unread columns, so a bad field in a column nobody reads
@@ -86,13 +137,14 @@ def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructT
         return spark.read.schema(schema).options(**opts).csv(paths)
 
     if multi_line == "auto":
-        line_safe, multi = files_with_multiline_fields(spark, path)
-        if not multi:
-            df = load(path, False)
-        elif not line_safe:
+        plan = plan_csv_files(spark, path)
+        if plan is None:
             df = load(path, True)
         else:
-            df = load(line_safe, False).unionByName(load(multi, True))
+            line_safe, whole = plan
+            df = load(line_safe, False)
+            if whole:
+                df = df.unionByName(load(whole, True))
     else:
         df = load(path, bool(multi_line))
     return enforce_varchar(df, varchar_limits or {})

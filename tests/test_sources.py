@@ -83,8 +83,16 @@ def test_unknown_dataset_format(spark, tmp_path):
         read_dataset(spark, str(tmp_path), "excel")
 
 
+def test_split_size_units(spark):
+    from strata.sources.csv import _bytes, max_split_bytes
+
+    assert _bytes("128MB") == 128 << 20 and _bytes("134217728b") == 134217728 and _bytes("4m") == 4 << 20
+    assert max_split_bytes(spark, 10 << 40) == _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    assert max_split_bytes(spark, 0) == _bytes(spark.conf.get("spark.sql.files.openCostInBytes"))
+
+
 def test_auto_multiline_per_file(spark, tmp_path):
-    from strata.sources.csv import files_with_multiline_fields
+    from strata.sources.csv import files_with_multiline_fields, plan_csv_files
 
     folder = tmp_path / "mixed"
     folder.mkdir()
@@ -97,6 +105,13 @@ def test_auto_multiline_per_file(spark, tmp_path):
     assert [r[2] for r in got] == ['x, "y"'] * 3 + ["two\nlines"]
     for mode in (True, "auto"):
         assert read_csv_typed(spark, str(folder), multi_line=mode).count() == 4
+    assert plan_csv_files(spark, str(folder)) is None  # small files: read whole, no line test
+    big = "x" * 2_000_000
+    (folder / "c.csv").write_text(HEADER + f'3,C,{big[:900]},1,2010-12-01 08:26:00,1.5,7,UK\n' * 5000)
+    safe, whole = plan_csv_files(spark, str(folder))
+    assert [f.rsplit("/", 1)[-1] for f in safe] == ["c.csv"]
+    assert sorted(f.rsplit("/", 1)[-1] for f in whole) == ["a.csv", "b.csv"]
+    assert read_csv_typed(spark, str(folder)).count() == 5004
 
 
 def test_line_mode_rejects_embedded_newline(spark, write_text):
@@ -106,7 +121,7 @@ def test_line_mode_rejects_embedded_newline(spark, write_text):
 
 
 def test_large_single_file_is_split(spark, tmp_path):
-    folder = tmp_path / "big"
+    folder = tmp_path / "big dir"  # a space: paths must match however they are spelled
     folder.mkdir()
     line = "1,A,d,1,2010-12-01 08:26:00,1.5,7,UK\n"
     (folder / "one.csv").write_text(HEADER + line * 200_000)
