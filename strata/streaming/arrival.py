@@ -28,6 +28,7 @@ class ArrivalResult:
 def arrival_load(spark: SparkSession, landing_dir: str, table: str, checkpoint: str, *,
                  schema: T.StructType = USER_PURCHASE, ddl: str = USER_PURCHASE_DDL,
                  varchar_limits: dict[str, int] | None = None, mode: str = "refresh",
+                 archive_dir: str | None = None, max_files_per_trigger: int | None = None,
                  **csv_options) -> ArrivalResult:
     """Load newly arrived CSV files in ``landing_dir`` into ``table``.
 
@@ -35,15 +36,27 @@ def arrival_load(spark: SparkSession, landing_dir: str, table: str, checkpoint:
     one current object; a retried batch writes the same result, so retries are harmless).
     ``mode="append"`` appends each batch; a batch retried after a failure mid-write may be
     appended twice (at-least-once).  ``checkpoint`` must be on shared storage.
+
+    ``archive_dir`` moves each processed file there, so the landing folder (listed on every
+    run) stays small however many files have arrived over time.  ``max_files_per_trigger``
+    bounds the files per batch in ``append`` mode; ``refresh`` mode takes all arrived files
+    in one batch, since a later batch would replace an earlier one.
     """
     if mode not in ("refresh", "append"):
         raise ValueError("mode must be 'refresh' or 'append'")
+    if max_files_per_trigger and mode == "refresh":
+        raise ValueError("max_files_per_trigger would split a refresh into partial batches")
     if varchar_limits is None and schema == USER_PURCHASE:
         varchar_limits = USER_PURCHASE_VARCHAR
     create_if_absent(spark, table, ddl)
     opts = csv_read_options(**csv_options)
     opts.pop("mode", None)  # streaming file sources fail a batch on any parse error anyway
-    stream = spark.readStream.schema(schema).options(**opts).option("mode", "FAILFAST").csv(landing_dir)
+    reader = spark.readStream.schema(schema).options(**opts).option("mode", "FAILFAST")
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.csv(landing_dir)
     stream = enforce_varchar(stream, varchar_limits or {})
     result = ArrivalResult()
 

@@ -30,3 +30,36 @@ def test_arrival_append_new_files(spark, tmp_path):
     res = arrival_load(spark, str(landing / "*"), t, ckpt, mode="append")
     assert len(res.batches) == 1
     assert spark.table(t).count() == 5
+
+
+def test_arrival_archives_processed_files(spark, tmp_path):
+    import os
+
+    landing = tmp_path / "landing"
+    export_csv(spark.createDataFrame([ROW] * 3, USER_PURCHASE), str(landing / "a"))
+    first = {f for f in os.listdir(landing / "a") if f.endswith(".csv")}
+    t = scratch_table(spark, "arr3")
+    archive = str(tmp_path / "archive")
+    ckpt = str(tmp_path / "ckpt")
+    assert arrival_load(spark, str(landing / "*"), t, ckpt, archive_dir=archive).rows == 3
+    # Spark archives a batch's files when it commits the following batch.
+    export_csv(spark.createDataFrame([ROW] * 2, USER_PURCHASE), str(landing / "b"))
+    assert arrival_load(spark, str(landing / "*"), t, ckpt, archive_dir=archive).rows == 2
+    left = {f for f in os.listdir(landing / "a") if f.endswith(".csv")}
+    archived = {f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")}
+    assert first and not (first & left) and first <= archived
+
+
+def test_arrival_append_in_bounded_batches(spark, tmp_path):
+    import pytest
+
+    landing = tmp_path / "landing"
+    for i in range(3):
+        export_csv(spark.createDataFrame([ROW] * (i + 1), USER_PURCHASE), str(landing / f"d{i}"))
+    files = [f for _, _, fs in __import__("os").walk(landing) for f in fs if f.endswith(".csv")]
+    t = scratch_table(spark, "arr4")
+    res = arrival_load(spark, str(landing / "*"), t, str(tmp_path / "ckpt"), mode="append",
+                       max_files_per_trigger=1)
+    assert len(res.batches) == len(files) and spark.table(t).count() == 6
+    with pytest.raises(ValueError):
+        arrival_load(spark, str(landing / "*"), t, str(tmp_path / "ckpt2"), max_files_per_trigger=1)
