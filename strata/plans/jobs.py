@@ -8,6 +8,7 @@ only hand-over is the files they write, so any job can be re-run alone.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,17 +156,19 @@ class FlowResult:
 
 def bronze_to_gold(spark: SparkSession, paths: FlowPaths, fmt: str = "parquet",
                    positive_words: Iterable[str] = DEFAULT_POSITIVE_WORDS,
-                   allow_stale: bool = False) -> FlowResult:
+                   allow_stale: bool = False, concurrent_silver: bool = True) -> FlowResult:
     """Load, export, transform to silver and aggregate to gold, in that order.
 
     1. load the landed purchase CSV into the purchase table by full refresh (on arrival when
        ``paths.checkpoint`` is set); a missing landing folder fails with ``PATH_NOT_FOUND``;
     2. export the table to CSV unless it is empty; an empty table stops the flow unless
        ``allow_stale`` (then the previous export, if any, is used);
-    3. review logs, classified reviews and user purchases to silver (independent of each
-       other), then the gold per-customer analytics from the three silver datasets.
+    3. review logs, classified reviews and user purchases to silver, then the gold
+       per-customer analytics from the three silver datasets.  The three silver jobs do not
+       depend on each other; with ``concurrent_silver`` they are submitted together from
+       driver threads, so the executors one job leaves idle in its tail serve the others.
 
-    Any failure raises and stops the later steps.
+    Any failure raises and stops the later steps (gold is not built).
     """
     create_if_absent(spark, paths.purchase_table, USER_PURCHASE_DDL)
     if paths.checkpoint:
@@ -176,14 +179,20 @@ def bronze_to_gold(spark: SparkSession, paths: FlowPaths, fmt: str = "parquet",
     if exported.status == "skipped" and not allow_stale:
         raise RuntimeError(f"{paths.purchase_table} is empty: export skipped, flow stopped")
     root = paths.silver_root.rstrip("/")
-    silver = {
-        SILVER_REVIEW_LOGS: review_logs_job(spark, paths.log_reviews_csv,
-                                            f"{root}/{SILVER_REVIEW_LOGS}", fmt),
-        SILVER_CLASSIFIED_REVIEW: classified_review_job(spark, paths.movie_review_csv,
-                                                        f"{root}/{SILVER_CLASSIFIED_REVIEW}", fmt,
-                                                        positive_words),
-        SILVER_USER_PURCHASE: user_purchase_job(spark, paths.export,
-                                                f"{root}/{SILVER_USER_PURCHASE}", fmt),
+    words = list(positive_words)
+    steps = {
+        SILVER_REVIEW_LOGS: lambda: review_logs_job(
+            spark, paths.log_reviews_csv, f"{root}/{SILVER_REVIEW_LOGS}", fmt),
+        SILVER_CLASSIFIED_REVIEW: lambda: classified_review_job(
+            spark, paths.movie_review_csv, f"{root}/{SILVER_CLASSIFIED_REVIEW}", fmt, words),
+        SILVER_USER_PURCHASE: lambda: user_purchase_job(
+            spark, paths.export, f"{root}/{SILVER_USER_PURCHASE}", fmt),
     }
+    if concurrent_silver:
+        with ThreadPoolExecutor(max_workers=len(steps), thread_name_prefix="silver") as pool:
+            futures = {name: pool.submit(step) for name, step in steps.items()}
+        silver = {name: f.result() for name, f in futures.items()}  # re-raises a failure
+    else:
+        silver = {name: step() for name, step in steps.items()}
     gold = movie_analytics_job(spark, root, paths.gold_root, fmt)
     return FlowResult(rows, exported.status, silver, gold)

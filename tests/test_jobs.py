@@ -102,3 +102,15 @@ def test_sized_conf(spark, tmp_path):
     assert sized_conf(10 << 50)["spark.sql.shuffle.partitions"] == "200000"
     (tmp_path / "f").write_bytes(b"x" * 1000)
     assert input_bytes(spark, [str(tmp_path)]) == 1000
+
+
+def test_bronze_to_gold_silver_failure_stops_gold(spark, tmp_path):
+    import os
+
+    paths = _paths(spark, tmp_path, spark.createDataFrame(PURCHASES, USER_PURCHASE))
+    bad_logs = export_csv(spark.createDataFrame([(1, "<log><ts>x</log")], "event_id bigint, log string"),
+                          str(tmp_path / "badlogs"))
+    paths = FlowPaths(**{**paths.__dict__, "log_reviews_csv": bad_logs})
+    with pytest.raises(Exception):
+        bronze_to_gold(spark, paths)
+    assert not os.path.exists(os.path.join(paths.gold_root, "movie_analytics"))
