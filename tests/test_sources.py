@@ -128,3 +128,27 @@ def test_large_single_file_is_split(spark, tmp_path):
     df = read_csv_typed(spark, str(folder))
     assert df.rdd.getNumPartitions() > 1
     assert df.count() == 200_000
+
+
+def test_blank_line_skipped(spark, write_text):
+    path = write_text(HEADER + "1,A,d,1,2010-12-01 08:26:00,1.5,7,UK\n\n2,B,e,2,,,8,FR\n")
+    assert read_csv_typed(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("line", [
+    '2,B,e,"",2010-12-01,1.5,8,FR',   # int
+    '2,B,e,1,2010-12-01,"",8,FR',     # decimal
+    '2,B,e,1,"",1.5,8,FR',            # timestamp
+])
+def test_quoted_empty_non_text_is_rejected(spark, write_text, line):
+    df = read_csv_typed(spark, write_text(HEADER + line + "\n"))
+    with pytest.raises(Exception):
+        df.collect()
+
+
+def test_column_pruning_hides_unread_bad_field(spark, write_text):
+    path = write_text(HEADER + "1,A,d,zz,2010-12-01 08:26:00,1.5,7,UK\n")
+    df = read_csv_typed(spark, path)
+    assert [r.country for r in df.select("country").collect()] == ["UK"]
+    with pytest.raises(Exception):
+        df.collect()
