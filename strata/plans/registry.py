@@ -19,9 +19,8 @@ from strata.operators.tables import (append_load, clear_table, create_if_absent,
 from strata.operators.transforms import (classified_review, movie_analytics, review_logs,
                                          user_purchase)
 from strata.plans import inputs
-from strata.plans.jobs import (FlowPaths, GOLD_MOVIE_ANALYTICS, SILVER_REVIEW_LOGS,
-                               SILVER_USER_PURCHASE, bronze_to_gold, run, session_smoke,
-                               show_table)
+from strata.plans.jobs import (SILVER_USER_PURCHASE, FlowPaths, bronze_to_gold, run,
+                               session_smoke, show_table)
 from strata.schemas import MOVIE_ANALYTICS, REVIEW_LOGS, USER_PURCHASE
 from strata.session import scratch_path, scratch_table, shared_root
 from strata.sources.csv import read_bronze_csv, read_csv_typed
@@ -113,6 +112,21 @@ def q_arrival_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def q_arrival_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Two arrivals of the whole purchase export; append mode keeps both.
+    landing = scratch_path(spark, "landing_append")
+    name = scratch_table(spark, "arrival_append")
+    checkpoint = scratch_path(spark, "arrival_append_ckpt")
+    source = _purchases_once(spark, sf_dir)
+    batches = []
+    for arrival in ("first", "second"):
+        export_csv(source, f"{landing}/{arrival}")
+        batches += arrival_load(spark, f"{landing}/*", name, checkpoint, mode="append").batches
+    if len(batches) != 2:
+        raise AssertionError(f"expected one batch per arrival, got {batches}")
+    return read_table(spark, name)
+
+
 # --- table lifecycle -------------------------------------------------------------
 
 def q_create_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +221,14 @@ def q_movie_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
                            logs)
 
 
+def q_movie_analytics_all_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = inputs.table(spark, sf_dir, "events").select(*[f.name for f in REVIEW_LOGS])
+    customers = inputs.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    return movie_analytics(inputs.purchases(spark, sf_dir),
+                           classified_review(inputs.reviews(spark, sf_dir), QUERY_POSITIVE_WORDS),
+                           logs, customers=customers)
+
+
 def q_show_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = scratch_path(spark, "show_silver")
     write_dataset(review_logs(inputs.review_log_xml(spark, sf_dir)), silver, "parquet")
@@ -245,6 +267,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_scan": q_table_scan,
     "dataset_format_roundtrip": q_dataset_format_roundtrip,
     "arrival_load": q_arrival_load,
+    "arrival_append": q_arrival_append,
     "create_if_absent": q_create_if_absent,
     "clear_table": q_clear_table,
     "drop_if_exists": q_drop_if_exists,
@@ -257,6 +280,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classified_review": q_classified_review,
     "user_purchase": q_user_purchase,
     "movie_analytics": q_movie_analytics,
+    "movie_analytics_all_customers": q_movie_analytics_all_customers,
     "show_table": q_show_table,
     "session_smoke": q_session_smoke,
     "bronze_to_gold": q_bronze_to_gold,
@@ -310,10 +334,13 @@ from (
   select customer_id, null, positive_review, 1, null, null from (""" + CLASSIFIED_SQL + """)
   union all
   select user_id, null, null, null, ts, 1 from (""" + LOGS_SQL + """)
+  {customers}
 ) u
 group by customer_id
 """
 
+ALL_CUSTOMERS_SQL = "union all\n  select c_custkey, null, null, null, null, null from customer"
+
 CSV_EXPORT_SQL = """
 select cast(invoice_number as varchar) as invoice_number, stock_code, detail,
        cast(quantity as varchar) as quantity,
@@ -331,6 +358,7 @@ ORACLE_SQL: dict[str, str] = {
     "table_scan": PURCHASES_SQL,
     "dataset_format_roundtrip": ROUNDTRIP_SQL,
     "arrival_load": PURCHASES_SQL,
+    "arrival_append": f"select * from ({PURCHASES_SQL})\nunion all\nselect * from ({PURCHASES_SQL})",
     "create_if_absent": PURCHASES_SQL,
     "clear_table": PURCHASES_SQL,
     "drop_if_exists": PURCHASES_SQL,
@@ -346,9 +374,10 @@ ORACLE_SQL: dict[str, str] = {
     "review_logs": LOGS_SQL,
     "classified_review": CLASSIFIED_SQL,
     "user_purchase": PURCHASES_SQL,
-    "movie_analytics": ANALYTICS_SQL,
+    "movie_analytics": ANALYTICS_SQL.replace("{customers}", ""),
+    "movie_analytics_all_customers": ANALYTICS_SQL.replace("{customers}", ALL_CUSTOMERS_SQL),
     "show_table": f"{LOGS_SQL} order by event_id limit {SHOW_N}",
     "session_smoke": "select count(*) as row_count, true as ok from lineitem",
-    "bronze_to_gold": ANALYTICS_SQL,
+    "bronze_to_gold": ANALYTICS_SQL.replace("{customers}", ""),
     "job_by_name": PURCHASES_SQL,
 }

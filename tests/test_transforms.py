@@ -3,7 +3,6 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from strata.functions.text import stop_words
 from strata.operators import classified_review, movie_analytics, review_logs, user_purchase
