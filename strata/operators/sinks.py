@@ -21,6 +21,9 @@ from strata.sources.datasets import TEXT_TIME_OPTIONS, XML_ROOT_TAG, XML_ROW_TAG
 # Bounds the rows per part file so that a multi-line (hence unsplittable) re-read of an
 # export still runs one task per modest file.
 DEFAULT_MAX_RECORDS_PER_FILE = 1_000_000
+# XML is never split on read and a row is several times larger than in CSV, so its files
+# are bounded more tightly (about 70 MB for purchase rows).
+XML_MAX_RECORDS_PER_FILE = 200_000
 
 
 def csv_write_options(*, conflate_empty: bool = False, delimiter: str = ",",
@@ -100,14 +103,17 @@ def guarded_export(df: DataFrame, path: str, **options) -> ExportResult:
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str = "overwrite",
                   varchar_limits: Mapping[str, int] | None = None,
                   partition_by: list[str] | None = None,
-                  max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE) -> str:
+                  max_records_per_file: int | None = None) -> str:
     """Write ``df`` to ``path`` as ``fmt`` (K3).
 
     ``overwrite`` writes a sibling folder and swaps it in after success; ``append``
     adds files in place (one job commit: all or nothing).  ``varchar_limits`` applies
     the VARCHAR rule, since a path has no declared column types to enforce it.
+    ``max_records_per_file`` defaults per format; 0 means unbounded.
     """
     f = check_format(fmt)
+    if max_records_per_file is None:
+        max_records_per_file = XML_MAX_RECORDS_PER_FILE if f == "xml" else DEFAULT_MAX_RECORDS_PER_FILE
     out = enforce_varchar(df, varchar_limits or {})
     if f == "csv":
         out = printable(out)
