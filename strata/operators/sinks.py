@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.checks import enforce_varchar
-from strata.session import replace_path
+from strata.session import delete_path, hidden_sibling, replace_path
 from strata.sources.datasets import TEXT_TIME_OPTIONS, XML_ROOT_TAG, XML_ROW_TAG, check_format
 
 # Bounds the rows per part file so that a multi-line (hence unsplittable) re-read of an
@@ -57,7 +57,18 @@ def printable(df: DataFrame) -> DataFrame:
 
 
 def _staged(target: str) -> str:
-    return f"{target.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
+    """A hidden sibling of ``target`` (Spark's file listing skips names starting with '.')."""
+    return hidden_sibling(target, f"__staging-{uuid.uuid4().hex[:12]}")
+
+
+def _write_then_swap(spark, write, target: str) -> None:
+    staged = _staged(target)
+    try:
+        write(staged)
+    except Exception:
+        delete_path(spark, staged)
+        raise
+    replace_path(spark, staged, target)
 
 
 def export_csv(df: DataFrame, path: str, *, conflate_empty: bool = False,
@@ -73,12 +84,9 @@ def export_csv(df: DataFrame, path: str, *, conflate_empty: bool = False,
     out = printable(df)
     if single_file:
         out = out.coalesce(1)
-    staged = _staged(path)
-    (out.write.mode("errorifexists")
-        .options(**csv_write_options(conflate_empty=conflate_empty,
-                                     max_records_per_file=max_records_per_file))
-        .csv(staged))
-    replace_path(df.sparkSession, staged, path)
+    writer = out.write.mode("errorifexists").options(
+        **csv_write_options(conflate_empty=conflate_empty, max_records_per_file=max_records_per_file))
+    _write_then_swap(df.sparkSession, writer.csv, path)
     return path
 
 
@@ -128,15 +136,13 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str =
         writer = writer.option("rowTag", XML_ROW_TAG).option("rootTag", XML_ROOT_TAG)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if mode == "overwrite":
-        staged = _staged(path)
-        try:
-            writer.mode("errorifexists").save(staged)
-        except Exception as exc:
-            if f == "avro" and "DATA_SOURCE_NOT_FOUND" in str(exc):
-                raise RuntimeError("format 'avro' needs the spark-avro module on the classpath") from exc
-            raise
-        replace_path(df.sparkSession, staged, path)
-    else:
-        writer.mode(mode).save(path)
+    try:
+        if mode == "overwrite":
+            _write_then_swap(df.sparkSession, writer.mode("errorifexists").save, path)
+        else:
+            writer.mode(mode).save(path)
+    except Exception as exc:
+        if f == "avro" and "DATA_SOURCE_NOT_FOUND" in str(exc):
+            raise RuntimeError("format 'avro' needs the spark-avro module on the classpath") from exc
+        raise
     return path

@@ -129,12 +129,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def hidden_sibling(path: str, suffix: str) -> str:
+    """``<parent>/.<name>.<suffix>``: beside ``path``, hidden from Spark's file listing."""
+    parent, sep, name = path.rstrip("/").rpartition("/")
+    return f"{parent}{sep}.{name}.{suffix}"
+
+
 def replace_path(spark: SparkSession, staged: str, target: str) -> None:
     """Move a fully written ``staged`` folder to ``target``, replacing what was there.
 
     The old folder is renamed aside first and deleted only after the new one is in
     place, so a failure at any point leaves either the old or the new data readable
-    (under ``target`` or its ``.__old-*`` sibling).  On object stores a rename is a
+    (under ``target`` or its hidden ``.<name>.__old-*`` sibling).  On object stores a rename is a
     copy; correctness holds, speed does not.
     """
     fs, new = _fs(spark, staged)
@@ -142,7 +148,7 @@ def replace_path(spark: SparkSession, staged: str, target: str) -> None:
     jvm = spark.sparkContext._jvm
     old = None
     if fs.exists(dest):
-        old = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.__old-{uuid.uuid4().hex[:8]}")
+        old = jvm.org.apache.hadoop.fs.Path(hidden_sibling(target, f"__old-{uuid.uuid4().hex[:8]}"))
         if not fs.rename(dest, old):
             raise OSError(f"could not move {target} aside")
     else:

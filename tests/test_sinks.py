@@ -73,3 +73,20 @@ def test_avro_needs_module(spark, tmp_path):
     df = spark.createDataFrame(ROWS, USER_PURCHASE)
     with pytest.raises(Exception):
         write_dataset(df, str(tmp_path / "a"), "avro")
+
+
+def test_failed_write_leaves_no_staging(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, USER_PURCHASE)
+    bad = df.withColumn("quantity", F.raise_error(F.lit("boom")).cast("int"))
+    with pytest.raises(Exception):
+        export_csv(bad, str(tmp_path / "x"))
+    with pytest.raises(Exception):
+        write_dataset(bad, str(tmp_path / "y"), "parquet")
+    assert os.listdir(tmp_path) == []
+
+
+def test_replaced_export_leaves_only_target(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, USER_PURCHASE)
+    export_csv(df, str(tmp_path / "x"))
+    export_csv(df, str(tmp_path / "x"))
+    assert os.listdir(tmp_path) == ["x"]
