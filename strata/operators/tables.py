@@ -82,8 +82,10 @@ def full_refresh_load(spark: SparkSession, table: str, source: DataFrame,
     is renamed into place.  A failure leaves the old rows readable.  Re-running with the
     same source leaves the same rows (idempotent).  Returns the number of rows loaded.
 
-    The two renames are not one transaction: a crash between them leaves the data under
-    the ``__old_*`` name, from where it can be renamed back.
+    The two renames are not one transaction: if the second fails the first is undone, and
+    a driver crash between them leaves the old rows under the ``__old_*`` name, from where
+    they can be renamed back.  Meant for managed tables: the stage is created ``LIKE`` the
+    target without its location, so an external table would come back as a managed one.
     """
     create_if_absent(spark, table, ddl)
     db, base = _split(table)
@@ -95,7 +97,11 @@ def full_refresh_load(spark: SparkSession, table: str, source: DataFrame,
         source.write.insertInto(stage)
         rows = spark.table(stage).count()
         spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted(old)}")
-        spark.sql(f"ALTER TABLE {quoted(stage)} RENAME TO {quoted(table)}")
+        try:
+            spark.sql(f"ALTER TABLE {quoted(stage)} RENAME TO {quoted(table)}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {quoted(old)} RENAME TO {quoted(table)}")
+            raise
         spark.sql(f"DROP TABLE IF EXISTS {quoted(old)}")
         return rows
     finally:

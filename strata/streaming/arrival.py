@@ -49,9 +49,8 @@ def arrival_load(spark: SparkSession, landing_dir: str, table: str, checkpoint:
     if varchar_limits is None and schema == USER_PURCHASE:
         varchar_limits = USER_PURCHASE_VARCHAR
     create_if_absent(spark, table, ddl)
-    opts = csv_read_options(**csv_options)
-    opts.pop("mode", None)  # streaming file sources fail a batch on any parse error anyway
-    reader = spark.readStream.schema(schema).options(**opts).option("mode", "FAILFAST")
+    # Multi-line parsing, FAILFAST and the NULL rule as in the batch read; one file per task.
+    reader = spark.readStream.schema(schema).options(**csv_read_options(**csv_options))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
