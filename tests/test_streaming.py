@@ -63,3 +63,21 @@ def test_arrival_append_in_bounded_batches(spark, tmp_path):
     assert len(res.batches) == len(files) and spark.table(t).count() == 6
     with pytest.raises(ValueError):
         arrival_load(spark, str(landing / "*"), t, str(tmp_path / "ckpt2"), max_files_per_trigger=1)
+
+
+def test_arrival_bad_row_fails_and_keeps_rows(spark, tmp_path):
+    import pytest
+
+    landing = tmp_path / "landing"
+    export_csv(spark.createDataFrame([ROW] * 2, USER_PURCHASE), str(landing / "a"))
+    t = scratch_table(spark, "arr5")
+    ckpt = str(tmp_path / "ckpt")
+    assert arrival_load(spark, str(landing / "*"), t, ckpt).rows == 2
+    bad = landing / "b"
+    bad.mkdir()
+    (bad / "bad.csv").write_text(
+        "invoice_number,stock_code,detail,quantity,invoice_date,unit_price,customer_id,country\n"
+        "1,A,d,zz,2010-12-01 08:26:00,1.5,7,UK\n")
+    with pytest.raises(Exception):
+        arrival_load(spark, str(landing / "*"), t, ckpt)
+    assert spark.table(t).count() == 2
