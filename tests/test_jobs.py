@@ -114,3 +114,16 @@ def test_bronze_to_gold_silver_failure_stops_gold(spark, tmp_path):
     with pytest.raises(Exception):
         bronze_to_gold(spark, paths)
     assert not os.path.exists(os.path.join(paths.gold_root, "movie_analytics"))
+
+
+def test_bronze_to_gold_allow_stale_uses_previous_export(spark, tmp_path):
+    paths = _paths(spark, tmp_path, spark.createDataFrame(PURCHASES, USER_PURCHASE))
+    bronze_to_gold(spark, paths)
+    # the next landing is empty: the table is refreshed to 0 rows and the export is skipped
+    export_csv(spark.createDataFrame([], USER_PURCHASE), paths.landing)
+    with pytest.raises(RuntimeError):
+        bronze_to_gold(spark, paths)
+    result = bronze_to_gold(spark, paths, allow_stale=True)
+    assert result.rows_loaded == 0 and result.export_status == "skipped"
+    gold = {r.customer_id: r.amount_spent for r in read_dataset(spark, result.gold, "parquet").collect()}
+    assert gold[7] == Decimal("3.000")  # from the previous export
