@@ -72,18 +72,14 @@ def _write_then_swap(spark, write, target: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str, *, conflate_empty: bool = False,
-               max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE,
-               single_file: bool = False) -> str:
+               max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE) -> str:
     """Write ``df`` as header CSV under folder ``path``, replacing what was there (K1).
 
     Header from column names, ``,`` separator, quotes only where needed, embedded quotes
     doubled, NULL as an empty field.  Part files are written in parallel, one or more per
-    partition; ``single_file`` funnels everything through one task and is for small
-    outputs only.
+    partition, each holding at most ``max_records_per_file`` rows.
     """
     out = printable(df)
-    if single_file:
-        out = out.coalesce(1)
     writer = out.write.mode("errorifexists").options(
         **csv_write_options(conflate_empty=conflate_empty, max_records_per_file=max_records_per_file))
     _write_then_swap(df.sparkSession, writer.csv, path)

@@ -24,10 +24,11 @@ def test_export_roundtrip_keeps_nulls_empties_quotes_newlines_blanks(spark, tmp_
 
 def test_export_prints_plain_timestamps(spark, tmp_path):
     df = spark.createDataFrame(ROWS[:1], USER_PURCHASE)
-    path = export_csv(df, str(tmp_path / "out"), single_file=True)
-    text = "".join(open(os.path.join(path, f)).read() for f in os.listdir(path) if f.endswith(".csv"))
+    path = export_csv(df, str(tmp_path / "out"))
+    texts = [open(os.path.join(path, f)).read() for f in os.listdir(path) if f.endswith(".csv")]
+    text = "".join(texts)
     assert "2010-12-01 08:26:00" in text and "T08" not in text
-    assert text.splitlines()[0].startswith("invoice_number,stock_code")
+    assert all(t.splitlines()[0].startswith("invoice_number,stock_code") for t in texts if t)
 
 
 def test_conflate_empty(spark, tmp_path):
