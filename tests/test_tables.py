@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.operators import (append_load, clear_table, create_if_absent, drop_if_exists,
                               full_refresh_load, has_rows, row_count_gate, table_exists)
@@ -108,3 +109,12 @@ def test_name_is_not_sql(spark):
         except Exception:  # noqa: BLE001
             pass
     assert table_exists(spark, keep)
+
+
+def test_refresh_from_the_table_itself(spark):
+    t = scratch_table(spark, "self")
+    create_if_absent(spark, t)
+    append_load(spark, t, five(spark))
+    append_load(spark, t, five(spark).withColumn("invoice_number", F.lit("2")))
+    assert full_refresh_load(spark, t, spark.table(t).where(F.col("invoice_number") == "2")) == 5
+    assert {r.invoice_number for r in spark.table(t).collect()} == {"2"}
