@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from strata.sources.csv import csv_read_options
+from strata.sources.csv import csv_read_options, read_csv_typed
 
 # Formats a silver or gold dataset may be stored in.  Avro needs the external
 # spark-avro module on the classpath; without it the read or write fails with
@@ -39,6 +39,8 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet",
     For ``json``, ``csv`` and ``xml`` pass ``schema`` to get the written types back.
     """
     f = check_format(fmt)
+    if f == "csv" and schema is not None:  # same split planning as typed CSV reads
+        return read_csv_typed(spark, path, schema, varchar_limits={})
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
