@@ -6,16 +6,19 @@
 * a quoted field may hold the delimiter, doubled quotes and newlines.
 
 Multi-line parsing makes a file unsplittable.  ``multi_line="auto"`` (the default) looks
-at the files too big for one split, finds with one parallel pass over their raw lines those
-in which some quoted field spans a line break, and splits every other big file across tasks.
-So one huge landing file without embedded newlines is still read by many tasks.  Writers in
+at the files too big for one split and finds, with one parallel pass over their raw lines,
+those in which some quoted field spans a line break.  The others are split by line; these
+are read whole, or, when they are large and the cluster is wide, split too and their records
+stitched back together (:mod:`strata.sources.multiline`).  Writers in
 :mod:`strata.operators.sinks` bound the rows per file, so even multi-line re-reads of their
 output run one task per modest file.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.checks import enforce_varchar
+from strata.sources.multiline import read_multiline_split
 from strata.schemas import LOG_REVIEW, MOVIE_REVIEW, USER_PURCHASE, USER_PURCHASE_VARCHAR
 
 # A token that never occurs in data: unquoted empty fields become NULL, quoted "" stays "".
@@ -92,13 +96,31 @@ def files_with_multiline_fields(spark: SparkSession, path: str | list[str],
     return [f for f in everything if _same_file(f) not in flagged], multi
 
 
-def plan_csv_files(spark: SparkSession, path: str | list[str]) -> tuple[list[str], list[str]] | None:
-    """Which files to read split by line and which whole; ``None`` means all whole.
+# Stitching multi-line files back together costs far more per byte than one whole-file
+# parse (measured here: ~1.3 MB/s per core against ~100 MB/s for one task), so it is used
+# only where it wins: large files on a cluster with many cores.
+MULTILINE_SPLIT_MIN_BYTES = 1 << 30
+MULTILINE_SPLIT_MIN_CORES = 128
+
+
+@dataclass(frozen=True)
+class CsvPlan:
+    line_split: list[str]        # large files without a field spanning lines: split by line
+    whole: list[str]             # files no larger than one split: parsed whole
+    multiline_split: list[str]   # large files with fields spanning lines: split, then stitched
+    multiline_splits: int        # how many splits the last group makes (bounds a broadcast)
+
+
+def plan_csv_files(spark: SparkSession, path: str | list[str],
+                   split_multiline: bool | None = None) -> CsvPlan | None:
+    """How to read each file under ``path``; ``None`` means every file is read whole.
 
     A file no larger than Spark's split size is one task either way, so it is read whole
     without looking at it.  Only larger files get the line test of
     :func:`files_with_multiline_fields`.  The listing comes from a ``binaryFile`` scan of
-    path and length only, which opens no file.
+    path and length only, which opens no file.  Large files with fields spanning lines are
+    split and stitched when ``split_multiline`` is true; when it is ``None``, only if they
+    reach ``MULTILINE_SPLIT_MIN_BYTES`` and the session has ``MULTILINE_SPLIT_MIN_CORES``.
     """
     files = [(r.path, r.length) for r in
              spark.read.format("binaryFile").load(path).select("path", "length").collect()]
@@ -108,16 +130,30 @@ def plan_csv_files(spark: SparkSession, path: str | list[str]) -> tuple[list[str
     if not big:
         return None
     line_safe, _ = files_with_multiline_fields(spark, big)
-    if not line_safe:
-        return None
     safe = {_same_file(p) for p in line_safe}
-    return (sorted(p for p in big if _same_file(p) in safe),
-            sorted(p for p, _ in files if _same_file(p) not in safe))
+    big_set = {_same_file(p) for p in big}
+    multi = [(p, n) for p, n in files if _same_file(p) in big_set and _same_file(p) not in safe]
+    if split_multiline is None:
+        many_cores = spark.sparkContext.defaultParallelism >= MULTILINE_SPLIT_MIN_CORES
+        multi = [(p, n) for p, n in multi if many_cores and n >= MULTILINE_SPLIT_MIN_BYTES]
+    elif not split_multiline:
+        multi = []
+    stitched = {_same_file(p) for p, _ in multi}
+    ml_split = max_split_bytes(spark, sum(n + open_cost for _, n in multi))
+    return CsvPlan(
+        line_split=sorted(p for p in big if _same_file(p) in safe),
+        whole=sorted(p for p, _ in files
+                     if (_same_file(p) not in big_set or _same_file(p) not in safe)
+                     and _same_file(p) not in stitched),
+        multiline_split=sorted(p for p, _ in multi),
+        multiline_splits=sum(math.ceil(n / max(1, ml_split)) for _, n in multi),
+    )
 
 
 def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructType = USER_PURCHASE,
                    *, varchar_limits: Mapping[str, int] | None = None,
-                   multi_line: bool | str = "auto", **options) -> DataFrame:
+                   multi_line: bool | str = "auto", split_multiline: bool | None = None,
+                   **options) -> DataFrame:
     """Read header CSV at ``path`` as ``schema``.
 
     ``multi_line``: ``True`` reads every file whole (one task per file), ``False`` splits
@@ -137,14 +173,22 @@ def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructT
         return spark.read.schema(schema).options(**opts).csv(paths)
 
     if multi_line == "auto":
-        plan = plan_csv_files(spark, path)
+        plan = plan_csv_files(spark, path, split_multiline)
         if plan is None:
             df = load(path, True)
         else:
-            line_safe, whole = plan
-            df = load(line_safe, False)
-            if whole:
-                df = df.unionByName(load(whole, True))
+            parts = []
+            if plan.line_split:
+                parts.append(load(plan.line_split, False))
+            if plan.whole:
+                parts.append(load(plan.whole, True))
+            if plan.multiline_split:
+                parts.append(read_multiline_split(
+                    spark, plan.multiline_split, schema,
+                    csv_read_options(multi_line=True, **options), plan.multiline_splits))
+            df = parts[0]
+            for part in parts[1:]:
+                df = df.unionByName(part)
     else:
         df = load(path, bool(multi_line))
     return enforce_varchar(df, varchar_limits or {})

@@ -1,0 +1,169 @@
+"""Split-parallel reading of CSV files whose quoted fields span lines.
+
+Spark parses such a file in one task (``multiLine``).  Here the file is read as raw lines in
+ordinary splits, and records are put back together:
+
+1. every line gets its quote count; per split, the parity of all its quotes (a tiny
+   aggregate), and from a running sum over the splits of a file, whether the split starts
+   inside a quoted field;
+2. that per-split state (one row per split, so its size is known before it is broadcast)
+   joins back onto the lines without moving them, and each task walks its splits in file
+   order, emitting every record that starts and ends inside the split whole;
+3. only the pieces of records that cross a split boundary are shuffled: a running "last
+   opened record" per file keys each continuation to its record, and a group per record
+   (bounded by the record's size) joins the pieces;
+4. Spark's own ``from_csv`` parses each record, with the same options as the file reader.
+
+Lines are split on ``\\n`` only, so a ``\\r`` inside a field survives and a ``\\r\\n`` ending is
+removed from each record before parsing.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+PIECES = T.StructType([
+    T.StructField("kind", T.StringType()),      # rec | open | cont
+    T.StructField("file", T.StringType()),
+    T.StructField("start", T.LongType()),       # split start of the piece's first line
+    T.StructField("mid", T.LongType()),         # order of the piece's first line
+    T.StructField("first", T.BooleanType()),    # the file's first record (the header)
+    T.StructField("text", T.StringType()),
+])
+
+# Broadcast the per-split state only below this many splits (~100 bytes per row).
+MAX_BROADCAST_SPLITS = 200_000
+
+
+def _assemble(batches: Iterator[pd.DataFrame], emit: str) -> Iterator[pd.DataFrame]:
+    """Walk lines in (file, split, position) order and emit record pieces.
+
+    A piece is ``rec`` (a whole record), ``open`` (a record still open at its split's end)
+    or ``cont`` (lines that continue a record opened in an earlier split).  ``emit`` is
+    ``"records"`` (only ``rec`` pieces) or ``"fragments"`` (only the others; this walk
+    joins no record text and is cheap).
+    """
+    want_records = emit == "records"
+    out: list[tuple] = []
+    key = None                 # (file, start) of the split being walked
+    parity = 0                 # quote parity before the next line
+    piece: list[str] = []      # lines of the piece being built
+    piece_meta = None          # (kind, start, mid, first)
+    first_pending = False      # next record start is the file's first record
+
+    def keep(kind: str) -> bool:
+        return (kind == "rec") == want_records
+
+    def close_split():
+        nonlocal piece, piece_meta
+        if piece_meta is not None:
+            kind, start, mid, first = piece_meta
+            if kind == "rec" and parity == 1:
+                kind = "open"
+            if keep(kind):
+                out.append((kind, key[0], start, mid, first, "\n".join(piece)))
+        piece, piece_meta = [], None
+
+    for batch in batches:
+        if batch.empty:
+            continue
+        if batch["init"].isna().any():
+            raise RuntimeError("a line has no split state: the file splits changed between reads")
+        files = batch["file"].to_numpy()
+        starts = batch["start"].to_numpy()
+        bounds = np.flatnonzero((files[1:] != files[:-1]) | (starts[1:] != starts[:-1])) + 1
+        for lo, hi in zip(np.r_[0, bounds], np.r_[bounds, len(batch)]):
+            f, s = files[lo], int(starts[lo])
+            values = batch["value"].iloc[lo:hi].tolist()
+            q = batch["q"].iloc[lo:hi].to_numpy() % 2
+            mids = batch["mid"].iloc[lo:hi].to_numpy()
+            if key != (f, s):
+                if key is not None:
+                    close_split()
+                key = (f, s)
+                parity = int(batch["init"].iloc[lo])
+                first_pending = s == 0
+                if parity == 1:
+                    piece_meta = ("cont", s, int(mids[0]), False)
+            before = (parity + np.cumsum(q) - q) % 2
+            begins = np.flatnonzero(before == 0)
+            parity = int((parity + q.sum()) % 2)
+            head_end = begins[0] if len(begins) else len(values)
+            piece.extend(values[:head_end])
+            if len(begins) == 0:
+                continue
+            if piece_meta is not None:  # the carried piece closed right before the first start
+                kind, start, mid, first = piece_meta
+                if keep(kind):
+                    out.append((kind, f, start, mid, first, "\n".join(piece)))
+            last = begins[-1]
+            if want_records:
+                for i in range(len(begins) - 1):
+                    b, end = begins[i], begins[i + 1]
+                    first, first_pending = first_pending, False
+                    out.append(("rec", f, s, int(mids[b]), first, "\n".join(values[b:end])))
+            elif len(begins) > 1:
+                first_pending = False
+            first, first_pending = first_pending, False
+            # the last record may continue into the next batch or split
+            piece, piece_meta = values[last:], ("rec", s, int(mids[last]), first)
+        if out:  # hand over what is complete; keeps memory to about one batch
+            yield pd.DataFrame(out, columns=[f.name for f in PIECES])
+            out = []
+    if key is not None:
+        close_split()
+    if out:
+        yield pd.DataFrame(out, columns=[f.name for f in PIECES])
+
+
+def read_multiline_split(spark: SparkSession, files: list[str], schema: T.StructType,
+                         options: dict[str, str], n_splits: int) -> DataFrame:
+    """Read the CSV ``files`` (quote ``"`` doubled as escape) split-parallel as ``schema``.
+
+    ``options`` are the file reader's CSV options; ``n_splits`` bounds the number of splits
+    and so the size of the broadcast per-split state.
+    """
+    quote = options.get("quote", '"')
+    lines = (spark.read.option("lineSep", "\n").text(files)
+             .select("value",
+                     F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("mid"))
+             .withColumn("q", F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))))
+    per_split = lines.groupBy("file", "start").agg((F.sum("q") % 2).alias("p"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    state = per_split.select("file", "start",
+                             (F.coalesce(F.sum("p").over(earlier), F.lit(0)) % 2).cast("int").alias("init"))
+    if n_splits <= MAX_BROADCAST_SPLITS:
+        state = F.broadcast(state)
+    ordered = (lines.join(state, ["file", "start"], "left")
+               .sortWithinPartitions("file", "start", "mid")
+               .select("file", "start", "mid", "q", "init", "value"))
+    # Two walks over the same lines (the broadcast state is one reused exchange): one
+    # emits whole records, the other only the pieces that cross split boundaries.
+    whole = ordered.mapInPandas(partial(_assemble, emit="records"), PIECES).select("file", "first", "text")
+    frags = ordered.mapInPandas(partial(_assemble, emit="fragments"), PIECES)
+    upto = Window.partitionBy("file").orderBy("start", "mid").rowsBetween(Window.unboundedPreceding, 0)
+    opened = F.when(F.col("kind") == "open", F.struct("start", "mid"))
+    stitched = (frags.withColumn("record", F.last(opened, ignorenulls=True).over(upto))
+                .groupBy("file", "record")
+                .agg(F.max("first").alias("first"),
+                     F.array_sort(F.collect_list(F.struct("start", "mid", "text"))).alias("parts"))
+                .select("file", "first",
+                        F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text")))
+
+    records = whole.unionByName(stitched)
+    if options.get("header", "false").lower() == "true":
+        records = records.where(~F.col("first"))
+    text = F.regexp_replace("text", "\r$", "")
+    records = records.select(text.alias("text")).where(F.col("text") != "")
+    parse_opts = {k: v for k, v in options.items() if k not in ("header", "multiLine", "enforceSchema")}
+    parsed = records.select(F.from_csv("text", schema.simpleString(), parse_opts).alias("r"))
+    return parsed.select(*[F.col("r")[f.name].alias(f.name) for f in schema.fields])

@@ -1,0 +1,96 @@
+"""Split-parallel reading of CSV files whose fields span lines, checked against Spark's
+whole-file multi-line parse with split sizes small enough to cut records apart."""
+
+import contextlib
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from strata.operators import export_csv
+from strata.schemas import USER_PURCHASE
+from strata.session import scratch_path
+from strata.sources import read_csv_typed
+from strata.sources.csv import plan_csv_files
+
+HEADER = "invoice_number,stock_code,detail,quantity,invoice_date,unit_price,customer_id,country\n"
+
+
+@contextlib.contextmanager
+def tiny_splits(spark, size):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], str(size))
+    spark.conf.set(keys[1], "1")
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def both(spark, path):
+    whole = sorted((tuple(r) for r in read_csv_typed(spark, path, multi_line=True).collect()), key=repr)
+    split = sorted((tuple(r) for r in read_csv_typed(spark, path, split_multiline=True).collect()),
+                   key=repr)
+    return whole, split
+
+
+def test_fixture_takes_the_split_path(spark, write_text):
+    lines = [f'{i},S{i},"line one\nline two ""q"" {"x" * (i % 7)}\nthree",{i},2010-12-01 08:26:00,1.5,{i},UK'
+             for i in range(200)]
+    path = write_text(HEADER + "\n".join(lines) + "\n")
+    with tiny_splits(spark, 300):
+        assert plan_csv_files(spark, path).multiline_split == []  # small cluster: parse whole
+        plan = plan_csv_files(spark, path, split_multiline=True)
+        assert plan.multiline_split and plan.multiline_splits > 10 and plan.whole == []
+        whole, split = both(spark, path)
+    assert len(whole) == 200 and split == whole
+
+
+def test_long_field_spans_many_splits_crlf_and_blank_lines(spark, write_text):
+    long = "\r\n".join(["a" * 50] * 15)  # ~800 characters: one field across many 128-byte splits
+    text = (HEADER.replace("\n", "\r\n")
+            + f'1,A,"{long}",1,2010-12-01 08:26:00,1.5,7,UK\r\n'
+            + "\r\n"
+            + '2,B,"x\ry",2,2010-12-02 00:00:00,2.5,8,FR\r\n'
+            + '3,C,plain,3,2010-12-03 00:00:00,3.5,9,DE\r\n')
+    path = write_text(text)
+    with tiny_splits(spark, 128):
+        assert plan_csv_files(spark, path, split_multiline=True).multiline_split
+        split = sorted(tuple(r) for r in read_csv_typed(spark, path, split_multiline=True).collect())
+    assert [r[0] for r in split] == ["1", "2", "3"]
+    assert split[0][2] == long and split[1][2] == "x\ry" and split[2][2] == "plain"
+
+
+def test_bad_row_still_fails(spark, write_text):
+    lines = [f'{i},S,"a\nb",{i},2010-12-01 08:26:00,1.5,{i},UK' for i in range(50)]
+    lines[30] = '30,S,"a\nb",zz,2010-12-01 08:26:00,1.5,30,UK'
+    path = write_text(HEADER + "\n".join(lines) + "\n")
+    import pytest
+
+    with tiny_splits(spark, 200):
+        df = read_csv_typed(spark, path, split_multiline=True)
+        with pytest.raises(Exception):
+            df.collect()
+
+
+tricky = st.text(alphabet=st.sampled_from(list('ab ,"\n\r\téß日')), max_size=30)
+rows = st.lists(st.tuples(
+    st.one_of(st.none(), st.text(alphabet="0123456789", min_size=1, max_size=8)),
+    st.one_of(st.none(), tricky.map(lambda t: t[:20])),
+    st.one_of(st.none(), tricky),
+    st.one_of(st.none(), st.integers(-1000, 1000)),
+    st.none(), st.none(),
+    st.one_of(st.none(), st.integers(0, 50)),
+    st.one_of(st.none(), st.just("UK")),
+), min_size=1, max_size=60)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows, st.sampled_from([64, 150, 400]))
+def test_split_read_equals_whole_read(spark, data, size):
+    path = export_csv(spark.createDataFrame(data, USER_PURCHASE), scratch_path(spark, "ml_prop"))
+    with tiny_splits(spark, size):
+        whole, split = both(spark, path)
+    assert split == whole
+    assert len(whole) == len(data)

@@ -108,9 +108,10 @@ def test_auto_multiline_per_file(spark, tmp_path):
     assert plan_csv_files(spark, str(folder)) is None  # small files: read whole, no line test
     big = "x" * 2_000_000
     (folder / "c.csv").write_text(HEADER + f'3,C,{big[:900]},1,2010-12-01 08:26:00,1.5,7,UK\n' * 5000)
-    safe, whole = plan_csv_files(spark, str(folder))
-    assert [f.rsplit("/", 1)[-1] for f in safe] == ["c.csv"]
-    assert sorted(f.rsplit("/", 1)[-1] for f in whole) == ["a.csv", "b.csv"]
+    plan = plan_csv_files(spark, str(folder))
+    assert [f.rsplit("/", 1)[-1] for f in plan.line_split] == ["c.csv"]
+    assert sorted(f.rsplit("/", 1)[-1] for f in plan.whole) == ["a.csv", "b.csv"]
+    assert plan.multiline_split == []
     assert read_csv_typed(spark, str(folder)).count() == 5004
 
 
