@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 PIECES = T.StructType([
     T.StructField("kind", T.StringType()),      # rec | open | cont
-    T.StructField("file", T.StringType()),
+    T.StructField("file", T.LongType()),        # 64-bit hash of the file path
     T.StructField("start", T.LongType()),       # split start of the piece's first line
     T.StructField("mid", T.LongType()),         # order of the piece's first line
     T.StructField("first", T.BooleanType()),    # the file's first record (the header)
@@ -131,9 +131,11 @@ def read_multiline_split(spark: SparkSession, files: list[str], schema: T.Struct
     and so the size of the broadcast per-split state.
     """
     quote = options.get("quote", '"')
+    # The file is carried as a 64-bit hash of its path: a long per line instead of the
+    # path string, which otherwise dominates what moves to Python.
     lines = (spark.read.option("lineSep", "\n").text(files)
              .select("value",
-                     F.col("_metadata.file_path").alias("file"),
+                     F.xxhash64("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("start"),
                      F.monotonically_increasing_id().alias("mid"))
              .withColumn("q", F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))))
