@@ -103,6 +103,19 @@ MULTILINE_SPLIT_MIN_BYTES = 1 << 30
 MULTILINE_SPLIT_MIN_CORES = 128
 
 
+def cluster_cores(spark: SparkSession) -> int:
+    """Cores the job can use: the running parallelism, or with dynamic allocation the most
+    executors it may grow to times their cores."""
+    conf = spark.sparkContext.getConf()
+    cores = spark.sparkContext.defaultParallelism
+    if conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        most = int(conf.get("spark.dynamicAllocation.maxExecutors", "0") or 0)
+        per = int(conf.get("spark.executor.cores", "1") or 1)
+        if 0 < most < 10_000_000:
+            cores = max(cores, most * per)
+    return cores
+
+
 @dataclass(frozen=True)
 class CsvPlan:
     line_split: list[str]        # large files without a field spanning lines: split by line
@@ -134,7 +147,7 @@ def plan_csv_files(spark: SparkSession, path: str | list[str],
     big_set = {_same_file(p) for p in big}
     multi = [(p, n) for p, n in files if _same_file(p) in big_set and _same_file(p) not in safe]
     if split_multiline is None:
-        many_cores = spark.sparkContext.defaultParallelism >= MULTILINE_SPLIT_MIN_CORES
+        many_cores = cluster_cores(spark) >= MULTILINE_SPLIT_MIN_CORES
         multi = [(p, n) for p, n in multi if many_cores and n >= MULTILINE_SPLIT_MIN_BYTES]
     elif not split_multiline:
         multi = []
