@@ -119,7 +119,7 @@ def cluster_cores(spark: SparkSession) -> int:
 @dataclass(frozen=True)
 class CsvPlan:
     line_split: list[str]        # large files without a field spanning lines: split by line
-    whole: list[str]             # files no larger than one split: parsed whole
+    whole: list[str]             # files of one split, and unstitched multi-line files: parsed whole
     multiline_split: list[str]   # large files with fields spanning lines: split, then stitched
     multiline_splits: int        # how many splits the last group makes (bounds a broadcast)
 
