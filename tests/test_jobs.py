@@ -127,3 +127,18 @@ def test_bronze_to_gold_allow_stale_uses_previous_export(spark, tmp_path):
     assert result.rows_loaded == 0 and result.export_status == "skipped"
     gold = {r.customer_id: r.amount_spent for r in read_dataset(spark, result.gold, "parquet").collect()}
     assert gold[7] == Decimal("3.000")  # from the previous export
+
+
+def test_cli_main_runs_jobs(spark, tmp_path, capsys):
+    from strata.__main__ import main
+
+    assert main(["test"]) == 0
+    src = export_csv(spark.createDataFrame(PURCHASES, USER_PURCHASE), str(tmp_path / "src"))
+    out = str(tmp_path / "silver" / "user_purchase")
+    assert main(["up", src, out, "parquet"]) == 0
+    assert out in capsys.readouterr().out
+    assert sorted(tuple(r) for r in read_dataset(spark, out, "parquet").collect()) == PURCHASES
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # sized for a tiny input
+    for key in ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"):
+        spark.conf.unset(key)
