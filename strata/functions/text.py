@@ -46,7 +46,11 @@ def without_stop_words(toks: Column, words: Iterable[str]) -> Column:
 
 
 def contains_any(toks: Column, words: Iterable[str]) -> Column:
-    """True when any token is in ``words``; an empty word list gives false."""
+    """True when any token is in ``words``; an empty word list gives false.
+
+    The words travel in the plan as one literal array, so the list should stay small (tens
+    to hundreds of words): the cost per row grows with its length.
+    """
     ws = sorted({w.lower() for w in words})
     if not ws:
         return F.lit(False)
