@@ -113,11 +113,14 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str =
     ``overwrite`` writes a sibling folder and swaps it in after success; ``append``
     adds files in place (one job commit: all or nothing).  ``varchar_limits`` applies
     the VARCHAR rule, since a path has no declared column types to enforce it.
-    ``max_records_per_file`` defaults per format; 0 means unbounded.
+    ``max_records_per_file`` defaults per format (0 means unbounded): CSV and XML may hold
+    records spanning lines and are then read one task per file, so their files are bounded;
+    parquet, orc, avro and JSON lines split on read and keep Spark's one file per task.
     """
     f = check_format(fmt)
     if max_records_per_file is None:
-        max_records_per_file = XML_MAX_RECORDS_PER_FILE if f == "xml" else DEFAULT_MAX_RECORDS_PER_FILE
+        max_records_per_file = {"csv": DEFAULT_MAX_RECORDS_PER_FILE,
+                                "xml": XML_MAX_RECORDS_PER_FILE}.get(f, 0)
     out = enforce_varchar(df, varchar_limits or {})
     if f == "csv":
         out = printable(out)
