@@ -164,7 +164,7 @@ def read_multiline_split(spark: SparkSession, files: list[str], schema: T.Struct
     records = whole.unionByName(stitched)
     if options.get("header", "false").lower() == "true":
         records = records.where(~F.col("first"))
-    text = F.regexp_replace("text", "\r$", "")
+    text = F.regexp_replace("text", "\r\\z", "")  # one CR of a CRLF ending, at the very end
     records = records.select(text.alias("text")).where(F.col("text") != "")
     parse_opts = {k: v for k, v in options.items() if k not in ("header", "multiLine", "enforceSchema")}
     parsed = records.select(F.from_csv("text", schema.simpleString(), parse_opts).alias("r"))

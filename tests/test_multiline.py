@@ -94,3 +94,14 @@ def test_split_read_equals_whole_read(spark, data, size):
         whole, split = both(spark, path)
     assert split == whole
     assert len(whole) == len(data)
+
+
+def test_only_one_trailing_cr_is_removed(spark, write_text):
+    # a quoted field ending in CR, in a CRLF file
+    text = HEADER.replace("\n", "\r\n") + (
+        '1,A,"x\r",1,2010-12-01 08:26:00,1.5,7,"a\nb"\r\n'
+        '2,B,y,2,2010-12-02 00:00:00,2.5,8,"c\nd\r"\r\n') * 20
+    path = write_text(text)
+    with tiny_splits(spark, 100):
+        whole, split = both(spark, path)
+    assert split == whole and len(whole) == 40
