@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from strata.functions.checks import enforce_varchar
 from strata.operators.tables import append_load, create_if_absent, full_refresh_load
 from strata.schemas import USER_PURCHASE, USER_PURCHASE_DDL, USER_PURCHASE_VARCHAR
-from strata.sources.csv import csv_read_options
+from strata.sources.csv import csv_read_options, read_csv_typed
 
 
 @dataclass
@@ -37,6 +37,10 @@ def arrival_load(spark: SparkSession, landing_dir: str, table: str, checkpoint:
     ``mode="append"`` appends each batch; a batch retried after a failure mid-write may be
     appended twice (at-least-once).  ``checkpoint`` must be on shared storage.
 
+    The stream only decides which files are new (its checkpoint records them exactly once);
+    each batch's files are then read with :func:`read_csv_typed`, so a large landed file is
+    split across tasks like a batch read, instead of being one task per file.
+
     ``archive_dir`` moves each processed file there, so the landing folder (listed on every
     run) stays small however many files have arrived over time.  ``max_files_per_trigger``
     bounds the files per batch in ``append`` mode; ``refresh`` mode takes all arrived files
@@ -56,14 +60,19 @@ def arrival_load(spark: SparkSession, landing_dir: str, table: str, checkpoint:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.csv(landing_dir)
-    stream = enforce_varchar(stream, varchar_limits or {})
     result = ArrivalResult()
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        files = batch.inputFiles()
+        if files:
+            rows = read_csv_typed(spark, files, schema, varchar_limits=varchar_limits or {},
+                                  **csv_options)
+        else:
+            rows = enforce_varchar(batch, varchar_limits or {})
         if mode == "refresh":
-            result.rows = full_refresh_load(spark, table, batch, ddl)
+            result.rows = full_refresh_load(spark, table, rows, ddl)
         else:
-            append_load(spark, table, batch)
+            append_load(spark, table, rows)
         result.batches.append(batch_id)
 
     query = (stream.writeStream.foreachBatch(each_batch)

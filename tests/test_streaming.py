@@ -81,3 +81,13 @@ def test_arrival_bad_row_fails_and_keeps_rows(spark, tmp_path):
     with pytest.raises(Exception):
         arrival_load(spark, str(landing / "*"), t, ckpt)
     assert spark.table(t).count() == 2
+
+
+def test_arrival_large_single_file(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    header = "invoice_number,stock_code,detail,quantity,invoice_date,unit_price,customer_id,country\n"
+    (landing / "one.csv").write_text(header + "1,A,d,1,2010-12-01 08:26:00,1.5,7,UK\n" * 200_000)
+    t = scratch_table(spark, "arr6")
+    res = arrival_load(spark, str(landing), t, str(tmp_path / "ckpt"))
+    assert res.rows == 200_000 and spark.table(t).count() == 200_000
