@@ -22,7 +22,7 @@ from strata.plans import inputs
 from strata.plans.jobs import (SILVER_USER_PURCHASE, FlowPaths, bronze_to_gold, run,
                                session_smoke, show_table)
 from strata.schemas import MOVIE_ANALYTICS, REVIEW_LOGS, USER_PURCHASE
-from strata.session import scratch_path, scratch_table, shared_root
+from strata.session import delete_path, scratch_path, scratch_table, shared_root
 from strata.sources.csv import read_bronze_csv, read_csv_typed
 from strata.sources.datasets import read_dataset
 from strata.sources.tables import read_table
@@ -40,6 +40,12 @@ SHOW_N = 20
 
 # --- helpers -------------------------------------------------------------------
 
+def _discard(spark: SparkSession, *paths: str) -> None:
+    """Delete intermediate outputs the returned DataFrame no longer reads."""
+    for path in paths:
+        delete_path(spark, path)
+
+
 def _exported_purchases(spark: SparkSession, sf_dir: str, tag: str) -> str:
     path = scratch_path(spark, tag)
     export_csv(inputs.purchases(spark, sf_dir), path)
@@ -109,6 +115,7 @@ def q_arrival_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = arrival_load(spark, landing, name, checkpoint)
     if len(first.batches) != 1 or second.batches:
         raise AssertionError(f"expected one batch then none, got {first.batches} / {second.batches}")
+    _discard(spark, landing, checkpoint)
     return read_table(spark, name)
 
 
@@ -124,6 +131,7 @@ def q_arrival_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         batches += arrival_load(spark, f"{landing}/*", name, checkpoint, mode="append").batches
     if len(batches) != 2:
         raise AssertionError(f"expected one batch per arrival, got {batches}")
+    _discard(spark, landing, checkpoint)
     return read_table(spark, name)
 
 
@@ -179,6 +187,7 @@ def q_full_refresh_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = scratch_table(spark, "refresh")
     for _ in range(2):
         full_refresh_load(spark, name, read_csv_typed(spark, csv))
+    _discard(spark, csv)
     return read_table(spark, name)
 
 
@@ -251,6 +260,9 @@ def q_bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
         gold_root=scratch_path(spark, "flow_gold"),
     )
     result = bronze_to_gold(spark, paths, "parquet", QUERY_POSITIVE_WORDS)
+    _discard(spark, paths.landing, paths.export, paths.movie_review_csv, paths.log_reviews_csv,
+             paths.silver_root)
+    drop_if_exists(spark, paths.purchase_table)
     return read_dataset(spark, result.gold, "parquet", MOVIE_ANALYTICS)
 
 
@@ -258,6 +270,7 @@ def q_job_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _exported_purchases(spark, sf_dir, "job_src")
     out = scratch_path(spark, "job_silver") + f"/{SILVER_USER_PURCHASE}"
     run(spark, "up", in_csv=src, out=out, fmt="parquet")
+    _discard(spark, src)
     return read_dataset(spark, out, "parquet", USER_PURCHASE)
 
 
