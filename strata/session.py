@@ -59,18 +59,33 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def session_scratch(spark: SparkSession) -> str:
+    """This application's own folder under the shared root."""
+    return f"{shared_root(spark)}/strata/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A fresh, unique path under the shared root."""
-    return f"{shared_root(spark)}/strata/{tag}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path in this application's scratch folder."""
+    return f"{session_scratch(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
 def scratch_database(spark: SparkSession) -> str:
-    """A catalog database whose managed tables live under the shared root."""
-    location = f"{shared_root(spark)}/strata/warehouse".replace("\\", "\\\\").replace("'", "\\'")
+    """A catalog database whose managed tables live in this application's scratch folder."""
+    location = f"{session_scratch(spark)}/warehouse".replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{location}'")
     return SCRATCH_DB
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop the scratch database and delete this application's scratch folder.
+
+    For the end of a run (benchmark, test session): every DataFrame still reading scratch
+    data becomes unreadable afterwards.
+    """
+    spark.sql(f"DROP DATABASE IF EXISTS {SCRATCH_DB} CASCADE")
+    delete_path(spark, session_scratch(spark))
+
+
 def scratch_table(spark: SparkSession, tag: str) -> str:
     """A unique, database-qualified table name in the scratch database."""
     return f"{scratch_database(spark)}.{tag}_{uuid.uuid4().hex[:12]}"

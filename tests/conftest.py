@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from strata.session import build_session  # noqa: E402
+from strata.session import build_session, clear_scratch  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -15,6 +15,7 @@ def spark():
     s = build_session("strata-tests", "local[4]", {"spark.sql.shuffle.partitions": "8"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    clear_scratch(s)
 
 
 @pytest.fixture
