@@ -22,7 +22,7 @@ from strata.plans import inputs
 from strata.plans.jobs import (SILVER_USER_PURCHASE, FlowPaths, bronze_to_gold, run,
                                session_smoke, show_table)
 from strata.schemas import MOVIE_ANALYTICS, REVIEW_LOGS, USER_PURCHASE
-from strata.session import delete_path, scratch_path, scratch_table, shared_root
+from strata.session import delete_path, scratch_path, scratch_table
 from strata.sources.csv import read_bronze_csv, read_csv_typed
 from strata.sources.datasets import read_dataset
 from strata.sources.tables import read_table
@@ -53,10 +53,10 @@ def _exported_purchases(spark: SparkSession, sf_dir: str, tag: str) -> str:
 
 
 def _purchases_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The purchase input computed once and saved to the shared checkpoint folder, for
-    queries that load it more than once (a reliable checkpoint, not a local one)."""
-    shared_root(spark)  # makes sure a checkpoint folder is set
-    return inputs.purchases(spark, sf_dir).checkpoint(eager=True)
+    """The purchase input computed once and written as parquet to the shared scratch folder,
+    for queries that load it more than once (cuts the lineage; removed with the scratch)."""
+    path = write_dataset(inputs.purchases(spark, sf_dir), scratch_path(spark, "purchases"), "parquet")
+    return read_dataset(spark, path, "parquet", USER_PURCHASE)
 
 
 def _loaded_table(spark: SparkSession, sf_dir: str, tag: str, source: DataFrame | None = None) -> str:
