@@ -14,6 +14,10 @@ ordinary splits, and records are put back together:
    (bounded by the record's size) joins the pieces;
 4. Spark's own ``from_csv`` parses each record, with the same options as the file reader.
 
+The two windows per file (split state, and keying continuations) see one or two small rows
+per split, never the lines: their size grows with the number of splits, not with the data,
+so a file holding a third of all rows still puts no rows of its own into one group.
+
 Lines are split on ``\\n`` only, so a ``\\r`` inside a field survives and a ``\\r\\n`` ending is
 removed from each record before parsing.
 """
