@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from strata.llm.quality import op3_quality
+from strata.llm.secrets import op5_secrets
 from strata.llm.toxicity import op6_toxicity
 
 QUERIES = {
+    "op3_quality": op3_quality,
+    "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
 }
 
