@@ -87,6 +87,9 @@ class DoubleArray:
     longest: int
 
 
+SLOTS = 2048  # slots of the double array tried at a time
+
+
 def build_trie(pieces: Pieces) -> DoubleArray:
     alphabet = sorted({c for t in pieces.texts for c in t})
     codes = {c: i + 1 for i, c in enumerate(alphabet)}
@@ -111,17 +114,21 @@ def build_trie(pieces: Pieces) -> DoubleArray:
             continue
         while check[free] >= 0:
             free += 1
-        at = max(1, free - int(signs[0]))
+        low = max(free, int(signs[0]) + 1)  # the first sign's slot is looked for from here
         while True:
-            if at + signs[-1] + len(alphabet) + 2 >= len(check):
+            while low + SLOTS + len(alphabet) + 2 >= len(check):
                 grow = len(check)
                 base = np.concatenate([base, np.zeros(grow, np.int64)])
                 check = np.concatenate([check, np.full(grow, -1, np.int64)])
                 ids = np.concatenate([ids, np.full(grow, -1, np.int64)])
                 scores = np.concatenate([scores, np.full(grow, -np.inf)])
-            if (check[at + signs] < 0).all():
+            starts = low + np.flatnonzero(check[low:low + SLOTS] < 0) - signs[0]
+            for sign in signs[1:]:
+                starts = starts[check[starts + sign] < 0]
+            if len(starts):
                 break
-            at += 1
+            low += SLOTS
+        at = int(starts[0])
         base[state] = at
         check[at + signs] = state
         queue.extend((at + int(s), node[int(s)]) for s in signs)

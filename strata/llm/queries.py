@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from strata.llm.html import op4_html
+from strata.llm.pieces import op1_sentencepiece
 from strata.llm.quality import op3_quality
 from strata.llm.secrets import op5_secrets
 from strata.llm.toxicity import op6_toxicity
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op3_quality": op3_quality,
+    "op4_html": op4_html,
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
 }
