@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from strata.llm.decontaminate import op10_decontamination
 from strata.llm.html import op4_html
 from strata.llm.pieces import op1_sentencepiece
 from strata.llm.quality import op3_quality
 from strata.llm.secrets import op5_secrets
+from strata.llm.substrings import op2_substrings
 from strata.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_substrings": op2_substrings,
     "op3_quality": op3_quality,
     "op4_html": op4_html,
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
