@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from strata.llm.decontaminate import op10_decontamination
 from strata.llm.html import op4_html
+from strata.llm.jaccard import op7_jaccard
 from strata.llm.pieces import op1_sentencepiece
 from strata.llm.quality import op3_quality
 from strata.llm.secrets import op5_secrets
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_html": op4_html,
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
+    "op7_jaccard": op7_jaccard,
     "op10_decontamination": op10_decontamination,
 }
 
