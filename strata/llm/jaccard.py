@@ -59,7 +59,8 @@ def sets_of(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
                     [g.tolist() for g in got], [bitmap(g) for g in got]]
         return fn
 
-    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                     F.sha2(F.col(f"`{text_col}`").cast("binary"), 256).alias("sha"))
     return map_rows(docs, ["text"], fields("key string, n long, shingles longs, bits binary"), setup).drop("text")
 
 
@@ -174,7 +175,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size: int = SHINGLE,
          percent: int = PERCENT) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id``, the smallest id its links reach."""
+    """Per row: ``doc_id, n_shingles, component_id`` (the smallest id its links reach), ``sha`` of the
+    text and ``comp``, the component's name (set even where ids are null)."""
     all_sets = saved(sets_of(df, id_col, text_col, size).withColumn(
         "rank", F.coalesce("doc_id", F.lit(_LAST_ID))), "jaccard-sets")
     sets = saved(all_sets.where("n > 0").select("key", "n", "shingles", "bits").dropDuplicates(["key"]), "jaccard-nodes")
@@ -197,16 +199,30 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size:
     rows = named.join(mixed, "shingle").join(sets.select("key", "bits"), "key").select("shingle", "key", "comp", "n", "bits")
     more = saved(_verified(_bucket_pairs(rows, percent), sets, percent), "jaccard-more")
     final = saved(components(links.union(more), "jaccard-all"), "jaccard-final")
-    placed = all_sets.select("doc_id", "rank", "key", "n").join(final, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    placed = all_sets.select("doc_id", "rank", "key", "n", "sha").join(final, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     placed = saved(placed, "jaccard-placed")
     first = placed.where("n > 0").groupBy("comp").agg(F.min("rank").alias("first"))
     return placed.join(first, "comp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when((F.col("n") == 0) | (F.col("first") == _LAST_ID), F.col("doc_id")).otherwise(F.col("first")).alias("component_id"))
+        F.when((F.col("n") == 0) | (F.col("first") == _LAST_ID), F.col("doc_id")).otherwise(F.col("first")).alias("component_id"),
+        "sha", "comp")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the smallest id of each component, once; rows with empty sets all stay."""
+    found = saved(join(df, id_col, text_col), "jaccard-join")
+    best = (found.where("n_shingles > 0").groupBy("comp")
+            .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("__rank"), F.col("sha").alias("__sha"))).alias("b"))
+            .select("b.*"))
+    empty = found.where("n_shingles = 0").select("sha").distinct().select(F.coalesce("sha", F.lit("")).alias("__sha"))
+    marked = df.withColumn("__rank", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LAST_ID))).withColumn(
+        "__sha", F.coalesce(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256), F.lit("")))
+    one = marked.join(best, ["__rank", "__sha"], "left_semi").dropDuplicates(["__rank", "__sha"])
+    return one.select(df.columns).unionByName(marked.join(empty, "__sha", "left_semi").select(df.columns))
 
 
 def op7_jaccard(spark, sf_dir: str) -> DataFrame:
-    return join(load(spark, sf_dir, "documents", "doc_id", "text"))
+    return join(load(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
 
 
 def brute_force(rows, size: int = SHINGLE, percent: int = PERCENT):
