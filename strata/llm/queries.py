@@ -5,6 +5,7 @@ from __future__ import annotations
 from strata.llm.decontaminate import op10_decontamination
 from strata.llm.html import op4_html
 from strata.llm.jaccard import op7_jaccard
+from strata.llm.maxent import op8_maxent
 from strata.llm.neighbours import op9_neighbours
 from strata.llm.pieces import op1_sentencepiece
 from strata.llm.quality import op3_quality
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
     "op7_jaccard": op7_jaccard,
+    "op8_maxent": op8_maxent,
     "op9_neighbours": op9_neighbours,
     "op10_decontamination": op10_decontamination,
 }
