@@ -51,9 +51,8 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns as reviews: ``(customer_id, review_id, review_text)``."""
+    """Every conversation turn as a review: ``(customer_id, review_id, review_text)``."""
     return (table(spark, sf_dir, "conversations")
-            .where(F.col("role") == "user")
             .select(F.col("conv_id").alias("customer_id"), F.col("turn").alias("review_id"),
                     F.col("text").alias("review_text")))
 

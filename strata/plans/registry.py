@@ -316,7 +316,7 @@ from lineitem join orders on l_orderkey = o_orderkey
 
 REVIEWS_SQL = """
 select conv_id as customer_id, turn as review_id, text as review_text
-from conversations where role = 'user'
+from conversations
 """
 
 # "the" and "and" of QUERY_POSITIVE_WORDS are English stop words, so only these can match.

@@ -8,6 +8,7 @@ folder is used only when the setting is absent *and* the master is local (tests)
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -23,7 +24,7 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-SCRATCH_DB = "strata_scratch"
+SCRATCH_DB_PREFIX = "strata_scratch_"
 
 
 def build_session(app_name: str = "strata", master: str | None = None,
@@ -69,11 +70,17 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{session_scratch(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_database_name(application_id: str) -> str:
+    """One database per application, so clearing one never touches another's tables."""
+    return SCRATCH_DB_PREFIX + re.sub(r"[^0-9a-z]", "_", application_id.lower())
+
+
 def scratch_database(spark: SparkSession) -> str:
     """A catalog database whose managed tables live in this application's scratch folder."""
     location = f"{session_scratch(spark)}/warehouse".replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{location}'")
-    return SCRATCH_DB
+    name = scratch_database_name(spark.sparkContext.applicationId)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
+    return name
 
 
 def clear_scratch(spark: SparkSession) -> None:
@@ -82,7 +89,7 @@ def clear_scratch(spark: SparkSession) -> None:
     For the end of a run (benchmark, test session): every DataFrame still reading scratch
     data becomes unreadable afterwards.
     """
-    spark.sql(f"DROP DATABASE IF EXISTS {SCRATCH_DB} CASCADE")
+    spark.sql(f"DROP DATABASE IF EXISTS {scratch_database_name(spark.sparkContext.applicationId)} CASCADE")
     delete_path(spark, session_scratch(spark))
 
 
@@ -104,11 +111,12 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def sized_conf(total_bytes: int, partition_bytes: int = 256 << 20,
-               min_partitions: int = 8, max_partitions: int = 200_000) -> dict[str, str]:
+               min_partitions: int = 8, max_partitions: int | None = None) -> dict[str, str]:
     """Runtime settings that keep each scan split and each shuffle partition near
     ``partition_bytes``: enough initial shuffle partitions for the input (AQE coalesces
     small ones afterwards, but cannot split an aggregation's partitions)."""
-    n = min(max_partitions, max(min_partitions, math.ceil(total_bytes / partition_bytes)))
+    n = max(min_partitions, math.ceil(total_bytes / partition_bytes))
+    n = n if max_partitions is None else min(max_partitions, n)
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),

@@ -99,7 +99,8 @@ def test_sized_conf(spark, tmp_path):
 
     assert sized_conf(0)["spark.sql.shuffle.partitions"] == "8"
     assert sized_conf(10 << 40)["spark.sql.shuffle.partitions"] == str((10 << 40) // (256 << 20))
-    assert sized_conf(10 << 50)["spark.sql.shuffle.partitions"] == "200000"
+    assert sized_conf(10 << 50)["spark.sql.shuffle.partitions"] == str((10 << 50) // (256 << 20))
+    assert sized_conf(10 << 50, max_partitions=1000)["spark.sql.shuffle.partitions"] == "1000"
     (tmp_path / "f").write_bytes(b"x" * 1000)
     assert input_bytes(spark, [str(tmp_path)]) == 1000
 
