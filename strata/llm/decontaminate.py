@@ -100,7 +100,7 @@ def matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_c
         windows = (spots.select("doc_id", "text_key", "n", F.greatest(F.lit(0), F.least(
             F.col("at") - F.col("off"), F.col("total") - F.col("n"))).alias("start")).distinct()
             .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n")).alias("windows")))
-        cut = (here.dropDuplicates(["doc_id", "text_key"]).withColumn("__id", F.struct("doc_id"))
+        cut = (here.withColumn("__id", F.struct("doc_id"))
                .join(windows.withColumn("__id", F.struct("doc_id")).drop("doc_id"), ["__id", "text_key"])
                .select("doc_id", "shingles", F.explode("windows").alias("w"))
                .select("doc_id", F.col("w.start").alias("start"), F.col("w.n").alias("n"),
@@ -114,7 +114,7 @@ def matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_c
     pairs = (windows.select("doc_id", "start", "n", "shingles", "print", F.inline(_blocks("print", radius)))
              .join(right, ["n", "block", "bits"])
              .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-             .dropDuplicates(["doc_id", "start", "n", "item_id"]))
+             .dropDuplicates(["doc_id", "start", "n", "item_id", "print"]))
     both = F.aggregate(F.array_distinct("shingles"), F.lit(0), lambda a, h: a + F.least(
         F.size(F.filter("shingles", lambda x: x == h)), F.size(F.filter("item_shingles", lambda x: x == h))))
     scored = (pairs.withColumn("both", both)
