@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from strata.functions.checks import enforce_varchar
 from strata.session import delete_path, hidden_sibling, replace_path
+from strata.sources.csv import NULL_MARKER
 from strata.sources.datasets import TEXT_TIME_OPTIONS, XML_ROOT_TAG, XML_ROW_TAG, check_format
 
 # Bounds the rows per part file so that a multi-line (hence unsplittable) re-read of an
@@ -27,7 +28,10 @@ XML_MAX_RECORDS_PER_FILE = 200_000
 
 
 def csv_write_options(*, conflate_empty: bool = False, delimiter: str = ",",
-                      max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE) -> dict[str, str]:
+                      max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE,
+                      columns: int = 2) -> dict[str, str]:
+    """``columns``: a single column's NULL would be an empty line, which readers skip, so it is
+    written as the marker that :mod:`strata.sources.csv` reads as NULL."""
     opts = {
         "header": "true",
         "sep": delimiter,
@@ -37,7 +41,7 @@ def csv_write_options(*, conflate_empty: bool = False, delimiter: str = ",",
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
         # NULL prints as nothing; an empty string as "" unless asked to conflate them.
-        "nullValue": "",
+        "nullValue": NULL_MARKER if columns == 1 else "",
         "emptyValue": "" if conflate_empty else '""',
     }
     if max_records_per_file:
@@ -81,7 +85,7 @@ def export_csv(df: DataFrame, path: str, *, conflate_empty: bool = False,
     """
     out = printable(df)
     writer = out.write.mode("errorifexists").options(
-        **csv_write_options(conflate_empty=conflate_empty, max_records_per_file=max_records_per_file))
+        **csv_write_options(conflate_empty=conflate_empty, max_records_per_file=max_records_per_file, columns=len(out.columns)))
     _write_then_swap(df.sparkSession, writer.csv, path)
     return path
 
@@ -126,7 +130,8 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str =
         out = printable(out)
     writer = out.write.format(f)
     if f == "csv":
-        writer = writer.options(**csv_write_options(max_records_per_file=max_records_per_file))
+        writer = writer.options(**csv_write_options(max_records_per_file=max_records_per_file,
+                                                     columns=len(out.columns)))
     elif max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if f in ("json", "xml"):

@@ -75,7 +75,9 @@ def movie_analytics(purchases: DataFrame, reviews: DataFrame, logs: DataFrame,
     ``(customer_id, amount_spent, review_score, review_count, log_count, last_log)`` with
     ``amount_spent = sum(quantity * unit_price)``, ``review_score = sum(positive_review)``;
     a customer missing from an input gets 0 counts and sums and a NULL ``last_log``.
-    Customers are those found in any input (plus every key of ``customers`` if given).
+    Customers are those found in any input (plus every key of ``customers`` if given).  Rows
+    without a customer belong to no row of the result: one row for all of them would add up
+    purchases, reviews and logs that have nothing in common.
 
     Plan: the inputs are projected to one narrow shape, unioned and grouped once.  That is
     a single shuffle with map-side partial aggregation, so a customer holding a large share
@@ -103,7 +105,7 @@ def movie_analytics(purchases: DataFrame, reviews: DataFrame, logs: DataFrame,
     unioned = parts[0]
     for p in parts[1:]:
         unioned = unioned.unionByName(p)
-    return unioned.groupBy("customer_id").agg(
+    return unioned.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.coalesce(F.sum("amount"), F.lit(0)).cast(T.DecimalType(38, 3)).alias("amount_spent"),
         F.coalesce(F.sum("positive"), F.lit(0)).cast("long").alias("review_score"),
         F.count("review_flag").alias("review_count"),

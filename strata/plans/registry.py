@@ -200,7 +200,7 @@ def q_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_guarded_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    up = inputs.purchases(spark, sf_dir)
+    up = read_table(spark, _loaded_table(spark, sf_dir, "guarded"))  # gate on the loaded table
     path = scratch_path(spark, "guarded")
     first = guarded_export(up, path)
     second = guarded_export(up.where(F.lit(False)), path)  # empty input: old export stays
@@ -330,29 +330,29 @@ from (""" + REVIEWS_SQL + ")"
 
 LOGS_SQL = "select event_id, ts, user_id, event_type, value from events"
 
+# Joins of per-customer aggregates, unlike the union that the transform groups.
 ANALYTICS_SQL = """
-select customer_id,
-       cast(coalesce(sum(amount), 0) as decimal(38,3)) as amount_spent,
-       cast(coalesce(sum(positive), 0) as bigint) as review_score,
-       count(review_flag) as review_count,
-       count(log_flag) as log_count,
-       max(log_ts) as last_log
-from (
+with p as (
   select cast(customer_id as bigint) as customer_id,
-         cast(quantity as decimal(10,0)) * unit_price as amount,
-         cast(null as int) as positive, cast(null as int) as review_flag,
-         cast(null as timestamp) as log_ts, cast(null as int) as log_flag
-  from (""" + PURCHASES_SQL + """)
-  union all
-  select customer_id, null, positive_review, 1, null, null from (""" + CLASSIFIED_SQL + """)
-  union all
-  select user_id, null, null, null, ts, 1 from (""" + LOGS_SQL + """)
-  {customers}
-) u
-group by customer_id
+         sum(cast(quantity as decimal(10,0)) * unit_price) as amount
+  from (""" + PURCHASES_SQL + """) where customer_id is not null group by 1
+), r as (
+  select customer_id, sum(positive_review) as score, count(*) as n
+  from (""" + CLASSIFIED_SQL + """) where customer_id is not null group by 1
+), l as (
+  select user_id as customer_id, count(*) as n, max(ts) as last_log
+  from (""" + LOGS_SQL + """) where user_id is not null group by 1
+), k as (
+  select customer_id from p union select customer_id from r union select customer_id from l {customers}
+)
+select k.customer_id, cast(coalesce(p.amount, 0) as decimal(38,3)) as amount_spent,
+       cast(coalesce(r.score, 0) as bigint) as review_score, coalesce(r.n, 0) as review_count,
+       coalesce(l.n, 0) as log_count, l.last_log
+from k left join p on p.customer_id = k.customer_id left join r on r.customer_id = k.customer_id
+     left join l on l.customer_id = k.customer_id
 """
 
-ALL_CUSTOMERS_SQL = "union all\n  select c_custkey, null, null, null, null, null from customer"
+ALL_CUSTOMERS_SQL = "union select c_custkey from customer"
 
 CSV_EXPORT_SQL = """
 select cast(invoice_number as varchar) as invoice_number, stock_code, detail,

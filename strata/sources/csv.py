@@ -5,28 +5,21 @@
 * an unquoted empty field is NULL, a quoted ``""`` is an empty string;
 * a quoted field may hold the delimiter, doubled quotes and newlines.
 
-Multi-line parsing makes a file unsplittable.  ``multi_line="auto"`` (the default) looks
-at the files too big for one split and finds, with one parallel pass over their raw lines,
-those in which some quoted field spans a line break.  The others are split by line; these
-are read whole, or, when they are large and the cluster is wide, split too and their records
-stitched back together (:mod:`strata.sources.multiline`).  Writers in
-:mod:`strata.operators.sinks` bound the rows per file, so even multi-line re-reads of their
-output run one task per modest file.
+Multi-line parsing makes a file unsplittable, so one huge file is one task: land many files,
+or read with ``multi_line=False`` where no field spans lines.  Which parser reads a file is the
+caller's choice alone; it never depends on the file's size or on the cluster.  Writers in
+:mod:`strata.operators.sinks` bound the rows per file, so re-reads of their output run one
+task per modest file.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
-from dataclasses import dataclass
-from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.checks import enforce_varchar
-from strata.sources.multiline import read_multiline_split
 from strata.schemas import LOG_REVIEW, MOVIE_REVIEW, USER_PURCHASE, USER_PURCHASE_VARCHAR
 
 # A token that never occurs in data: unquoted empty fields become NULL, quoted "" stays "".
@@ -53,126 +46,14 @@ def csv_read_options(*, header: bool = True, mode: str = "FAILFAST", multi_line:
     return opts
 
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def _bytes(text: str) -> int:
-    t = str(text).strip().lower()
-    digits = t.rstrip("abcdefghijklmnopqrstuvwxyz")
-    return int(digits) * _UNITS[t[len(digits):]]
-
-
-def max_split_bytes(spark: SparkSession, total_bytes: int) -> int:
-    """The most bytes Spark puts in one file split for a scan of ``total_bytes``."""
-    max_part = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    open_cost = _bytes(spark.conf.get("spark.sql.files.openCostInBytes"))
-    min_parts = spark.conf.get("spark.sql.files.minPartitionNum", None)
-    parallelism = int(min_parts) if min_parts else spark.sparkContext.defaultParallelism
-    return min(max_part, max(open_cost, total_bytes // max(1, parallelism)))
-
-
-def _same_file(uri: str) -> str:
-    """One spelling per file: ``file:/x``, ``file:///x`` and percent-encoded forms agree."""
-    parts = urlsplit(uri)
-    path = unquote(parts.path)
-    return f"{parts.scheme}://{parts.netloc}{path}" if parts.netloc else f"{parts.scheme}:{path}"
-
-
-def files_with_multiline_fields(spark: SparkSession, path: str | list[str],
-                                quote: str = '"') -> tuple[list[str], list[str]]:
-    """Split the files under ``path`` into (line-safe files, files needing multi-line mode).
-
-    With ``quote`` doubled as its own escape, a quoted field spans a line break exactly when
-    the line it opens on holds an odd number of quote characters.  The test runs on the raw
-    lines in parallel and returns only file names (metadata-sized) to the driver.
-    """
-    lines = spark.read.text(path)
-    everything = sorted(lines.inputFiles())
-    odd = (lines.where(((F.length("value") - F.length(F.translate("value", quote, ""))) % 2) == 1)
-           .select(F.input_file_name().alias("file")).distinct())
-    flagged = {_same_file(r.file) for r in odd.collect()}
-    multi = [f for f in everything if _same_file(f) in flagged]
-    return [f for f in everything if _same_file(f) not in flagged], multi
-
-
-# Stitching multi-line files back together costs far more per byte than one whole-file
-# parse (measured here: ~1.3 MB/s per core against ~100 MB/s for one task), so it is used
-# only where it wins: large files on a cluster with many cores.
-MULTILINE_SPLIT_MIN_BYTES = 1 << 30
-MULTILINE_SPLIT_MIN_CORES = 128
-
-
-def cluster_cores(spark: SparkSession) -> int:
-    """Cores the job can use: the running parallelism, or with dynamic allocation the most
-    executors it may grow to times their cores."""
-    conf = spark.sparkContext.getConf()
-    cores = spark.sparkContext.defaultParallelism
-    if conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true":
-        most = int(conf.get("spark.dynamicAllocation.maxExecutors", "0") or 0)
-        per = int(conf.get("spark.executor.cores", "1") or 1)
-        if 0 < most < 10_000_000:
-            cores = max(cores, most * per)
-    return cores
-
-
-@dataclass(frozen=True)
-class CsvPlan:
-    line_split: list[str]        # large files without a field spanning lines: split by line
-    whole: list[str]             # files of one split, and unstitched multi-line files: parsed whole
-    multiline_split: list[str]   # large files with fields spanning lines: split, then stitched
-    multiline_splits: int        # how many splits the last group makes (bounds a broadcast)
-
-
-def plan_csv_files(spark: SparkSession, path: str | list[str],
-                   split_multiline: bool | None = None) -> CsvPlan | None:
-    """How to read each file under ``path``; ``None`` means every file is read whole.
-
-    A file no larger than Spark's split size is one task either way, so it is read whole
-    without looking at it.  Only larger files get the line test of
-    :func:`files_with_multiline_fields`.  The listing comes from a ``binaryFile`` scan of
-    path and length only, which opens no file.  Large files with fields spanning lines are
-    split and stitched when ``split_multiline`` is true; when it is ``None``, only if they
-    reach ``MULTILINE_SPLIT_MIN_BYTES`` and the session has ``MULTILINE_SPLIT_MIN_CORES``.
-    """
-    files = [(r.path, r.length) for r in
-             spark.read.format("binaryFile").load(path).select("path", "length").collect()]
-    open_cost = _bytes(spark.conf.get("spark.sql.files.openCostInBytes"))
-    split = max_split_bytes(spark, sum(n + open_cost for _, n in files))
-    big = [p for p, n in files if n > split]
-    if not big:
-        return None
-    line_safe, _ = files_with_multiline_fields(spark, big)
-    safe = {_same_file(p) for p in line_safe}
-    big_set = {_same_file(p) for p in big}
-    multi = [(p, n) for p, n in files if _same_file(p) in big_set and _same_file(p) not in safe]
-    if split_multiline is None:
-        many_cores = cluster_cores(spark) >= MULTILINE_SPLIT_MIN_CORES
-        multi = [(p, n) for p, n in multi if many_cores and n >= MULTILINE_SPLIT_MIN_BYTES]
-    elif not split_multiline:
-        multi = []
-    stitched = {_same_file(p) for p, _ in multi}
-    ml_split = max_split_bytes(spark, sum(n + open_cost for _, n in multi))
-    return CsvPlan(
-        line_split=sorted(p for p in big if _same_file(p) in safe),
-        whole=sorted(p for p, _ in files
-                     if (_same_file(p) not in big_set or _same_file(p) not in safe)
-                     and _same_file(p) not in stitched),
-        multiline_split=sorted(p for p, _ in multi),
-        multiline_splits=sum(math.ceil(n / max(1, ml_split)) for _, n in multi),
-    )
-
-
 def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructType = USER_PURCHASE,
-                   *, varchar_limits: Mapping[str, int] | None = None,
-                   multi_line: bool | str = "auto", split_multiline: bool | None = None,
+                   *, varchar_limits: Mapping[str, int] | None = None, multi_line: bool = True,
                    **options) -> DataFrame:
     """Read header CSV at ``path`` as ``schema``.
 
-    ``multi_line``: ``True`` reads every file whole (one task per file), ``False`` splits
-    files by line and fails on a field with a line break, ``"auto"`` decides per file (an
-    extra parallel pass over the raw text of files too big for one split; see
-    :func:`plan_csv_files`).
+    ``multi_line=True`` (the default) parses each file whole, one task per file, so a quoted
+    field may span lines.  ``False`` is the caller's statement that no field does and that
+    blank lines may be skipped; files are then split by line across tasks.
     ``varchar_limits`` (defaults to the purchase table's when ``schema`` is the purchase
     schema) adds the VARCHAR length rule as a column expression.  The result is lazy and
     column pruning skips parsing of unread columns, so a bad field in a column nobody reads
@@ -180,30 +61,7 @@ def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructT
     """
     if varchar_limits is None and schema == USER_PURCHASE:
         varchar_limits = USER_PURCHASE_VARCHAR
-
-    def load(paths, multi: bool) -> DataFrame:
-        opts = csv_read_options(multi_line=multi, **options)
-        return spark.read.schema(schema).options(**opts).csv(paths)
-
-    if multi_line == "auto":
-        plan = plan_csv_files(spark, path, split_multiline)
-        if plan is None:
-            df = load(path, True)
-        else:
-            parts = []
-            if plan.line_split:
-                parts.append(load(plan.line_split, False))
-            if plan.whole:
-                parts.append(load(plan.whole, True))
-            if plan.multiline_split:
-                parts.append(read_multiline_split(
-                    spark, plan.multiline_split, schema,
-                    csv_read_options(multi_line=True, **options), plan.multiline_splits))
-            df = parts[0]
-            for part in parts[1:]:
-                df = df.unionByName(part)
-    else:
-        df = load(path, bool(multi_line))
+    df = spark.read.schema(schema).options(**csv_read_options(multi_line=multi_line, **options)).csv(path)
     return enforce_varchar(df, varchar_limits or {})
 
 

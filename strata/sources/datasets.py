@@ -39,7 +39,7 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet",
     For ``json``, ``csv`` and ``xml`` pass ``schema`` to get the written types back.
     """
     f = check_format(fmt)
-    if f == "csv" and schema is not None:  # same split planning as typed CSV reads
+    if f == "csv" and schema is not None:  # the bulk-load rules of typed CSV reads
         return read_csv_typed(spark, path, schema, varchar_limits={})
     reader = spark.read
     if schema is not None:

@@ -54,20 +54,3 @@ def test_purchase_input_at_scale_shuffles_lineitem_twice(spark):
     # lineitem, orders, customer, the order side, the lineitem side, part
     assert shuffles == 6
     assert t.count("BroadcastExchange") == 1  # nation: 25 rows at every scale factor
-
-
-def test_multiline_stitch_keeps_lines_in_place(spark, write_text):
-    from pyspark.sql import types as T
-
-    from strata.sources.csv import csv_read_options
-    from strata.sources.multiline import read_multiline_split
-
-    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
-    path = write_text("a,b\n" + '1,"x\ny"\n' * 10)
-    df = read_multiline_split(spark, [path], schema, csv_read_options(), n_splits=1)
-    p = plan(df)
-    # lines meet their split state through a broadcast and are sorted only within their
-    # partition: no range shuffle of the data
-    assert "BroadcastHashJoin" in p and "MapInPandas" in p
-    assert "rangepartitioning" not in p
-    assert sorted(r.b for r in df.collect()) == ["x\ny"] * 10

@@ -91,3 +91,14 @@ def test_replaced_export_leaves_only_target(spark, tmp_path):
     export_csv(df, str(tmp_path / "x"))
     export_csv(df, str(tmp_path / "x"))
     assert os.listdir(tmp_path) == ["x"]
+
+
+def test_one_column_csv_keeps_nulls(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from strata.operators import write_dataset
+    from strata.sources import read_dataset
+
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    path = write_dataset(spark.createDataFrame([("x",), (None,), ("",)], schema), str(tmp_path / "one"), "csv")
+    assert sorted((r.a for r in read_dataset(spark, path, "csv", schema).collect()), key=str) == ["", None, "x"]

@@ -41,15 +41,31 @@ def test_arrival_archives_processed_files(spark, tmp_path):
     t = scratch_table(spark, "arr3")
     archive = str(tmp_path / "archive")
     ckpt = str(tmp_path / "ckpt")
-    assert arrival_load(spark, str(landing / "*"), t, ckpt, archive_dir=archive).rows == 3
+    assert arrival_load(spark, str(landing / "*"), t, ckpt, mode="append", archive_dir=archive).batches
     # Spark archives a batch's files when it commits the following batch.
     export_csv(spark.createDataFrame([ROW] * 2, USER_PURCHASE), str(landing / "b"))
-    assert arrival_load(spark, str(landing / "*"), t, ckpt, archive_dir=archive).rows == 2
+    assert arrival_load(spark, str(landing / "*"), t, ckpt, mode="append", archive_dir=archive).batches
     left = {f for f in os.listdir(landing / "a") if f.endswith(".csv")}
     archived = {f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")}
     assert first and not (first & left) and first <= archived
 
 
+def test_arrival_refresh_sees_a_replaced_object(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    header = "invoice_number,stock_code,detail,quantity,invoice_date,unit_price,customer_id,country\n"
+    line = "{},A,d,1,2010-12-01 08:26:00,1.5,7,UK\n"
+    t, ckpt = scratch_table(spark, "arr7"), str(tmp_path / "ckpt")
+    (landing / "user_purchase.csv").write_text(header + line.format(1))
+    assert arrival_load(spark, str(landing), t, ckpt).rows == 1
+    (landing / "user_purchase.csv").write_text(header + line.format(22) + line.format(33))
+    assert arrival_load(spark, str(landing), t, ckpt).rows == 2
+    assert sorted(r[0] for r in spark.table(t).collect()) == ["22", "33"]
+    (landing / "late.csv").write_text(header + line.format(4))  # a second part: both stay
+    assert arrival_load(spark, str(landing), t, ckpt).rows == 3
+    assert arrival_load(spark, str(landing), t, ckpt).batches == []
+
+
 def test_arrival_append_in_bounded_batches(spark, tmp_path):
     import pytest
 

@@ -138,3 +138,12 @@ def test_user_purchase_zone_independent(spark, tmp_path):
         assert tuple(user_purchase(read_csv_typed(spark, path)).first()) == row
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_movie_analytics_leaves_out_rows_without_a_customer(spark):
+    purchases, reviews, logs = _inputs(spark)
+    nobody = (spark.createDataFrame([("9", "Z", "d", 1, dt.datetime(2010, 1, 1), Decimal("5.000"), None, "UK")], USER_PURCHASE),
+              spark.createDataFrame([(None, 9, 1)], CLASSIFIED_REVIEW),
+              spark.createDataFrame([(9, dt.datetime(2024, 1, 1), None, "view", 1.0)], REVIEW_LOGS))
+    more = movie_analytics(purchases.union(nobody[0]), reviews.union(nobody[1]), logs.union(nobody[2]))
+    assert sorted(more.collect()) == sorted(movie_analytics(purchases, reviews, logs).collect())
