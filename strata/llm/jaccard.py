@@ -1,15 +1,17 @@
 """N-gram Jaccard join by signature trees, and its connected components.
 
 A document's set is its distinct shingles (runs of ``size`` lower-cased words; a shorter text is
-one shingle).  Equal sets are one node.  Sets that are similar enough share one of their rarest
-shingles (the prefix filter, rarest first over all sets), so sets meet in buckets by shingle:
+one shingle).  Equal texts are one node.  Sets that are similar enough share a shingle among the
+first of each by any fixed order of all shingles (the prefix filter); the order is by a sketch of the
+shingles' counts, rare ones first, so sets meet in small buckets.  The sketch only orders: it has a
+fixed size and its errors cost time, never links.
 
 1. every set is compared with one set of each of its buckets, which already connects most copies;
 2. in each bucket that still holds several components, sorted rows form a signature tree: nodes
    hold the OR of the token bitmaps and the range of sizes and components below them.  A dual
    traversal drops node pairs of one component or whose largest possible overlap is too small.
 
-Surviving pairs are verified exactly on the shingles.  No link between components is lost; a pair
+Surviving pairs are verified on the shingles of their texts.  No link between components is lost; a pair
 within a component found before is not looked for, since it cannot change the result.
 
 Null and blank texts have the empty set and no links; repeated rows and equal texts are linked
@@ -19,30 +21,41 @@ members' are null; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import ascii_lower, fields, load, map_rows, saved, words_of
+from strata.llm.substrings import Windows, _mix
 
 SHINGLE, PERCENT = 5, 75
 BITMAP_BYTES = 128
 LEAF = 32  # rows of a leaf of the tree
+SLOT_BITS = 18  # the count sketch has 2 ** SLOT_BITS numbers at any input size
 _LAST_ID = (1 << 63) - 1
 
 
+class Shingler:
+    """Sorted 64-bit hashes of a text's distinct shingles."""
+
+    def __init__(self, size: int = SHINGLE):
+        self.size, self.words = size, Windows(size)
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        codes = self.words.codes(ascii_lower(text)) if text else np.zeros(0, np.uint64)
+        size = min(self.size, len(codes))
+        if not size:
+            return np.zeros(0, np.int64)
+        runs = np.full(len(codes) - size + 1, size, np.uint64)  # shorter runs differ from the start
+        for k in range(size):
+            runs = _mix(runs * np.uint64(0x9E3779B97F4A7C15) + codes[k:len(codes) - size + 1 + k])
+        return np.unique(runs).view(np.int64)
+
+
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles."""
-    words = words_of(ascii_lower(text)) if text else []
-    if not words:
-        return np.zeros(0, np.int64)
-    runs = {" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))}
-    codes = [xxhash.xxh3_64_intdigest(r.encode("utf-8", "surrogatepass")) for r in runs]
-    return np.unique(np.array(codes, np.uint64).view(np.int64))
+    return Shingler(size)(text)
 
 
 def bitmap(codes: np.ndarray) -> bytes:
@@ -51,17 +64,43 @@ def bitmap(codes: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def sets_of(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+def _slots(codes: np.ndarray) -> np.ndarray:
+    return (codes.view(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def sketch(docs: DataFrame, size: int) -> np.ndarray:
+    """How many sets have a shingle of each slot: summed in each task, then by Spark."""
+    def run(batches):
+        shingler, counts = Shingler(size), np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                np.add.at(counts, _slots(shingler(text.as_py())), 1)
+        spots = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(spots), pa.array(counts[spots])], names=["slot", "c"])
+
+    got = docs.select("text").mapInArrow(run, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    counts[got.column("slot").to_numpy()] = got.column("c").to_numpy()
+    return counts
+
+
+def sets_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Per row ``n`` (set size), ``prefix`` (the first shingles by the sketch) and ``bits``."""
+    counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, size))  # 2 ** SLOT_BITS numbers
+
     def setup():
+        shingler, common = Shingler(size), counts.value
+
+        def prefix(codes: np.ndarray) -> list[int]:
+            room = len(codes) - -(-percent * len(codes) // 100) + 1 if len(codes) else 0
+            return codes[np.lexsort((codes, common[_slots(codes)]))[:room]].tolist()
+
         def fn(texts):
-            got = [shingles(t, size) for t in texts]
-            return [[hashlib.md5(g.tobytes()).hexdigest() for g in got], [len(g) for g in got],
-                    [g.tolist() for g in got], [bitmap(g) for g in got]]
+            got = [shingler(t) for t in texts]
+            return [[len(g) for g in got], [prefix(g) for g in got], [bitmap(g) for g in got]]
         return fn
 
-    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
-                     F.sha2(F.col(f"`{text_col}`").cast("binary"), 256).alias("sha"))
-    return map_rows(docs, ["text"], fields("key string, n long, shingles longs, bits binary"), setup).drop("text")
+    return map_rows(docs, ["text"], fields("n long, prefix longs, bits binary"), setup).drop("text")
 
 
 def tree_pairs(keys, comps, sizes, bits, percent: int = PERCENT):
@@ -137,7 +176,7 @@ def _bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from search(pd.concat(held))
 
-    return rows.repartition("shingle").sortWithinPartitions("shingle").mapInPandas(run, "a string, b string").distinct()
+    return rows.repartition("shingle").sortWithinPartitions("shingle").mapInPandas(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame, tag: str) -> DataFrame:
@@ -165,41 +204,58 @@ def components(links: DataFrame, tag: str) -> DataFrame:
         edges.select(F.col("v").alias("key"), F.col("v").alias("comp"))).distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    left = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(left, "a").join(right, "b").withColumn("both", both)
-            .where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"))
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    left = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
+
+    def setup():
+        shingler = Shingler(size)
+
+        def fn(one, other):
+            out, last, known = [], None, None
+            for x, y in zip(one, other):
+                if x != last:
+                    last, known = x, shingler(x)
+                mine = shingler(y)
+                both = len(np.intersect1d(known, mine, assume_unique=True))
+                out.append(100 * both >= percent * (len(known) + len(mine) - both))
+            return [out]
+        return fn
+
+    return map_rows(pairs.join(left, "a").join(right, "b"), ["ta", "tb"], fields("linked boolean"), setup,
+                    slice_rows=64).where("linked").select("a", "b")
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size: int = SHINGLE,
          percent: int = PERCENT) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id`` (the smallest id its links reach), ``sha`` of the
     text and ``comp``, the component's name (set even where ids are null)."""
-    all_sets = saved(sets_of(df, id_col, text_col, size).withColumn(
-        "rank", F.coalesce("doc_id", F.lit(_LAST_ID))), "jaccard-sets")
-    sets = saved(all_sets.where("n > 0").select("key", "n", "shingles", "bits").dropDuplicates(["key"]), "jaccard-nodes")
-    each = sets.select("key", "n", F.explode("shingles").alias("shingle"))
-    counts = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = (each.join(counts, "shingle").groupBy("key", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ranked")))
-    # n - ceil(percent * n / 100) + 1 rarest shingles; those that no other set has come first.
-    room = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("ranked"))).cast("int")
-    prefix = ranked.withColumn("room", room).where("room > 0")
-    buckets = saved(prefix.select("key", "n", F.explode(F.slice("ranked", 1, F.col("room"))).alias("s"))
-                    .select("key", "n", F.col("s.shingle").alias("shingle")), "jaccard-buckets")
-    heads = buckets.groupBy("shingle").agg(F.min("key").alias("a"), F.min_by("n", "key").alias("na"), F.count("*").alias("c")).where("c > 1")
-    star = (buckets.join(heads.drop("c"), "shingle").where("key > a")
-            .where("100 * least(n, na) >= " + str(percent) + " * greatest(n, na)").select("a", F.col("key").alias("b")).distinct())
-    links = saved(_verified(star, sets, percent), "jaccard-links")
+    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                     F.sha2(F.col(f"`{text_col}`").cast("binary"), 256).alias("sha"))
+    all_sets = saved(sets_of(docs, size, percent), "jaccard-sets")
+    # One node per distinct text; its key is fixed once the table is written.
+    nodes = saved(all_sets.where("n > 0").groupBy("sha").agg(
+        F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+        .withColumn("key", F.monotonically_increasing_id()), "jaccard-nodes")
+    buckets = nodes.select("key", F.explode("prefix").alias("shingle"))
+    heads = buckets.groupBy("shingle").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select("shingle", "a")
+    shared = saved(buckets.join(heads, "shingle"), "jaccard-buckets")
+    sizes = nodes.select("key", "n")
+    star = (shared.where("key > a").select("a", F.col("key").alias("b")).distinct()
+            .join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+            .where("100 * least(na, nb) >= " + str(percent) + " * greatest(na, nb)").select("a", "b"))
+    needed = nodes.join(shared.select("key").distinct(), "key", "left_semi").select("sha", "key")
+    texts = saved(docs.select("sha", "text").join(needed, "sha").groupBy("key").agg(F.first("text").alias("text")), "jaccard-texts")
+    links = saved(_verified(star, texts, size, percent), "jaccard-links")
     comps = saved(components(links, "jaccard-stars"), "jaccard-comps")
-    named = buckets.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    named = shared.select("shingle", "key").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     mixed = named.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("shingle")
-    rows = named.join(mixed, "shingle").join(sets.select("key", "bits"), "key").select("shingle", "key", "comp", "n", "bits")
-    more = saved(_verified(_bucket_pairs(rows, percent), sets, percent), "jaccard-more")
+    rows = named.join(mixed, "shingle").join(nodes.select("key", "n", "bits"), "key").select("shingle", "key", "comp", "n", "bits")
+    more = saved(_verified(_bucket_pairs(rows, percent), texts, size, percent), "jaccard-more")
     final = saved(components(links.union(more), "jaccard-all"), "jaccard-final")
-    placed = all_sets.select("doc_id", "rank", "key", "n", "sha").join(final, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    placed = (all_sets.select("doc_id", "n", "sha", F.coalesce("doc_id", F.lit(_LAST_ID)).alias("rank"))
+              .join(nodes.select("sha", "key"), "sha", "left").join(final, "key", "left")
+              .withColumn("comp", F.coalesce("comp", "key")))
     placed = saved(placed, "jaccard-placed")
     first = placed.where("n > 0").groupBy("comp").agg(F.min("rank").alias("first"))
     return placed.join(first, "comp", "left").select(
@@ -227,7 +283,11 @@ def op7_jaccard(spark, sf_dir: str) -> DataFrame:
 
 def brute_force(rows, size: int = SHINGLE, percent: int = PERCENT):
     """``(doc_id, n_shingles, component_id)`` by comparing all pairs; for tests."""
-    got = [(i, set(shingles(t, size).tolist())) for i, t in rows]
+    def runs(text):
+        w = words_of(ascii_lower(text or ""))
+        return {tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+    got = [(i, runs(t)) for i, t in rows]
     root = list(range(len(got)))
 
     def find(x):
