@@ -16,29 +16,27 @@ from strata.session import scratch_path
 WORD_BREAKS = "\t\n\x0b\x0c\r "
 WORD_BREAK_PATTERN = r"[\x20\x09-\x0D]+"
 
-_TO_BLANK = {ord(c): " " for c in WORD_BREAKS}
+def word_bytes(text: str | None, lower: bool = False) -> list[bytes]:
+    """The words of ``text`` as UTF-8; with ``lower``, A-Z lower-cased.
 
-
-def words_of(text: str | None) -> list[str]:
-    """The words of ``text``: runs of characters other than the six ASCII white-space ones.
-
-    ``str.split()`` would also split at Unicode blanks, so those are kept in their words.
-    """
+    Unlike those of ``str``, ``split`` and ``lower`` of ``bytes`` know only the six ASCII blanks
+    and only A-Z, in native code for texts of any language."""
     if not text:
         return []
-    parts = text.split()
-    # Fast path: re-joining with the ASCII blanks only differs when a Unicode blank split a word.
-    if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return parts
-    return [w for w in text.translate(_TO_BLANK).split(" ") if w]
+    raw = text.encode("utf-8", "surrogatepass")
+    return (raw.lower() if lower else raw).split()
 
 
-_UPPER_TO_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+def words_of(text: str | None) -> list[str]:
+    """The words of ``text``: runs of characters other than the six ASCII white-space ones."""
+    if not text:
+        return []
+    return [w.decode("utf-8", "surrogatepass") for w in word_bytes(text)]
 
 
 def ascii_lower(text: str) -> str:
     """``text`` with A-Z lower-cased and every other character unchanged."""
-    return text.lower() if text.isascii() else text.translate(_UPPER_TO_LOWER)
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def ascii_lower_column(c: Column) -> Column:

@@ -44,7 +44,7 @@ class Shingler:
         self.size, self.words = size, Windows(size)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        codes = self.words.codes(ascii_lower(text)) if text else np.zeros(0, np.uint64)
+        codes = self.words.codes(text, lower=True)
         size = min(self.size, len(codes))
         if not size:
             return np.zeros(0, np.int64)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import fields, load, map_rows, saved, words_of
+from strata.llm.common import fields, load, map_rows, saved, word_bytes, words_of
 
 WINDOW = 50
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so they have inverses modulo 2**64
@@ -71,16 +71,13 @@ class Windows:
     def __init__(self, window: int):
         self.window, self.memo = window, {}
 
-    def codes(self, text: str | None) -> np.ndarray:
-        if len(self.memo) > 500_000:
-            self.memo.clear()
-        memo, out = self.memo, []
-        for w in words_of(text):
-            c = memo.get(w)
-            if c is None:
-                c = memo[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-            out.append(c)
-        return np.array(out, np.uint64)
+    def codes(self, text: str | None, lower: bool = False) -> np.ndarray:
+        memo, words = self.memo, word_bytes(text, lower)
+        if len(memo) > 500_000:
+            memo.clear()
+        for w in set(words).difference(memo):
+            memo[w] = xxhash.xxh3_64_intdigest(w)
+        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
     def blocks(self, codes: np.ndarray) -> np.ndarray:
         """The block of each window."""
