@@ -11,9 +11,8 @@ from pyspark.sql import types as T
 
 from strata.session import scratch_path
 
-# The white space that separates words (tab, newline, vertical tab, form feed,
+# Fixed value: the white space that separates words (tab, newline, vertical tab, form feed,
 # carriage return, blank).  Every other character belongs to a word.
-WORD_BREAKS = "\t\n\x0b\x0c\r "
 WORD_BREAK_PATTERN = r"[\x20\x09-\x0D]+"
 
 def word_bytes(text: str | None, lower: bool = False) -> list[bytes]:

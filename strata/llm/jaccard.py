@@ -51,7 +51,8 @@ class Shingler:
         runs = np.full(len(codes) - size + 1, size, np.uint64)  # shorter runs differ from the start
         for k in range(size):
             runs = _mix(runs * np.uint64(0x9E3779B97F4A7C15) + codes[k:len(codes) - size + 1 + k])
-        return np.unique(runs).view(np.int64)
+        runs.sort()
+        return runs[np.concatenate([[True], runs[1:] != runs[:-1]])].view(np.int64)
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
