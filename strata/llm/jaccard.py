@@ -147,35 +147,72 @@ def tree_pairs(keys, comps, sizes, bits, percent: int = PERCENT):
             todo += [(a, k) for k in b[7]]
 
 
+def leaf_pairs(codes, keys, comps, sizes, bits, percent: int = PERCENT):
+    """The same for rows of many buckets, sorted by bucket, none larger than a leaf: rows that stand
+    ``d`` apart are compared at once for all buckets.  Yields arrays of keys."""
+    for d in range(1, LEAF):
+        if len(codes) <= d:
+            return
+        i = np.flatnonzero((codes[d:] == codes[:-d]) & (comps[d:] != comps[:-d]))
+        if not len(i):
+            if not (codes[d:] == codes[:-d]).any():
+                return
+            continue
+        j = i + d
+        i, j = (x[100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])] for x in (i, j))
+        lone_i = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
+        lone_j = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
+        most = np.minimum(sizes[i] - lone_i, sizes[j] - lone_j)
+        ok = 100 * most >= percent * (sizes[i] + sizes[j] - most)
+        yield keys[i[ok]], keys[j[ok]]
+
+
 def _bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Signature trees over the buckets of sorted partitions."""
+    """Signature trees over the buckets of sorted partitions; a small bucket is one leaf."""
     def run(parts):
-        held: list[pd.DataFrame] = []
-
-        def search(group: pd.DataFrame):
-            bits = np.frombuffer(b"".join(group["bits"]), np.uint8).reshape(len(group), BITMAP_BYTES)
-            pairs = tree_pairs(group["key"].to_numpy(), pd.factorize(group["comp"])[0], group["n"].to_numpy(), bits, percent)
+        def unpack(part):
+            bits = np.frombuffer(b"".join(part["bits"]), np.uint8).reshape(len(part), BITMAP_BYTES)
+            return [part[c].to_numpy() for c in ("shingle", "key", "comp", "n")] + [bits]
+
+        def search(codes, keys, comps, sizes, bits):
+            cuts = np.concatenate([[0], np.flatnonzero(codes[1:] != codes[:-1]) + 1, [len(codes)]])
+            small = np.repeat(np.diff(cuts) <= LEAF, np.diff(cuts))
+            pairs = list(leaf_pairs(*(x[small] for x in (codes, keys, comps, sizes, bits)), percent))
             chunk = []
-            for a, b in pairs:
-                chunk.append((min(a, b), max(a, b)))
-                if len(chunk) == 50_000:
-                    yield pd.DataFrame(chunk, columns=["a", "b"])
-                    chunk = []
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi - lo > LEAF:
+                    for pair in tree_pairs(keys[lo:hi], comps[lo:hi], sizes[lo:hi], bits[lo:hi], percent):
+                        chunk.append(pair)
+                        if len(chunk) == 50_000:
+                            yield frame([np.array(chunk, np.int64).T])
+                            chunk = []
             if chunk:
-                yield pd.DataFrame(chunk, columns=["a", "b"])
+                pairs.append(np.array(chunk, np.int64).T)
+            if pairs:
+                yield frame(pairs)
+
+        def frame(pairs):
+            a, b = (np.concatenate([p[x] for p in pairs]) for x in (0, 1))
+            return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
+        held = []  # pieces of the bucket that the next batch may go on with
         for part in parts:
             if not len(part):
                 continue
-            codes = part["shingle"].to_numpy()
-            cuts = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist(), len(part)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if held and held[0]["shingle"].iat[0] != codes[lo]:
-                    yield from search(pd.concat(held))
-                    held = []
-                held.append(part.iloc[lo:hi])
+            now = unpack(part)
+            if held:
+                more = int(np.searchsorted(now[0], held[0][0][0], "right"))
+                held.append([x[:more] for x in now])
+                if more == len(part):
+                    continue
+                yield from search(*map(np.concatenate, zip(*held)))
+                now = [x[more:] for x in now]
+            last = int(np.searchsorted(now[0], now[0][-1], "left"))
+            if last:
+                yield from search(*(x[:last] for x in now))
+            held = [[x[last:] for x in now]]
         if held:
-            yield from search(pd.concat(held))
+            yield from search(*map(np.concatenate, zip(*held)))
 
     return rows.repartition("shingle").sortWithinPartitions("shingle").mapInPandas(run, "a long, b long").distinct()
 

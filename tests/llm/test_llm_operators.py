@@ -72,6 +72,33 @@ def test_signature_tree_loses_no_pair():
     assert want and want <= got
 
 
+def test_leaf_pairs_equal_the_trees():
+    r = np.random.default_rng(9)
+    sets = [np.sort(r.choice(40, r.integers(5, 30), replace=False)).astype(np.int64) for _ in range(90)]
+    codes = np.sort(r.integers(0, 9, 90))
+    bits = np.frombuffer(b"".join(map(jaccard.bitmap, sets)), np.uint8).reshape(len(sets), -1)
+    keys, sizes, comps = np.arange(90), np.array([len(x) for x in sets]), r.integers(0, 60, 90)
+    got = {tuple(sorted(p)) for a, b in jaccard.leaf_pairs(codes, keys, comps, sizes, bits, 50) for p in zip(a, b)}
+    want = set()
+    for c in range(9):
+        m = codes == c
+        want |= {tuple(sorted(p)) for p in jaccard.tree_pairs(keys[m], comps[m], sizes[m], bits[m], 50)}
+    assert np.bincount(codes).max() <= jaccard.LEAF and want and got == want
+
+
+def test_jaccard_of_a_vocabulary_that_many_sets_share(spark):
+    r = random.Random(11)
+    base = [words(100 + i, 40) for i in range(3)]
+    rows = []
+    for i in range(150):
+        w = list(base[i % 3])
+        for _ in range(r.randrange(0, 4)):
+            w[r.randrange(len(w))] = f"x{r.randrange(30)}"
+        rows.append((i, " ".join(w)))
+    got = rows_of(jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(jaccard.brute_force(rows), key=str)
+
+
 def test_keep_one_keeps_columns_and_empty_texts(docs):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
