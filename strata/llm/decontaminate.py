@@ -3,9 +3,9 @@
 An item's shingles are its runs of five lower-cased words (a shorter item is one shingle).  A
 window is as many consecutive words of a document as an item has.  Windows are laid where they
 can matter: wherever a document has a shingle of an item, the window starts so that the shingle
-stands where it stands in the item (moved inside the document where it would stick out).  Every
-window gets a 64-bit SimHash of its shingles.  The fingerprints are cut into ``RADIUS + 1``
-blocks, so a window and an item of the same size whose fingerprints differ in at most ``RADIUS``
+stands where it stands in the item (moved inside the document where it would stick out).  A
+document shorter than the item is one window, its whole text.  Every window gets a 64-bit SimHash of its shingles.  The fingerprints are cut into ``RADIUS + 1``
+blocks, so a window and an item it was laid for whose fingerprints differ in at most ``RADIUS``
 bits agree in at least one block and meet there.  A met pair is verified exactly: the sum of the
 smaller over the sum of the larger shingle counts must reach ``similarity``.
 
@@ -76,7 +76,7 @@ def matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_c
             item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY,
             radius: int = RADIUS) -> DataFrame:
     """``doc_id, item_id, start, n_words, similarity``: verified windows, the best of each pair of
-    document and item (its first on a tie)."""
+    document and item (its first on a tie).  A window's ``n`` is the size of the items it is for."""
     item = (items.select(F.col(f"`{item_col}`").alias("item_id"),
                          words_column(ascii_lower_column(F.col(f"`{item_text_col}`"))).alias("words"))
             .where(F.size("words") > 0).withColumn("n", F.size("words"))
@@ -96,35 +96,37 @@ def matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_c
         here = doc.withColumn("shingles", _shingles("words", k))
         spots = (here.select("doc_id", "text_key", F.size("words").alias("total"),
                              F.posexplode("shingles").alias("at", "shingle"))
-                 .join(anchors.where(F.col("k") == k), "shingle").where("total >= n"))
-        windows = (spots.select("doc_id", "text_key", "n", F.greatest(F.lit(0), F.least(
-            F.col("at") - F.col("off"), F.col("total") - F.col("n"))).alias("start")).distinct()
-            .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n")).alias("windows")))
+                 .join(anchors.where(F.col("k") == k), "shingle")
+                 # With fewer shingles than this share of the item's a text cannot reach the similarity.
+                 .where(F.col("total") - (k - 1) >= F.lit(similarity) * (F.col("n") - (k - 1))))
+        windows = (spots.select("doc_id", "text_key", "n", F.least("n", "total").alias("n_words"), F.greatest(
+            F.lit(0), F.least(F.col("at") - F.col("off"), F.col("total") - F.col("n"))).alias("start")).distinct()
+            .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n", "n_words")).alias("windows")))
         cut = (here.withColumn("__id", F.struct("doc_id"))
                .join(windows.withColumn("__id", F.struct("doc_id")).drop("doc_id"), ["__id", "text_key"])
                .select("doc_id", "shingles", F.explode("windows").alias("w"))
-               .select("doc_id", F.col("w.start").alias("start"), F.col("w.n").alias("n"),
-                       F.slice("shingles", F.col("w.start") + 1, F.col("w.n") - (k - 1)).alias("shingles")))
+               .select("doc_id", F.col("w.start").alias("start"), F.col("w.n").alias("n"), F.col("w.n_words").alias("n_words"),
+                       F.slice("shingles", F.col("w.start") + 1, F.col("w.n_words") - (k - 1)).alias("shingles")))
         found.append(cut)
     windows = saved(reduce(DataFrame.unionByName, found), "bench-cut")
     windows = saved(_with_print(windows), "bench-windows")
 
     right = item.select("item_id", "n", F.col("shingles").alias("item_shingles"),
                         F.col("print").alias("item_print"), F.inline(_blocks("print", radius)))
-    pairs = (windows.select("doc_id", "start", "n", "shingles", "print", F.inline(_blocks("print", radius)))
+    pairs = (windows.select("doc_id", "start", "n", "n_words", "shingles", "print", F.inline(_blocks("print", radius)))
              .join(right, ["n", "block", "bits"])
              .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-             .dropDuplicates(["doc_id", "start", "n", "item_id", "print"]))
+             .dropDuplicates(["doc_id", "start", "n", "n_words", "item_id", "print"]))
     both = F.aggregate(F.array_distinct("shingles"), F.lit(0), lambda a, h: a + F.least(
         F.size(F.filter("shingles", lambda x: x == h)), F.size(F.filter("item_shingles", lambda x: x == h))))
     scored = (pairs.withColumn("both", both)
               .withColumn("either", F.size("shingles") + F.size("item_shingles") - F.col("both"))
               .where(F.col("both") >= F.lit(similarity) * F.col("either"))
               .withColumn("similarity", F.col("both") / F.col("either")))
-    best = F.max_by(F.struct("start", "n", "similarity"), F.struct("similarity", -F.col("start")))
+    best = F.max_by(F.struct("start", "n_words", "similarity"), F.struct("similarity", -F.col("start"), "n_words"))
     return scored.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
         "doc_id", "item_id", F.col("best.start").cast("long").alias("start"),
-        F.col("best.n").cast("long").alias("n_words"), F.col("best.similarity").alias("similarity"))
+        F.col("best.n_words").cast("long").alias("n_words"), F.col("best.similarity").alias("similarity"))
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -141,6 +141,16 @@ def test_decontamination_equals_brute_force(spark):
     assert got == want
 
 
+def test_decontamination_finds_documents_shorter_than_the_item(spark):
+    item, five = words(31, 40), words(32, 5)
+    rows = [(1, " ".join(item[:39])), (2, " ".join(item[:20] + item[21:])), (3, " ".join(item[:30])), (4, " ".join(item[5:36])),
+            (5, " ".join(item[:12])), (6, " ".join(five[:4])), (7, " ".join(item[:3])), (8, None)]
+    found = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(
+        [(1, " ".join(item)), (2, " ".join(five))], "item_id long, text string"))
+    got = {r["doc_id"]: (r["item_id"], r["start"], r["n_words"], r["similarity"]) for r in found.collect()}
+    assert got == {1: (1, 0, 39, pytest.approx(35 / 36)), 2: (1, 0, 39, pytest.approx(31 / 40)), 4: (1, 0, 31, pytest.approx(27 / 36))}
+
+
 def test_pieces_round_trip(docs, spark):
     odd = spark.createDataFrame([(1, "▁a  b\n\t c ", "x", 1), (2, "\x00​日本🎉", "x", 1)], DDL)
     both = pieces.decode(pieces.encode(docs.union(odd)))
