@@ -2,8 +2,8 @@
 
 The page is cut into blocks at block-level tags.  The first pass decides blocks by where they
 stand and by their text: a block inside a container that holds no article text (menus, headers,
-footers, sidebars, notices, adverts, forms, comments; by tag, role, class or id) is boilerplate,
-one inside the article's container is content unless links make up most of it; elsewhere long
+footers, sidebars, notices, adverts, forms, comments; by tag, role, class or id) is boilerplate
+(an article in it with more text than the page has outside boilerplate overrides it), one inside the article's container is content unless links make up most of it; elsewhere long
 blocks with enough function words and few links are content, blocks of links are boilerplate,
 and short or sparse blocks stay ambiguous.  In the second pass an ambiguous block takes the label
 of its nearest decided neighbours: both alike decide it, otherwise the nearer one does (on equal
@@ -45,7 +45,6 @@ subscription signup login share sharing social related recommended recommendatio
 navbar navigation menu breadcrumb breadcrumbs sidebar side aside widget widgets footer masthead
 comment comments disqus replies reply respond toolbar pagination pager copyright legal disclaimer
 skip search tags toc outbrain taboola""".split())
-ARTICLE_NAMES = frozenset("article content post entry story main body text".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -56,49 +55,75 @@ _NAME = re.compile(r"[A-Za-z]+")
 _SPACE = re.compile(r"\s+")
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.IGNORECASE) for t in RAW_TAGS}
 
-CONTENT, BOILER, AMBIGUOUS = 1, 0, -1
+CONTENT, BOILER, AMBIGUOUS, HIDDEN = 1, 0, -1, -2
+LONG_CHARS = 140
+
+
+def _boiler_name(value: str) -> bool:
+    """Whether a class or id value holds a token that is a boilerplate name or made only of such:
+    ``sidebar`` and ``cookie-notice``, but not ``has-sidebar``."""
+    return any(parts and BOILER_NAMES.issuperset(parts) for parts in map(_NAME.findall, value.lower().split()))
 
 
 def _zone(tag: str, attrs: str, inside_article: bool) -> int:
-    """What opening this element says of the blocks in it: CONTENT, BOILER or AMBIGUOUS (nothing)."""
-    if tag in BOILER_TAGS or tag == "header" and not inside_article:
-        return BOILER
+    """What opening this element says of the blocks in it: CONTENT, BOILER, HIDDEN or AMBIGUOUS (nothing)."""
     named = {}
     if "=" in attrs:
         named = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
-    role = named.get("role", "").lower()
-    if role in BOILER_ROLES or "aria-hidden" in named and named["aria-hidden"] == "true":
+    if named.get("aria-hidden") == "true" or "hidden" in _NAME.findall(_ATTR.sub("", attrs)) \
+            or "display:none" in named.get("style", "").replace(" ", ""):
+        return HIDDEN
+    if tag in BOILER_TAGS or tag == "header" and not inside_article:
         return BOILER
-    names = {w.lower() for key in ("class", "id") for w in _NAME.findall(named.get(key, ""))}
-    if tag not in ("html", "body") and tag not in ARTICLE_TAGS and names & BOILER_NAMES:
+    role = named.get("role", "").lower()
+    if role in BOILER_ROLES:
         return BOILER
-    if "hidden" in _NAME.findall(_ATTR.sub("", attrs)) or "display:none" in named.get("style", "").replace(" ", ""):
+    if tag not in ("html", "body") and tag not in ARTICLE_TAGS and any(_boiler_name(named.get(k, "")) for k in ("class", "id")):
         return BOILER
     if tag in ARTICLE_TAGS or role in ("main", "article") or named.get("itemprop") == "articleBody":
         return CONTENT
-    if tag in ("div", "section", "td") and names & ARTICLE_NAMES:
-        return AMBIGUOUS
     return AMBIGUOUS
 
 
+def _freed(found: list[tuple[str, int, int, int, int]], outer: list[int], long_chars: int) -> set[int]:
+    """Articles inside boilerplate that override it: long, with more text outside links than the page
+    has outside boilerplate.  One inside another is also held against those freed before it."""
+    sizes = [0] * len(outer)
+    free = 0
+    for text, z, linked, inner, article in found:
+        if z not in (BOILER, HIDDEN):
+            free += len(text) - linked
+        elif inner == CONTENT:
+            sizes[article] += len(text) - linked
+    freed: set[int] = set()
+    more = 0
+    for article in range(1, len(outer)):
+        if sizes[article] >= long_chars and sizes[article] > free + more * (outer[article] in freed):
+            freed.add(article)
+            more += sizes[article]
+    return freed
+
+
 def blocks(page: str) -> list[tuple[str, int, int]]:
     """Blocks in page order: (text, zone, characters of it inside links)."""
-    out: list[tuple[str, int, int]] = []
-    stack: list[tuple[str, int]] = []  # open elements with the zone that holds inside them
+    out: list[tuple[str, int, int, int, int]] = []
+    # Open elements: tag, zone that holds inside, the same as its article alone says, the article's number.
+    stack: list[tuple[str, int, int, int]] = []
+    outer = [0]  # by article, the one around it
     parts: list[str] = []
     linked = 0
     links = 0
     dropped = 0
     at = 0
 
-    def zone() -> int:
-        return stack[-1][1] if stack else AMBIGUOUS
+    def zone() -> tuple[int, int, int]:
+        return stack[-1][1:] if stack else (AMBIGUOUS, AMBIGUOUS, 0)
 
-    def flush(z: int) -> None:
+    def flush(now: tuple[int, int, int]) -> None:
         nonlocal linked
         text = _SPACE.sub(" ", _html.unescape("".join(parts))).strip()
         if text:
-            out.append((text, z, linked))
+            out.append((text, now[0], linked, *now[1:]))
         parts.clear()
         linked = 0
 
@@ -134,17 +159,21 @@ def blocks(page: str) -> list[tuple[str, int, int]]:
                 continue
             if tag in ("p", "li") and stack and stack[-1][0] == tag:
                 stack.pop()  # an open paragraph or item ends where the next begins
-            held = zone()
-            said = _zone(tag, m["attrs"], held == CONTENT)
-            stack.append((tag, BOILER if held == BOILER or said == BOILER
-                          else CONTENT if CONTENT in (held, said) else AMBIGUOUS))
+            held, inner, article = zone()
+            said = _zone(tag, m["attrs"], inner == CONTENT)
+            if said == CONTENT and inner in (BOILER, AMBIGUOUS):
+                outer.append(article)
+                article = len(outer) - 1
+            inner = HIDDEN if HIDDEN in (inner, said) else inner if said == AMBIGUOUS else said
+            stack.append((tag, HIDDEN if HIDDEN in (held, said) else BOILER if BOILER in (held, said)
+                          else CONTENT if CONTENT in (held, said) else AMBIGUOUS, inner, article))
             links += tag == "a"
             dropped += tag in DROPPED_TAGS
         else:
             # Close the nearest such element; an inline tag never closes a block around it.
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    for name, _ in stack[i:]:
+                    for name, *_ in stack[i:]:
                         links -= name == "a"
                         dropped -= name in DROPPED_TAGS
                     del stack[i:]
@@ -152,10 +181,12 @@ def blocks(page: str) -> list[tuple[str, int, int]]:
                 if tag not in BLOCK_TAGS and stack[i][0] in BLOCK_TAGS:
                     break
     flush(zone())
-    return out
+    freed = _freed(out, outer, LONG_CHARS)
+    return [(text, max(inner if article in freed else z, BOILER) if z != AMBIGUOUS else z, linked)
+            for text, z, linked, inner, article in out]
 
 
-def classify(found: list[tuple[str, int, int]], *, max_links: float = 0.5, long_chars: int = 140,
+def classify(found: list[tuple[str, int, int]], *, max_links: float = 0.5, long_chars: int = LONG_CHARS,
              short_chars: int = 60, function_share: float = 0.15) -> list[int]:
     """Two passes; returns CONTENT or BOILER per block."""
     has_article = any(z == CONTENT for _, z, _ in found)

@@ -208,6 +208,26 @@ def test_html_extraction():
     assert html.main_text(None) == html.main_text("") == html.main_text("<nav>x") == ""
 
 
+def test_html_names_are_whole_tokens():
+    prose = "This is the text of the page, and it has to be kept as a whole by the rules for the text of a page. " * 3
+    prose = prose.strip()
+    for attrs in ('class="page has-sidebar"', "class=no-sidebar", 'class="with-comments"', 'id="social-site"'):
+        assert html.main_text(f"<body><div {attrs}><p>{prose}</p></div></body>") == prose
+        assert html.main_text(f"<body><div {attrs}><article><p>{prose}</p></article></div></body>") == prose
+    for name in ("sidebar", "Sidebar wide", "cookie-notice", "ad_1"):
+        assert html.main_text(f'<body><div class="{name}"><p>{prose}</p></div></body>') == ""
+
+
+def test_html_long_article_overrides_its_wrapper():
+    prose = "This is the text of the page, and it has to be kept as a whole by the rules for the text of a page."
+    page = ('<div class="social"><nav>Menu</nav><article><h1>Title</h1><p>' + prose + '</p><p>' + prose + '</p>'
+            '<div class="comments"><article><p>' + prose + prose + '</p></article></div></article></div>')
+    assert html.main_text(page) == f"Title\n{prose}\n{prose}"
+    beside = f'<article><p>{prose}</p><p>{prose}</p></article><div class="comments"><article><p>{prose}</p></article></div>'
+    assert html.main_text(beside) == f"{prose}\n{prose}"
+    assert html.main_text(f'<div hidden><article><p>{prose}{prose}</p></article></div>') == ""
+
+
 def test_secret_base_spans():
     text = 'password = "hunter22" AKIA' + "B" * 16 + " " + "0a" * 12 + " token: abc"
     assert [s[2] for s in sorted(secrets.base_spans(text))] == ["assign", "access", "hex"]
