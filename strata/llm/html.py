@@ -3,11 +3,16 @@
 The page is cut into blocks at block-level tags.  The first pass decides blocks by where they
 stand and by their text: a block inside a container that holds no article text (menus, headers,
 footers, sidebars, notices, adverts, forms, comments; by tag, role, class or id) is boilerplate
-(an article in it with more text than the page has outside boilerplate overrides it), one inside the article's container is content unless links make up most of it; elsewhere long
-blocks with enough function words and few links are content, blocks of links are boilerplate,
-and short or sparse blocks stay ambiguous.  In the second pass an ambiguous block takes the label
-of its nearest decided neighbours: both alike decide it, otherwise the nearer one does (on equal
-distance it is boilerplate); without any decided neighbour it is boilerplate.
+(an article in it with more text than the page has outside boilerplate overrides it).  Every other
+block is judged by its text: long blocks with enough function words and few links are content,
+blocks of links are boilerplate, and short or sparse blocks stay ambiguous.  Standing in the
+article's container (article or main, by tag, role or property) is evidence, not a verdict: it
+stands in for the function words of a long block, and a single block of links stays ambiguous
+there, as a title may be one.  In the second pass an ambiguous block takes the label of its nearest
+decided neighbours on its own side of the article's border: both alike decide it, otherwise the
+nearer one does.  On equal distance, where nothing is decided, or in an article without a block that
+is content by its text, the border decides: content inside an article, boilerplate outside and in
+an article of links alone.
 
 Text is never cut: every content block is kept whole, its character references decoded, white
 space made one blank and trimmed, blocks joined by one newline.  A null or empty page, or one
@@ -78,7 +83,7 @@ def _zone(tag: str, attrs: str, inside_article: bool) -> int:
     role = named.get("role", "").lower()
     if role in BOILER_ROLES:
         return BOILER
-    if tag not in ("html", "body") and tag not in ARTICLE_TAGS and any(_boiler_name(named.get(k, "")) for k in ("class", "id")):
+    if tag not in ("html", "body", "main") and any(_boiler_name(named.get(k, "")) for k in ("class", "id")):
         return BOILER
     if tag in ARTICLE_TAGS or role in ("main", "article") or named.get("itemprop") == "articleBody":
         return CONTENT
@@ -104,8 +109,8 @@ def _freed(found: list[tuple[str, int, int, int, int]], outer: list[int], long_c
     return freed
 
 
-def blocks(page: str) -> list[tuple[str, int, int]]:
-    """Blocks in page order: (text, zone, characters of it inside links)."""
+def blocks(page: str) -> list[tuple[str, int, int, int]]:
+    """Blocks in page order: (text, zone, characters of it inside links, number of its article or 0)."""
     out: list[tuple[str, int, int, int, int]] = []
     # Open elements: tag, zone that holds inside, the same as its article alone says, the article's number.
     stack: list[tuple[str, int, int, int]] = []
@@ -182,55 +187,56 @@ def blocks(page: str) -> list[tuple[str, int, int]]:
                     break
     flush(zone())
     freed = _freed(out, outer, LONG_CHARS)
-    return [(text, max(inner if article in freed else z, BOILER) if z != AMBIGUOUS else z, linked)
+    # An article that stays boilerplate is no article.
+    held = {article for _, z, _, inner, article in out if z in (BOILER, HIDDEN) and inner == CONTENT} - freed
+    return [(text, max(inner if article in freed else z, BOILER) if z != AMBIGUOUS else z, linked, 0 if article in held else article)
             for text, z, linked, inner, article in out]
 
 
-def classify(found: list[tuple[str, int, int]], *, max_links: float = 0.5, long_chars: int = LONG_CHARS,
+def classify(found: list[tuple[str, int, int, int]], *, max_links: float = 0.5, long_chars: int = LONG_CHARS,
              short_chars: int = 60, function_share: float = 0.15) -> list[int]:
     """Two passes; returns CONTENT or BOILER per block."""
-    has_article = any(z == CONTENT for _, z, _ in found)
+    linky = [linked > max_links * len(text) for text, _, linked, _ in found]
     labels = []
-    for text, z, linked in found:
-        links = linked / len(text)
+    for i, (text, z, _, article) in enumerate(found):
         if z == BOILER:
             labels.append(BOILER)
-        elif z == CONTENT:
-            # Inside the article only a block made of links is in doubt.
-            labels.append(CONTENT if links <= max_links or len(text) >= long_chars else AMBIGUOUS)
-        elif has_article:
-            labels.append(BOILER)
-        elif links > max_links:
-            labels.append(BOILER)
+        elif linky[i]:
+            # A single block of links inside an article may be its title.
+            near = (k for k in (i - 1, i + 1) if 0 <= k < len(found) and found[k][1] == z and found[k][3] == article)
+            labels.append(BOILER if z != CONTENT or any(linky[k] for k in near) else AMBIGUOUS)
         else:
             words = text.lower().split()
             share = sum(map(FUNCTION_WORDS.__contains__, words)) / max(1, len(words))
-            if len(text) >= long_chars and share >= function_share:
+            if len(text) >= long_chars and (share >= function_share or z == CONTENT):
                 labels.append(CONTENT)
             elif len(text) >= short_chars and share >= 2 * function_share:
                 labels.append(CONTENT)
             else:
                 labels.append(AMBIGUOUS)
-    decided = [i for i, v in enumerate(labels) if v != AMBIGUOUS]
     final = list(labels)
-    before = -1
-    at = 0
-    for i, v in enumerate(labels):
-        if v != AMBIGUOUS:
-            before = i
-            continue
-        while at < len(decided) and decided[at] < i:
-            at += 1
-        after = decided[at] if at < len(decided) else -1
-        if before < 0 and after < 0:
-            final[i] = BOILER
-        elif before < 0 or after < 0:
-            final[i] = labels[max(before, after)]
-        elif labels[before] == labels[after]:
-            final[i] = labels[before]
-        else:
-            near, far = i - before, after - i
-            final[i] = BOILER if near == far else labels[before if near < far else after]
+    sides: dict[int, list[int]] = {}
+    for i, (_, z, _, article) in enumerate(found):
+        # Boilerplate inside an article is no part of its text.
+        if not article or z == CONTENT:
+            sides.setdefault(article, []).append(i)
+    for article, members in sides.items():
+        border = CONTENT if article and not all(linky[i] for i in members) else BOILER
+        decided = [i for i in members if labels[i] != AMBIGUOUS]
+        if article and CONTENT not in (labels[i] for i in decided):
+            decided = []
+        at = 0
+        for i in members:
+            if labels[i] != AMBIGUOUS:
+                continue
+            while at < len(decided) and decided[at] < i:
+                at += 1
+            around = decided[max(0, at - 1):at + 1] if at else decided[:1]
+            near = min((abs(k - i) for k in around), default=0)
+            said = {labels[k] for k in around if abs(k - i) == near}
+            if len({labels[k] for k in around}) == 1:
+                said = {labels[around[0]]}
+            final[i] = said.pop() if len(said) == 1 else border
     return final
 
 
@@ -238,7 +244,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    return "\n".join(text for (text, _, _), keep in zip(found, classify(found)) if keep == CONTENT)
+    return "\n".join(text for (text, *_), keep in zip(found, classify(found)) if keep == CONTENT)
 
 
 def extract(df: DataFrame, html_col: str = "html", name: str = "text") -> DataFrame:

@@ -228,6 +228,19 @@ def test_html_long_article_overrides_its_wrapper():
     assert html.main_text(f'<div hidden><article><p>{prose}{prose}</p></article></div>') == ""
 
 
+def test_html_article_is_evidence_only():
+    prose = "This is the text of the page, and it has to be kept as a whole by the rules for the text of a page. " * 2
+    prose = prose.strip()
+    menu = "".join(f"<li><a href=x>Another page {i}</a></li>" for i in range(4))
+    teasers = "<article><a href=x>Read more</a></article>" * 3
+    assert html.main_text(f"<nav>Menu</nav><div><p>{prose}</p><p>{prose}</p></div>{teasers}") == f"{prose}\n{prose}"
+    comment = "<article class=comment><p>" + "I think that this is the best of all of the pages that I have read. " * 3 + "</p></article>"
+    assert html.main_text(f"<div><p>{prose}</p></div>{comment}{comment}") == prose
+    assert html.main_text(f"<article><h1>Title</h1><p>{prose}</p>{comment}<p>Short.</p></article>") == f"Title\n{prose}\nShort."
+    assert html.main_text(f"<article><h1><a href=x>Title</a></h1><p>{prose}</p><ul>{menu}</ul>Tags<ul>{menu}</ul></article>") == f"Title\n{prose}"
+    assert html.main_text("<nav>Menu</nav><article><h1>Title</h1><p>Short.</p><aside>Ad</aside></article>By me") == "Title\nShort."
+
+
 def test_secret_base_spans():
     text = 'password = "hunter22" AKIA' + "B" * 16 + " " + "0a" * 12 + " token: abc"
     assert [s[2] for s in sorted(secrets.base_spans(text))] == ["assign", "access", "hex"]
