@@ -8,8 +8,10 @@ fixed size and its errors cost time, never links.
 
 1. every set is compared with one set of each of its buckets, which already connects most copies;
 2. in each bucket that still holds several components, sorted rows form a signature tree: nodes
-   hold the OR of the token bitmaps and the range of sizes and components below them.  A dual
-   traversal drops node pairs of one component or whose largest possible overlap is too small.
+   hold the OR and the AND of the token bitmaps, the fewest bits of one, and the range of sizes and
+   components below them.  A dual traversal drops node pairs of one component or whose largest
+   possible overlap is too small.  A bucket of more than ``CELL`` rows is cut into cells by size band,
+   large component and key; pairs of cells, each with a tree of its own, are spread over the tasks.
 
 Surviving pairs are verified on the shingles of their texts.  No link between components is lost; a pair
 within a component found before is not looked for, since it cannot change the result.
@@ -21,6 +23,8 @@ members' are null; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -33,6 +37,7 @@ from strata.llm.substrings import Windows, _mix
 SHINGLE, PERCENT = 5, 75
 BITMAP_BYTES = 128
 LEAF = 32  # rows of a leaf of the tree
+CELL = 2048  # rows of a cell of a large bucket, about
 SLOT_BITS = 18  # the count sketch has 2 ** SLOT_BITS numbers at any input size
 _LAST_ID = (1 << 63) - 1
 
@@ -104,27 +109,52 @@ def sets_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return map_rows(docs, ["text"], fields("n long, prefix longs, bits binary"), setup).drop("text")
 
 
-def tree_pairs(keys, comps, sizes, bits, percent: int = PERCENT):
-    """Pairs of rows of different components that may reach the similarity, by dual traversal."""
-    order = np.lexsort((sizes, comps))
-    keys, comps, sizes, bits = keys[order], comps[order], sizes[order], bits[order]
-    edges = list(range(0, len(keys), LEAF))
-    level = [(bits[a:a + LEAF], sizes[a:a + LEAF], comps[a:a + LEAF], a, min(a + LEAF, len(keys)), None) for a in edges]
-    level = [(np.bitwise_or.reduce(b, axis=0), s.min(), s.max(), c.min(), c.max(), lo, hi, None)
-             for b, s, c, lo, hi, _ in level]
+def _tree(lo: int, hi: int, comps, sizes, bits) -> tuple:
+    """Root over the rows from ``lo`` to ``hi``.  A node: OR, smallest and largest size, smallest and
+    largest component, its rows, its children (None for a leaf), AND, fewest bits of a row."""
+    level = []
+    for a in range(lo, hi, LEAF):
+        z = min(a + LEAF, hi)
+        s, c, b = sizes[a:z], comps[a:z], bits[a:z]
+        level.append((np.bitwise_or.reduce(b, axis=0), s.min(), s.max(), c.min(), c.max(), a, z, None,
+                      np.bitwise_and.reduce(b, axis=0), np.bitwise_count(b).sum(axis=1, dtype=np.int64).min()))
     while len(level) > 1:
         level = [(np.bitwise_or.reduce([k[0] for k in kids], axis=0), min(k[1] for k in kids), max(k[2] for k in kids),
-                  min(k[3] for k in kids), max(k[4] for k in kids), kids[0][5], kids[-1][6], kids)
+                  min(k[3] for k in kids), max(k[4] for k in kids), kids[0][5], kids[-1][6], kids,
+                  np.bitwise_and.reduce([k[8] for k in kids], axis=0), min(k[9] for k in kids))
                  for kids in (level[i:i + 4] for i in range(0, len(level), 4))]
-    todo = [(level[0], level[0])]
+    return level[0]
+
+
+def apart(a: tuple, b: tuple, percent: int) -> bool:
+    """Whether no row of node ``a`` can be similar enough to one of ``b``, by sizes and bitmaps.
+
+    A row that has ``lone`` bits which the other lacks shares at most its size less ``lone``."""
+    common = int(np.bitwise_count(a[0] & b[0]).sum(dtype=np.int64))
+    for x, y in ((a, b), (b, a)):
+        if 100 * x[2] < percent * y[1]:
+            return True
+        lone = max(int(np.bitwise_count(x[8] & ~y[0]).sum(dtype=np.int64)), x[9] - common)
+        if 100 * x[2] - percent * y[1] < (100 + percent) * lone:
+            return True
+    return False
+
+
+def tree_pairs(keys, comps, sizes, bits, percent: int = PERCENT, side=None):
+    """Pairs of rows of different components that may reach the similarity, by dual traversal; with
+    ``side`` (0 or 1 a row) only those of different sides."""
+    order = np.lexsort((sizes, comps) if side is None else (sizes, comps, side))
+    keys, comps, sizes, bits = keys[order], comps[order], sizes[order], bits[order]
+    cut = 0 if side is None else int((side == 0).sum())
+    if not len(keys) or side is not None and cut in (0, len(keys)):
+        return
+    root = _tree(cut, len(keys), comps, sizes, bits)
+    todo = [(_tree(0, cut, comps, sizes, bits) if cut else root, root)]
     while todo:
         a, b = todo.pop()
         if a[3] == a[4] == b[3] == b[4]:
             continue  # one component
-        lo, hi = max(a[1], b[1]), min(a[2], b[2])
-        if 100 * hi < percent * lo:
-            continue  # sizes too far apart
-        if a is not b and 8 * BITMAP_BYTES > (common := int(np.bitwise_count(a[0] & b[0]).sum())) and not common:
+        if a is not b and apart(a, b, percent):
             continue
         if a[7] is None and b[7] is None:
             sa, sb = slice(a[5], a[6]), slice(b[5], b[6])
@@ -167,21 +197,55 @@ def leaf_pairs(codes, keys, comps, sizes, bits, percent: int = PERCENT):
         yield keys[i[ok]], keys[j[ok]]
 
 
-def _bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def split(rows: DataFrame, percent: int, cell: int = CELL, any_large: bool = True) -> DataFrame:
+    """``rows`` with ``bucket`` and ``side``: a row of a small bucket once, one of a large bucket (by
+    ``held``, its rows) once for each cell to compare its own with; two cells are two sides.
+
+    Sizes of similar sets are at most one band apart.  Cells of one component are not compared."""
+    once = rows.select(F.col("shingle").alias("bucket"), "key", "comp", "n", "bits", F.lit(0).alias("side"), "held")
+    if not any_large:
+        return once.drop("held")
+    step = math.log(max(100 / percent, 1.01)) * 1.000001  # so that rounding never makes it two bands
+    large = rows.where(F.col("held") > cell).withColumn("band", F.floor(F.log("n") / step))
+    groups = large.groupBy("shingle", "band", "comp").agg(F.count("*").alias("c"))
+    cells = (groups.withColumn("cls", F.when(F.col("c") > cell, F.col("comp")).otherwise(-1))
+             .groupBy("shingle", "band", "cls").agg(F.ceil(F.sum("c") / cell).alias("m"))
+             .groupBy("shingle").agg(F.collect_list(F.struct("band", "cls", "m")).alias("cells")))
+
+    def of(cls):
+        return F.get(F.filter("cells", lambda x: (x["band"] == F.col("band")) & (x["cls"] == cls)), F.lit(0))
+
+    def places(x):
+        return F.transform(F.sequence(F.lit(0).cast("long"), x["m"] - 1), lambda q: F.struct(
+            x["band"].alias("band"), x["cls"].alias("cls"), q.alias("part")))
+
+    placed = (large.join(cells, "shingle").withColumn("own", F.coalesce(of(F.col("comp")), of(F.lit(-1))))
+              .withColumn("mine", F.struct(F.col("own.band").alias("band"), F.col("own.cls").alias("cls"),
+                                           F.pmod(F.xxhash64("key"), F.col("own.m")).alias("part"))))
+    others = F.filter("cells", lambda x: (F.abs(x["band"] - F.col("band")) <= 1)
+                      & ((x["cls"] != F.col("own.cls")) | (x["cls"] < 0)))
+    met = placed.select("shingle", "key", "comp", "n", "bits", "mine", F.explode(F.flatten(F.transform(others, places))).alias("other"))
+    pairs = met.select(F.xxhash64("shingle", F.least("mine", "other"), F.greatest("mine", "other")).alias("bucket"),
+                       "key", "comp", "n", "bits", (F.col("mine") > F.col("other")).cast("int").alias("side"))
+    return once.where(F.col("held") <= cell).drop("held").unionByName(pairs)
+
+
+def _bucket_pairs(rows: DataFrame, percent: int, cell: int = CELL, any_large: bool = True) -> DataFrame:
     """Signature trees over the buckets of sorted partitions; a small bucket is one leaf."""
     def run(parts):
         def unpack(part):
             bits = np.frombuffer(b"".join(part["bits"]), np.uint8).reshape(len(part), BITMAP_BYTES)
-            return [part[c].to_numpy() for c in ("shingle", "key", "comp", "n")] + [bits]
+            return [part[c].to_numpy() for c in ("bucket", "key", "comp", "n")] + [bits, part["side"].to_numpy()]
 
-        def search(codes, keys, comps, sizes, bits):
+        def search(codes, keys, comps, sizes, bits, sides):
             cuts = np.concatenate([[0], np.flatnonzero(codes[1:] != codes[:-1]) + 1, [len(codes)]])
             small = np.repeat(np.diff(cuts) <= LEAF, np.diff(cuts))
             pairs = list(leaf_pairs(*(x[small] for x in (codes, keys, comps, sizes, bits)), percent))
             chunk = []
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if hi - lo > LEAF:
-                    for pair in tree_pairs(keys[lo:hi], comps[lo:hi], sizes[lo:hi], bits[lo:hi], percent):
+                    side = sides[lo:hi] if sides[lo:hi].any() else None
+                    for pair in tree_pairs(keys[lo:hi], comps[lo:hi], sizes[lo:hi], bits[lo:hi], percent, side):
                         chunk.append(pair)
                         if len(chunk) == 50_000:
                             yield frame([np.array(chunk, np.int64).T])
@@ -214,7 +278,7 @@ def _bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from search(*map(np.concatenate, zip(*held)))
 
-    return rows.repartition("shingle").sortWithinPartitions("shingle").mapInPandas(run, "a long, b long").distinct()
+    return split(rows, percent, cell, any_large).repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame, tag: str) -> DataFrame:
@@ -287,9 +351,10 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size:
     links = saved(_verified(star, texts, size, percent), "jaccard-links")
     comps = saved(components(links, "jaccard-stars"), "jaccard-comps")
     named = shared.select("shingle", "key").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    mixed = named.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("shingle")
-    rows = named.join(mixed, "shingle").join(nodes.select("key", "n", "bits"), "key").select("shingle", "key", "comp", "n", "bits")
-    more = saved(_verified(_bucket_pairs(rows, percent), texts, size, percent), "jaccard-more")
+    mixed = saved(named.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("held")).where("lo < hi").select("shingle", "held"), "jaccard-mixed")
+    any_large = not mixed.where(F.col("held") > CELL).isEmpty()
+    rows = named.join(mixed, "shingle").join(nodes.select("key", "n", "bits"), "key").select("shingle", "key", "comp", "n", "bits", "held")
+    more = saved(_verified(_bucket_pairs(rows, percent, any_large=any_large), texts, size, percent), "jaccard-more")
     final = saved(components(links.union(more), "jaccard-all"), "jaccard-final")
     placed = (all_sets.select("doc_id", "n", "sha", F.coalesce("doc_id", F.lit(_LAST_ID)).alias("rank"))
               .join(nodes.select("sha", "key"), "sha", "left").join(final, "key", "left")

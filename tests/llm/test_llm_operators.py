@@ -72,6 +72,29 @@ def test_signature_tree_loses_no_pair():
     assert want and want <= got
 
 
+def test_node_pairs_are_dropped_by_bitmap_counts():
+    r = np.random.default_rng(5)
+    sets = [np.sort(np.r_[0, r.choice(np.arange(1 + 300 * g, 200 + 300 * g), 150, replace=False)]) for g in (0, 1) for _ in range(8)]
+    bits = np.frombuffer(b"".join(map(jaccard.bitmap, sets)), np.uint8).reshape(16, -1)
+    a, b = (jaccard._tree(lo, lo + 8, np.arange(16), np.full(16, 151), bits) for lo in (0, 8))
+    assert (a[0] & b[0]).any() and jaccard.apart(a, b, 75) and not jaccard.apart(a, a, 75)
+
+
+def test_large_buckets_are_split_without_losing_a_pair(spark):
+    r = np.random.default_rng(6)
+    sets = [set(r.choice(60, r.integers(5, 40), replace=False).tolist()) for _ in range(200)]
+    comps = [1000 if i < 60 else i for i in range(200)]
+    rows = [(c, i, comps[i], len(s), bytearray(jaccard.bitmap(np.array(sorted(s), np.int64))), 180 if c else 20)
+            for i, s in enumerate(sets) for c in [int(i >= 20)]]
+    df = spark.createDataFrame(rows, "shingle long, key long, comp long, n long, bits binary, held long")
+    sizes = jaccard.split(df, 50, 16).groupBy("bucket").count().collect()
+    assert max(x["count"] for x in sizes) < 100
+    got = {(x["a"], x["b"]) for x in jaccard._bucket_pairs(df, 50, 16).collect()}
+    want = {(i, j) for j in range(200) for i in range(j) if (i < 20) == (j < 20) and comps[i] != comps[j]
+            and 100 * len(sets[i] & sets[j]) >= 50 * len(sets[i] | sets[j])}
+    assert want and want <= got and all(comps[i] != comps[j] for i, j in got)
+
+
 def test_leaf_pairs_equal_the_trees():
     r = np.random.default_rng(9)
     sets = [np.sort(r.choice(40, r.integers(5, 30), replace=False)).astype(np.int64) for _ in range(90)]
