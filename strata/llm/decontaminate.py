@@ -6,8 +6,11 @@ can matter: wherever a document has a shingle of an item, the window starts so t
 stands where it stands in the item (moved inside the document where it would stick out).  A
 document shorter than the item is one window, its whole text.  Every window gets a 64-bit SimHash of its shingles.  The fingerprints are cut into ``RADIUS + 1``
 blocks, so a window and an item it was laid for whose fingerprints differ in at most ``RADIUS``
-bits agree in at least one block and meet there.  A met pair is verified exactly: the sum of the
-smaller over the sum of the larger shingle counts must reach ``similarity``.
+bits agree in at least one block and meet there.  Fingerprints of a pair at the least similarity may
+differ in more bits, so a window and an item also meet by a shingle among the first of each in the
+order of the hashes, as many as no similar pair can do without: no pair is lost.  A met pair is
+verified exactly: the sum of the smaller over the sum of the larger shingle counts must reach
+``similarity``.
 
 Only DataFrame functions are used.  Null or empty texts have no windows; an item shorter than
 five words matches its exact sequence; repeated rows are judged alike; ties go to the smaller
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import ascii_lower_column, load, saved, words_column
 
 SHINGLE, SIMILARITY = 5, 0.75
-RADIUS = 19
+RADIUS = 7
 BITS = 64
 
 
@@ -72,6 +75,13 @@ def _blocks(fingerprint: str, radius: int) -> Column:
                      for i, (lo, hi) in enumerate(zip(cuts, cuts[1:]))])
 
 
+def _keys(radius: int, similarity: float, fingerprint: str, shingles: str) -> Column:
+    """``_blocks``, and as block -1 the shingles one of which two similar multisets share (the prefix filter)."""
+    first = F.size(shingles) - F.ceil(F.lit(similarity) * F.size(shingles) - 1e-9) + 1
+    prefix = F.array_distinct(F.slice(F.array_sort(shingles), F.lit(1), first.cast("int")))
+    return F.concat(_blocks(fingerprint, radius), F.transform(prefix, lambda h: F.struct(F.lit(-1).alias("block"), h.alias("bits"))))
+
+
 def matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY,
             radius: int = RADIUS) -> DataFrame:
@@ -112,10 +122,10 @@ def matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_c
     windows = saved(_with_print(windows), "bench-windows")
 
     right = item.select("item_id", "n", F.col("shingles").alias("item_shingles"),
-                        F.col("print").alias("item_print"), F.inline(_blocks("print", radius)))
-    pairs = (windows.select("doc_id", "start", "n", "n_words", "shingles", "print", F.inline(_blocks("print", radius)))
+                        F.col("print").alias("item_print"), F.inline(_keys(radius, similarity, "print", "shingles")))
+    pairs = (windows.select("doc_id", "start", "n", "n_words", "shingles", "print", F.inline(_keys(radius, similarity, "print", "shingles")))
              .join(right, ["n", "block", "bits"])
-             .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
+             .where((F.col("block") < 0) | (F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius))
              .dropDuplicates(["doc_id", "start", "n", "n_words", "item_id", "print"]))
     both = F.aggregate(F.array_distinct("shingles"), F.lit(0), lambda a, h: a + F.least(
         F.size(F.filter("shingles", lambda x: x == h)), F.size(F.filter("item_shingles", lambda x: x == h))))

@@ -174,6 +174,14 @@ def test_decontamination_finds_documents_shorter_than_the_item(spark):
     assert got == {1: (1, 0, 39, pytest.approx(35 / 36)), 2: (1, 0, 39, pytest.approx(31 / 40)), 4: (1, 0, 31, pytest.approx(27 / 36))}
 
 
+def test_decontamination_finds_pairs_beyond_the_radius(spark):
+    items = [words(40 + i, 12 + i) for i in range(30)]
+    rows = [(i, " ".join(words(80 + i, 30) + w[1:] + words(120 + i, 30))) for i, w in enumerate(items)]
+    found = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"), radius=1)
+    assert rows_of(found, "doc_id", "item_id") == sorted(((i, i) for i in range(30)), key=str)
+
+
 def test_pieces_round_trip(docs, spark):
     odd = spark.createDataFrame([(1, "▁a  b\n\t c ", "x", 1), (2, "\x00​日本🎉", "x", 1)], DDL)
     both = pieces.decode(pieces.encode(docs.union(odd)))
