@@ -277,6 +277,23 @@ def test_secret_base_spans():
     assert [s[2] for s in sorted(secrets.base_spans(text))] == ["assign", "access", "hex"]
 
 
+def test_secret_threshold_keeps_the_recall_below_a_half():
+    r = np.random.default_rng(3)
+    x, y = r.integers(1, 96, (600, secrets.WIDTH)), np.repeat([0.0, 1.0], 300)
+    x[450:, 25:35] = 7  # the other half of the positives looks like the negatives
+    net = secrets.train(x, y, recall=0.98, epochs=3)
+    held = np.random.default_rng(7).permutation(600)[:120]
+    p = net.predict(x[held])
+    assert net.threshold < 0.5 and (p[y[held] == 1] >= net.threshold).mean() >= 0.98
+
+
+def test_calibration_recovers_slope_and_offset():
+    r = np.random.default_rng(8)
+    z = r.normal(0, 3, 20000)
+    y = (r.random(20000) < 1 / (1 + np.exp(-(0.5 * z - 1)))).astype(float)
+    assert secrets.calibrate(z, y) == pytest.approx((0.5, -1.0), abs=0.1)
+
+
 @pytest.mark.parametrize("module, label", [(quality, "quality"), (toxicity, "toxic")])
 def test_learned_scores_on_held_out_rows(spark, module, label):
     sf = "/root/testdata/sf0.01"
