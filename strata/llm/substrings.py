@@ -1,14 +1,13 @@
-"""Substring dedup by Relative Lempel-Ziv parsing against an index of reference blocks.
+"""Substring dedup by a join of window hashes, preselected by reference blocks.
 
 Every text is cut into reference blocks by its content: a window of ``window`` words belongs to
 the block named by the smallest hash of the half-windows in it, so equal windows of different
 documents always meet in one block.  Blocks that only one text has are never looked at again.
 The windows of the other blocks are indexed by a 128-bit hash with the smallest id they start in.
 
-A document is then parsed greedily from left to right: a factor starts at the first word whose
-window the index holds for a smaller id and goes on while the next window is held too; where it
-ends, the parse goes on at the next word, so that a factor that overlaps the boundary is found as
-well.  All factors have ``window`` words or more, and their words are the duplicate spans.
+A window is held if the index has it for a smaller id; the union of a document's held windows are
+its duplicate spans.  No text is factored against reference blocks: the spans are those that greedy
+factors of ``window`` words or more would cover, as such a factor is a run of held windows.
 
 Texts are compared before anything is removed.  Equal texts are parsed once: of a text that
 occurs under several ids, all but the smallest id lose every word (if it has a window at all).  A
