@@ -11,6 +11,7 @@ from strata.llm.pieces import op1_sentencepiece
 from strata.llm.quality import op3_quality
 from strata.llm.secrets import op5_secrets
 from strata.llm.substrings import op2_substrings
+from strata.llm.token_counts import op12_token_counts
 from strata.llm.toxicity import op6_toxicity
 
 QUERIES = {
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_maxent": op8_maxent,
     "op9_neighbours": op9_neighbours,
     "op10_decontamination": op10_decontamination,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}
