@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from strata.llm.conversation_repair import op11_conversation_repair
 from strata.llm.decontaminate import op10_decontamination
 from strata.llm.html import op4_html
 from strata.llm.jaccard import op7_jaccard
 from strata.llm.maxent import op8_maxent
 from strata.llm.neighbours import op9_neighbours
+from strata.llm.periodic import op13_periodic_runs
 from strata.llm.pieces import op1_sentencepiece
 from strata.llm.quality import op3_quality
 from strata.llm.secrets import op5_secrets
@@ -25,7 +27,9 @@ QUERIES = {
     "op8_maxent": op8_maxent,
     "op9_neighbours": op9_neighbours,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_token_counts": op12_token_counts,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {}
