@@ -10,11 +10,12 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.checks import enforce_varchar
+from strata.operators.ledger import LedgerTable
 from strata.session import delete_path, hidden_sibling, replace_path
 from strata.sources.csv import NULL_MARKER
 from strata.sources.datasets import TEXT_TIME_OPTIONS, XML_ROOT_TAG, XML_ROW_TAG, check_format
@@ -76,13 +77,20 @@ def _write_then_swap(spark, write, target: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str, *, conflate_empty: bool = False,
-               max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE) -> str:
+               max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE, atomic: bool = False) -> str:
     """Write ``df`` as header CSV under folder ``path``, replacing what was there (K1).
 
     Header from column names, ``,`` separator, quotes only where needed, embedded quotes
     doubled, NULL as an empty field.  Part files are written in parallel, one or more per
-    partition, each holding at most ``max_records_per_file`` rows.
+    partition, each holding at most ``max_records_per_file`` rows.  ``atomic`` writes ``path`` as a
+    ledger table: readers (``read_dataset``) see the old export until they see the new one, and
+    a crash leaves one of the two.
     """
+    if atomic:
+        if conflate_empty or max_records_per_file != DEFAULT_MAX_RECORDS_PER_FILE:
+            raise ValueError("an atomic export has the default layout")
+        LedgerTable(df.sparkSession, path).overwrite(df, "csv")
+        return path
     out = printable(df)
     writer = out.write.mode("errorifexists").options(
         **csv_write_options(conflate_empty=conflate_empty, max_records_per_file=max_records_per_file, columns=len(out.columns)))
@@ -108,26 +116,13 @@ def guarded_export(df: DataFrame, path: str, **options) -> ExportResult:
     return ExportResult("exported", path)
 
 
-def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str = "overwrite",
-                  varchar_limits: Mapping[str, int] | None = None,
-                  partition_by: list[str] | None = None,
-                  max_records_per_file: int | None = None) -> str:
-    """Write ``df`` to ``path`` as ``fmt`` (K3).
-
-    ``overwrite`` writes a sibling folder and swaps it in after success; ``append``
-    adds files in place (one job commit: all or nothing).  ``varchar_limits`` applies
-    the VARCHAR rule, since a path has no declared column types to enforce it.
-    ``max_records_per_file`` defaults per format (0 means unbounded): CSV and XML may hold
-    records spanning lines and are then read one task per file, so their files are bounded;
-    parquet, orc, avro and JSON lines split on read and keep Spark's one file per task.
-    """
+def dataset_writer(df: DataFrame, fmt: str, max_records_per_file: int | None = None) -> DataFrameWriter:
+    """A writer of ``df`` as ``fmt`` with this library's options for the format."""
     f = check_format(fmt)
     if max_records_per_file is None:
         max_records_per_file = {"csv": DEFAULT_MAX_RECORDS_PER_FILE,
                                 "xml": XML_MAX_RECORDS_PER_FILE}.get(f, 0)
-    out = enforce_varchar(df, varchar_limits or {})
-    if f == "csv":
-        out = printable(out)
+    out = printable(df) if f == "csv" else df
     writer = out.write.format(f)
     if f == "csv":
         writer = writer.options(**csv_write_options(max_records_per_file=max_records_per_file,
@@ -138,6 +133,32 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str =
         writer = writer.options(**TEXT_TIME_OPTIONS)
     if f == "xml":
         writer = writer.option("rowTag", XML_ROW_TAG).option("rootTag", XML_ROOT_TAG)
+    return writer
+
+
+def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str = "overwrite",
+                  varchar_limits: Mapping[str, int] | None = None,
+                  partition_by: list[str] | None = None,
+                  max_records_per_file: int | None = None, atomic: bool = False) -> str:
+    """Write ``df`` to ``path`` as ``fmt`` (K3).
+
+    ``atomic`` overwrites ``path`` as a ledger table, replaced by the creation of one file; read it
+    with ``read_dataset``.
+
+    ``overwrite`` writes a sibling folder and swaps it in after success; ``append``
+    adds files in place (one job commit: all or nothing).  ``varchar_limits`` applies
+    the VARCHAR rule, since a path has no declared column types to enforce it.
+    ``max_records_per_file`` defaults per format (0 means unbounded): CSV and XML may hold
+    records spanning lines and are then read one task per file, so their files are bounded;
+    parquet, orc, avro and JSON lines split on read and keep Spark's one file per task.
+    """
+    f = check_format(fmt)
+    if atomic:
+        if partition_by or max_records_per_file is not None or mode != "overwrite":
+            raise ValueError("an atomic write overwrites, in the default layout")
+        LedgerTable(df.sparkSession, path).overwrite(df, f, varchar_limits)
+        return path
+    writer = dataset_writer(enforce_varchar(df, varchar_limits or {}), f, max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     try:

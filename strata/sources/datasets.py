@@ -36,8 +36,19 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet",
                  schema: T.StructType | None = None) -> DataFrame:
     """Open the dataset at ``path`` stored as ``fmt``.
 
-    For ``json``, ``csv`` and ``xml`` pass ``schema`` to get the written types back.
+    For ``json``, ``csv`` and ``xml`` pass ``schema`` to get the written types back.  A path
+    written as a ledger table (``atomic=True``) knows its own format and schema.
     """
+    from strata.operators.ledger import LedgerTable, is_ledger
+
+    if is_ledger(spark, path):
+        return LedgerTable(spark, path).read()
+    return read_dataset_folders(spark, [path], fmt, schema)
+
+
+def read_dataset_folders(spark: SparkSession, paths: list[str], fmt: str, schema: T.StructType | None) -> DataFrame:
+    """The rows of one or more folders written as ``fmt``."""
+    path = paths if len(paths) > 1 else paths[0]
     f = check_format(fmt)
     if f == "csv" and schema is not None:  # the bulk-load rules of typed CSV reads
         return read_csv_typed(spark, path, schema, varchar_limits={})
