@@ -22,7 +22,7 @@ from strata.operators.transforms import (classified_review, movie_analytics, rev
                                          user_purchase)
 from strata.schemas import (CLASSIFIED_REVIEW, REVIEW_LOGS, USER_PURCHASE, USER_PURCHASE_DDL,
                             USER_PURCHASE_VARCHAR)
-from strata.sources.csv import read_bronze_csv, read_csv_typed
+from strata.sources.csv import naming_bad_csv_record, read_bronze_csv, read_csv_typed
 from strata.sources.datasets import read_dataset
 from strata.streaming.arrival import arrival_load
 
@@ -87,8 +87,9 @@ def classified_review_job(spark: SparkSession, in_csv: str, out: str, fmt: str =
 
 
 def user_purchase_job(spark: SparkSession, in_csv: str, out: str, fmt: str = "parquet") -> str:
-    return write_dataset(user_purchase(read_csv_typed(spark, in_csv, USER_PURCHASE)), out, fmt,
-                         varchar_limits=USER_PURCHASE_VARCHAR)
+    with naming_bad_csv_record(spark, in_csv, USER_PURCHASE):
+        return write_dataset(user_purchase(read_csv_typed(spark, in_csv, USER_PURCHASE)), out, fmt,
+                             varchar_limits=USER_PURCHASE_VARCHAR)
 
 
 def read_silver(spark: SparkSession, silver_root: str, name: str, fmt: str = "parquet") -> DataFrame:

@@ -9,22 +9,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.ledger import LedgerTable
 from strata.operators.sinks import export_csv, guarded_export, write_dataset
 from strata.operators.tables import (append_load, clear_table, create_if_absent, drop_if_exists,
-                                     full_refresh_load, row_count_gate)
+                                     footer_count_gate, full_refresh_load, row_count_gate)
 from strata.operators.transforms import (classified_review, movie_analytics, review_logs,
                                          user_purchase)
 from strata.plans import inputs
 from strata.plans.jobs import (SILVER_USER_PURCHASE, FlowPaths, bronze_to_gold, run,
                                session_smoke, show_table)
-from strata.schemas import MOVIE_ANALYTICS, REVIEW_LOGS, USER_PURCHASE
+from strata.plans.resume import resumable_flow
+from strata.schemas import MOVIE_ANALYTICS, REVIEW_LOGS, USER_PURCHASE, USER_PURCHASE_VARCHAR
 from strata.session import delete_path, scratch_path, scratch_table
-from strata.sources.csv import read_bronze_csv, read_csv_typed
+from strata.sources.csv import naming_bad_csv_record, read_bronze_csv, read_csv_typed
 from strata.sources.datasets import read_dataset
+from strata.sources.records import BadRecordError
 from strata.sources.tables import read_table
 from strata.streaming.arrival import arrival_load
 
@@ -84,6 +88,33 @@ def q_csv_typed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_typed(spark, _exported_purchases(spark, sf_dir, "typed_read"), USER_PURCHASE)
 
 
+MULTI_LINE_DETAIL = "\nsays \"{n}\",\r\nat length"  # added to a purchase's detail: quotes and newlines
+
+
+def q_csv_split_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "split_read")
+    before, after = MULTI_LINE_DETAIL.split("{n}")
+    rows = inputs.purchases(spark, sf_dir)
+    export_csv(rows.withColumn("detail", F.concat("detail", F.lit(before), "country", F.lit(after))), path)
+    return read_csv_typed(spark, path, USER_PURCHASE, multi_line="split")
+
+
+def q_csv_bad_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The purchases of the first order get a quantity that is no number; the load must say so.
+    path = scratch_path(spark, "bad_record")
+    rows = inputs.purchases(spark, sf_dir)
+    first = rows.agg(F.min(F.col("invoice_number").cast("long"))).first()[0]
+    bad = F.col("invoice_number") == str(first)
+    export_csv(rows.withColumn("quantity", F.when(bad, "many").otherwise(F.col("quantity").cast("string"))), path)
+    try:
+        with naming_bad_csv_record(spark, path):
+            write_dataset(read_csv_typed(spark, path), scratch_path(spark, "never"))
+    except BadRecordError as exc:
+        return spark.createDataFrame([(exc.column, exc.value, exc.text.split(",")[0])],
+                                     "column_name string, value string, invoice_number string")
+    raise AssertionError("the bad record passed")
+
+
 def q_bronze_csv_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze_csv(spark, _bronze_reviews(spark, sf_dir), "movie_review")
 
@@ -175,6 +206,15 @@ def q_row_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return empty_df.unionByName(loaded)
 
 
+def q_footer_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One row a table, all of them rows of the footers.
+    gates = []
+    for name in inputs.TABLES:
+        gate = footer_count_gate(spark, f"{sf_dir.rstrip('/')}/{name}.parquet").first()
+        gates.append((name, gate.total_rows, gate.proceed))
+    return spark.createDataFrame(gates, "name string, total_rows bigint, proceed boolean")
+
+
 def q_append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _purchases_once(spark, sf_dir)
     name = _loaded_table(spark, sf_dir, "append", source)
@@ -191,6 +231,58 @@ def q_full_refresh_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name)
 
 
+# --- ledger tables -----------------------------------------------------------------
+
+def _ledger_table(spark: SparkSession, tag: str) -> LedgerTable:
+    table = LedgerTable(spark, scratch_path(spark, tag))
+    table.create(USER_PURCHASE, USER_PURCHASE_VARCHAR)
+    return table
+
+
+def q_ledger_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Two batches; the first is written once more by a load that never made its entry, and
+    # both are loaded again.
+    source = _purchases_once(spark, sf_dir)
+    table = _ledger_table(spark, "ledger_append")
+    table.stage(source)
+    for batch in (0, 0, 1, 1):
+        table.append(source, "loader", batch)
+    return table.read()
+
+
+def q_ledger_arrival_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Two arrivals; the stream then forgets that it finished the second batch and runs it again.
+    landing, checkpoint = scratch_path(spark, "landing_once"), scratch_path(spark, "arrival_once_ckpt")
+    table = _ledger_table(spark, "arrival_once")
+    source = _purchases_once(spark, sf_dir)
+    for arrival in ("first", "second"):
+        export_csv(source, f"{landing}/{arrival}")
+        arrival_load(spark, f"{landing}/*", table, checkpoint, mode="append")
+    delete_path(spark, f"{checkpoint}/commits/1")
+    again = arrival_load(spark, f"{landing}/*", table, checkpoint, mode="append")
+    if (again.batches, again.rows) != ([1], 0):
+        raise AssertionError(f"expected batch 1 again without rows, got {again}")
+    _discard(spark, landing, checkpoint)
+    return table.read()
+
+
+def q_ledger_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The count is the one that the entry states: no file is read for it.
+    source = _purchases_once(spark, sf_dir)
+    table = _ledger_table(spark, "ledger_refresh")
+    for _ in range(2):
+        table.stage(source)
+        table.refresh(source)
+    return table.read().withColumn("total_rows", F.lit(table.rows()).cast("long"))
+
+
+def q_atomic_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _purchases_once(spark, sf_dir)
+    path = scratch_path(spark, "atomic_export")
+    statuses = [guarded_export(rows, path, atomic=True).status for rows in (source, source, source.where(F.lit(False)))]
+    return read_dataset(spark, path, "csv").withColumn("statuses", F.lit(",".join(statuses)))
+
+
 # --- sinks -------------------------------------------------------------------
 
 def q_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,6 +358,31 @@ def q_bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, result.gold, "parquet", MOVIE_ANALYTICS)
 
 
+def q_resumed_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The first run has no review logs to read and fails there; the second goes on from it.
+    paths = FlowPaths(
+        landing=_exported_purchases(spark, sf_dir, "resumed_landing"),
+        purchase_table=scratch_path(spark, "resumed_purchase"),
+        export=scratch_path(spark, "resumed_export"),
+        movie_review_csv=_bronze_reviews(spark, sf_dir),
+        log_reviews_csv=scratch_path(spark, "resumed_logs"),
+        silver_root=scratch_path(spark, "resumed_silver"),
+        gold_root=scratch_path(spark, "resumed_gold"),
+    )
+    state = scratch_path(spark, "resumed_state")
+    try:
+        resumable_flow(spark, paths, state, "parquet", QUERY_POSITIVE_WORDS)
+        raise AssertionError("a flow without review logs passed")
+    except AnalysisException:
+        pass
+    export_csv(inputs.review_log_xml(spark, sf_dir), paths.log_reviews_csv)
+    flow = resumable_flow(spark, paths, state, "parquet", QUERY_POSITIVE_WORDS)
+    if flow.ran != ["movie_analytics", "review_logs"]:
+        raise AssertionError(f"expected the failed step and what depends on it, got {flow.ran}")
+    _discard(spark, paths.landing, paths.export, paths.movie_review_csv, paths.log_reviews_csv, paths.silver_root, paths.purchase_table)
+    return read_dataset(spark, flow.gold)
+
+
 def q_job_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _exported_purchases(spark, sf_dir, "job_src")
     out = scratch_path(spark, "job_silver") + f"/{SILVER_USER_PURCHASE}"
@@ -276,6 +393,8 @@ def q_job_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_typed_read": q_csv_typed_read,
+    "csv_split_read": q_csv_split_read,
+    "csv_bad_record": q_csv_bad_record,
     "bronze_csv_read": q_bronze_csv_read,
     "table_scan": q_table_scan,
     "dataset_format_roundtrip": q_dataset_format_roundtrip,
@@ -285,8 +404,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clear_table": q_clear_table,
     "drop_if_exists": q_drop_if_exists,
     "row_count_gate": q_row_count_gate,
+    "footer_count_gate": q_footer_count_gate,
     "append_load": q_append_load,
     "full_refresh_load": q_full_refresh_load,
+    "ledger_append": q_ledger_append,
+    "ledger_arrival_append": q_ledger_arrival_append,
+    "ledger_refresh": q_ledger_refresh,
+    "atomic_export": q_atomic_export,
     "csv_export": q_csv_export,
     "guarded_export": q_guarded_export,
     "review_logs": q_review_logs,
@@ -297,6 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "show_table": q_show_table,
     "session_smoke": q_session_smoke,
     "bronze_to_gold": q_bronze_to_gold,
+    "resumed_flow": q_resumed_flow,
     "job_by_name": q_job_by_name,
 }
 
@@ -367,6 +492,11 @@ ROUNDTRIP_SQL = "\nunion all\n".join(
 
 ORACLE_SQL: dict[str, str] = {
     "csv_typed_read": PURCHASES_SQL,
+    "csv_split_read": (
+        "select * replace (detail || chr(10) || 'says \"' || country || '\",' || chr(13) || chr(10) || 'at length' as detail)\n"
+        f"from ({PURCHASES_SQL})"),
+    "csv_bad_record": (
+        "select 'quantity' as column_name, 'many' as value, cast(min(l_orderkey) as varchar) as invoice_number from lineitem"),
     "bronze_csv_read": REVIEWS_SQL,
     "table_scan": PURCHASES_SQL,
     "dataset_format_roundtrip": ROUNDTRIP_SQL,
@@ -380,8 +510,14 @@ ORACLE_SQL: dict[str, str] = {
         "union all\n"
         "select 'loaded' as input, count(*) as total_rows, count(*) > 0 as proceed from ("
         + PURCHASES_SQL + ")"),
+    "footer_count_gate": "\nunion all\n".join(
+        f"select '{name}' as name, count(*) as total_rows, count(*) > 0 as proceed from {name}" for name in inputs.TABLES),
     "append_load": f"select * from ({PURCHASES_SQL})\nunion all\nselect * from ({PURCHASES_SQL})",
     "full_refresh_load": PURCHASES_SQL,
+    "ledger_append": f"select * from ({PURCHASES_SQL})\nunion all\nselect * from ({PURCHASES_SQL})",
+    "ledger_arrival_append": f"select * from ({PURCHASES_SQL})\nunion all\nselect * from ({PURCHASES_SQL})",
+    "ledger_refresh": f"select *, count(*) over () as total_rows from ({PURCHASES_SQL})",
+    "atomic_export": f"select *, 'exported,exported,skipped' as statuses from ({PURCHASES_SQL})",
     "csv_export": CSV_EXPORT_SQL,
     "guarded_export": f"select *, 'exported,skipped' as statuses from ({PURCHASES_SQL})",
     "review_logs": LOGS_SQL,
@@ -392,5 +528,6 @@ ORACLE_SQL: dict[str, str] = {
     "show_table": f"{LOGS_SQL} order by event_id limit {SHOW_N}",
     "session_smoke": "select count(*) as row_count, true as ok from lineitem",
     "bronze_to_gold": ANALYTICS_SQL.replace("{customers}", ""),
+    "resumed_flow": ANALYTICS_SQL.replace("{customers}", ""),
     "job_by_name": PURCHASES_SQL,
 }
