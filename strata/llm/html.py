@@ -8,22 +8,29 @@ block is judged by its text: long blocks with enough function words and few link
 blocks of links are boilerplate, and short or sparse blocks stay ambiguous.  Standing in the
 article's container (article or main, by tag, role or property) is evidence, not a verdict: it
 stands in for the function words of a long block, and a single block of links stays ambiguous
-there, as a title may be one.  In the second pass an ambiguous block takes the label of its nearest
+there, as a title may be one (so do two; three in a row are a list of links).  Where the page's
+text holds hardly any of the known function words, its language is taken as unknown and length alone
+speaks for a block.  In the second pass an ambiguous block takes the label of its nearest
 decided neighbours on its own side of the article's border: both alike decide it, otherwise the
-nearer one does.  On equal distance, where nothing is decided, or in an article without a block that
+nearer one does, except that a block of text inside an article is boilerplate only between two blocks of
+boilerplate.  On equal distance, where nothing is decided, or in an article without a block that
 is content by its text, the border decides: content inside an article, boilerplate outside and in
-an article of links alone.
+an article of links alone.  If all this leaves no content, the ambiguous blocks that are no links are it.
+A run of text inside a paragraph that its own element marks as hidden or as boilerplate (an advert in a
+span) is left out of the block.
 
 Text is never cut: every content block is kept whole, its character references decoded, white
 space made one blank and trimmed, blocks joined by one newline.  A null or empty page, or one
-without content, gives an empty text; unclosed and stray tags are accepted; repeated rows are
-extracted alike; an empty table gives an empty result.
+without content, gives an empty text; unclosed and stray tags are accepted, in time that is
+linear in the page; repeated rows are extracted alike; an empty table gives an empty result.  Further
+columns stay as they are; one that has the name of the new text column is replaced.
 """
 
 from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +60,8 @@ skip search tags toc outbrain taboola""".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    # A quote opens a value only after an equals sign; elsewhere, or unclosed, it is a character.
+    r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(?:>|\Z)",
     re.DOTALL)
 _ATTR = re.compile(r"""([^\s=/"'<>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]+)""")
 _NAME = re.compile(r"[A-Za-z]+")
@@ -62,6 +70,8 @@ _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.IGNORECASE) for t in RAW_TAGS}
 
 CONTENT, BOILER, AMBIGUOUS, HIDDEN = 1, 0, -1, -2
 LONG_CHARS = 140
+LINK_ROW = 3  # blocks of links in a row that are a list of links inside an article
+KNOWN_SHARE = 0.05  # function words in the text of a page whose language is known
 
 
 def _boiler_name(value: str) -> bool:
@@ -112,8 +122,12 @@ def _freed(found: list[tuple[str, int, int, int, int]], outer: list[int], long_c
 def blocks(page: str) -> list[tuple[str, int, int, int]]:
     """Blocks in page order: (text, zone, characters of it inside links, number of its article or 0)."""
     out: list[tuple[str, int, int, int, int]] = []
-    # Open elements: tag, zone that holds inside, the same as its article alone says, the article's number.
-    stack: list[tuple[str, int, int, int]] = []
+    # Open elements: tag, zone that holds inside, the same as its article alone says, the article's
+    # number, and whether the element is an inline one that takes its text out of the block.
+    stack: list[tuple[str, int, int, int, bool]] = []
+    open_blocks: Counter[str] = Counter()
+    open_inline = [Counter()]  # inline elements by name, for each open block
+    off = 0
     outer = [0]  # by article, the one around it
     parts: list[str] = []
     linked = 0
@@ -122,7 +136,20 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
     at = 0
 
     def zone() -> tuple[int, int, int]:
-        return stack[-1][1:] if stack else (AMBIGUOUS, AMBIGUOUS, 0)
+        return stack[-1][1:4] if stack else (AMBIGUOUS, AMBIGUOUS, 0)
+
+    def close_top() -> str:
+        nonlocal links, dropped, off
+        name, *_, out_of_block = stack.pop()
+        links -= name == "a"
+        dropped -= name in DROPPED_TAGS
+        off -= out_of_block
+        if name in BLOCK_TAGS:
+            open_blocks[name] -= 1
+            open_inline.pop()
+        else:
+            open_inline[-1][name] -= 1
+        return name
 
     def flush(now: tuple[int, int, int]) -> None:
         nonlocal linked
@@ -134,7 +161,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
 
     def add(raw: str) -> None:
         nonlocal linked
-        if raw and not dropped:
+        if raw and not dropped and not off:
             parts.append(raw)
             if links:
                 linked += len(raw.strip())
@@ -163,28 +190,29 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             if tag in VOID_TAGS or m["attrs"].rstrip().endswith("/") and tag not in BLOCK_TAGS:
                 continue
             if tag in ("p", "li") and stack and stack[-1][0] == tag:
-                stack.pop()  # an open paragraph or item ends where the next begins
+                close_top()  # an open paragraph or item ends where the next begins
             held, inner, article = zone()
             said = _zone(tag, m["attrs"], inner == CONTENT)
             if said == CONTENT and inner in (BOILER, AMBIGUOUS):
                 outer.append(article)
                 article = len(outer) - 1
             inner = HIDDEN if HIDDEN in (inner, said) else inner if said == AMBIGUOUS else said
+            block = tag in BLOCK_TAGS
+            out_of_block = not block and said in (HIDDEN, BOILER)
             stack.append((tag, HIDDEN if HIDDEN in (held, said) else BOILER if BOILER in (held, said)
-                          else CONTENT if CONTENT in (held, said) else AMBIGUOUS, inner, article))
+                          else CONTENT if CONTENT in (held, said) else AMBIGUOUS, inner, article, out_of_block))
             links += tag == "a"
             dropped += tag in DROPPED_TAGS
-        else:
+            off += out_of_block
+            if block:
+                open_blocks[tag] += 1
+                open_inline.append(Counter())
+            else:
+                open_inline[-1][tag] += 1
+        elif open_blocks[tag] if tag in BLOCK_TAGS else open_inline[-1][tag]:
             # Close the nearest such element; an inline tag never closes a block around it.
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    for name, *_ in stack[i:]:
-                        links -= name == "a"
-                        dropped -= name in DROPPED_TAGS
-                    del stack[i:]
-                    break
-                if tag not in BLOCK_TAGS and stack[i][0] in BLOCK_TAGS:
-                    break
+            while close_top() != tag:
+                pass
     flush(zone())
     freed = _freed(out, outer, LONG_CHARS)
     # An article that stays boilerplate is no article.
@@ -197,18 +225,27 @@ def classify(found: list[tuple[str, int, int, int]], *, max_links: float = 0.5,
              short_chars: int = 60, function_share: float = 0.15) -> list[int]:
     """Two passes; returns CONTENT or BOILER per block."""
     linky = [linked > max_links * len(text) for text, _, linked, _ in found]
+    row = [0] * len(found)  # how many blocks of links stand in a row here, in one article
+    for i in range(len(found)):
+        if linky[i] and not row[i]:
+            end = i
+            while end < len(found) and linky[end] and found[end][1] == found[i][1] and found[end][3] == found[i][3]:
+                end += 1
+            row[i:end] = [end - i] * (end - i)
+    plain = [text.lower().split() for (text, z, *_), x in zip(found, linky) if z != BOILER and not x]
+    total = sum(map(len, plain))
+    known = sum(w in FUNCTION_WORDS for words in plain for w in words) >= KNOWN_SHARE * total
     labels = []
     for i, (text, z, _, article) in enumerate(found):
         if z == BOILER:
             labels.append(BOILER)
         elif linky[i]:
-            # A single block of links inside an article may be its title.
-            near = (k for k in (i - 1, i + 1) if 0 <= k < len(found) and found[k][1] == z and found[k][3] == article)
-            labels.append(BOILER if z != CONTENT or any(linky[k] for k in near) else AMBIGUOUS)
+            # A few blocks of links inside an article may be its title or a part of its text.
+            labels.append(BOILER if z != CONTENT or row[i] >= LINK_ROW else AMBIGUOUS)
         else:
             words = text.lower().split()
             share = sum(map(FUNCTION_WORDS.__contains__, words)) / max(1, len(words))
-            if len(text) >= long_chars and (share >= function_share or z == CONTENT):
+            if len(text) >= long_chars and (share >= function_share or z == CONTENT) or not known and len(text) >= long_chars // 2:
                 labels.append(CONTENT)
             elif len(text) >= short_chars and share >= 2 * function_share:
                 labels.append(CONTENT)
@@ -236,7 +273,11 @@ def classify(found: list[tuple[str, int, int, int]], *, max_links: float = 0.5,
             said = {labels[k] for k in around if abs(k - i) == near}
             if len({labels[k] for k in around}) == 1:
                 said = {labels[around[0]]}
+            if article and not linky[i] and (len(around) < 2 or CONTENT in (labels[k] for k in around)):
+                said = {border}
             final[i] = said.pop() if len(said) == 1 else border
+    if CONTENT not in final:
+        final = [CONTENT if label == AMBIGUOUS and not x else f for label, x, f in zip(labels, linky, final)]
     return final
 
 
