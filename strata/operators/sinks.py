@@ -76,21 +76,45 @@ def _write_then_swap(spark, write, target: str) -> None:
     replace_path(spark, staged, target)
 
 
+def rows_per_file(df: DataFrame, fmt: str, target_bytes: int, sample_rows: int = 10_000) -> int:
+    """How many rows of ``df``, encoded as ``fmt``, make a file of about ``target_bytes``.
+
+    The width is the average of the first ``sample_rows`` rows as the writer encodes them, which takes a
+    few tasks of the plan a second time.  Only for text formats: the others compress whole columns."""
+    f = check_format(fmt)
+    if f not in ("csv", "json", "xml") or target_bytes < 1:
+        raise ValueError(f"no row width for {fmt!r} files of {target_bytes} bytes")
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    if f == "csv":
+        line = F.to_csv(row, {k: v for k, v in csv_write_options(columns=len(df.columns)).items() if k not in ("header", "maxRecordsPerFile")})
+    elif f == "json":
+        line = F.to_json(row, TEXT_TIME_OPTIONS)
+    else:
+        line = F.to_xml(row, {**TEXT_TIME_OPTIONS, "rowTag": XML_ROW_TAG})
+    rows = printable(df) if f == "csv" else df
+    width = rows.limit(sample_rows).select((F.octet_length(line) + 1).alias("bytes")).agg(F.avg("bytes")).first()[0]
+    return max(1, round(target_bytes / width)) if width else DEFAULT_MAX_RECORDS_PER_FILE
+
+
 def export_csv(df: DataFrame, path: str, *, conflate_empty: bool = False,
-               max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE, atomic: bool = False) -> str:
+               max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE, atomic: bool = False,
+               target_bytes: int | None = None) -> str:
     """Write ``df`` as header CSV under folder ``path``, replacing what was there (K1).
 
     Header from column names, ``,`` separator, quotes only where needed, embedded quotes
     doubled, NULL as an empty field.  Part files are written in parallel, one or more per
-    partition, each holding at most ``max_records_per_file`` rows.  ``atomic`` writes ``path`` as a
+    partition, each holding at most ``max_records_per_file`` rows, or as many as make about
+    ``target_bytes``.  ``atomic`` writes ``path`` as a
     ledger table: readers (``read_dataset``) see the old export until they see the new one, and
     a crash leaves one of the two.
     """
     if atomic:
-        if conflate_empty or max_records_per_file != DEFAULT_MAX_RECORDS_PER_FILE:
+        if conflate_empty or target_bytes or max_records_per_file != DEFAULT_MAX_RECORDS_PER_FILE:
             raise ValueError("an atomic export has the default layout")
         LedgerTable(df.sparkSession, path).overwrite(df, "csv")
         return path
+    if target_bytes:
+        max_records_per_file = rows_per_file(df, "csv", target_bytes)
     out = printable(df)
     writer = out.write.mode("errorifexists").options(
         **csv_write_options(conflate_empty=conflate_empty, max_records_per_file=max_records_per_file, columns=len(out.columns)))
@@ -139,7 +163,8 @@ def dataset_writer(df: DataFrame, fmt: str, max_records_per_file: int | None = N
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str = "overwrite",
                   varchar_limits: Mapping[str, int] | None = None,
                   partition_by: list[str] | None = None,
-                  max_records_per_file: int | None = None, atomic: bool = False) -> str:
+                  max_records_per_file: int | None = None, atomic: bool = False,
+                  target_bytes: int | None = None) -> str:
     """Write ``df`` to ``path`` as ``fmt`` (K3).
 
     ``atomic`` overwrites ``path`` as a ledger table, replaced by the creation of one file; read it
@@ -151,13 +176,16 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str =
     ``max_records_per_file`` defaults per format (0 means unbounded): CSV and XML may hold
     records spanning lines and are then read one task per file, so their files are bounded;
     parquet, orc, avro and JSON lines split on read and keep Spark's one file per task.
+    ``target_bytes`` bounds the files of a text format by their size instead of their rows.
     """
     f = check_format(fmt)
     if atomic:
-        if partition_by or max_records_per_file is not None or mode != "overwrite":
+        if partition_by or target_bytes or max_records_per_file is not None or mode != "overwrite":
             raise ValueError("an atomic write overwrites, in the default layout")
         LedgerTable(df.sparkSession, path).overwrite(df, f, varchar_limits)
         return path
+    if target_bytes:
+        max_records_per_file = rows_per_file(df, f, target_bytes)
     writer = dataset_writer(enforce_varchar(df, varchar_limits or {}), f, max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -102,3 +102,24 @@ def test_one_column_csv_keeps_nulls(spark, tmp_path):
     schema = T.StructType([T.StructField("a", T.StringType())])
     path = write_dataset(spark.createDataFrame([("x",), (None,), ("",)], schema), str(tmp_path / "one"), "csv")
     assert sorted((r.a for r in read_dataset(spark, path, "csv", schema).collect()), key=str) == ["", None, "x"]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "xml"])
+@pytest.mark.parametrize("width", [3, 2000])
+def test_files_are_bounded_by_bytes(spark, tmp_path, fmt, width):
+    rows = 40_000 if width == 3 else 400
+    df = spark.range(0, rows, 1, 2).selectExpr("id", f"repeat('x', {width}) as s", "cast(id / 7 as decimal(10,3)) as d")
+    path = str(tmp_path / fmt)
+    write_dataset(df, path, fmt, target_bytes=50_000)
+    sizes = sorted(os.path.getsize(os.path.join(path, n)) for n in os.listdir(path) if n.startswith("part-"))
+    full = sizes[2:]  # the last file of each of the two tasks may be short
+    assert len(full) > 3 and all(25_000 <= n <= 100_000 for n in full) and sizes[-1] <= 100_000
+    assert spark.read.format(fmt).options(header=True, rowTag="row").load(path).count() == rows
+
+
+def test_only_text_files_are_bounded_by_bytes(spark, tmp_path):
+    with pytest.raises(ValueError):
+        write_dataset(spark.range(3), str(tmp_path / "p"), "parquet", target_bytes=1000)
+    with pytest.raises(ValueError):
+        export_csv(spark.range(3), str(tmp_path / "p"), target_bytes=1000, atomic=True)
+    export_csv(spark.range(3).where("id > 5"), str(tmp_path / "e"), target_bytes=1000)

@@ -149,3 +149,35 @@ def test_column_pruning_hides_unread_bad_field(spark, write_text):
     assert [r.country for r in df.select("country").collect()] == ["UK"]
     with pytest.raises(Exception):
         df.collect()
+
+
+def test_quantile_slices_of_skewed_keys(spark):
+    import random
+
+    from strata.sources.tables import quantile_predicates
+
+    r = random.Random(4)
+    keys = [7] * 3000 + [int(r.paretovariate(0.7)) for _ in range(6000)] + [10**12] + [None] * 50 + [-5, 0]
+    predicates = quantile_predicates("k", r.sample(keys, 2000), 16)
+    rows = spark.createDataFrame([(k,) for k in keys], "k long")
+    sizes = list(rows.selectExpr(*[f"count_if({p})" for p in predicates]).first())
+    assert sum(sizes) == len(keys) and len(predicates) <= 16
+    alone = [p for p in predicates if p.startswith("k >= 7 AND k < ")]
+    assert len(alone) == 1 and max(s for s, p in zip(sizes, predicates) if p not in alone and "k < 2" not in p) < 0.2 * len(keys)
+    even = quantile_predicates("k", range(1000), 8)
+    assert len(even) == 8 and all(90 <= sum(eval(p.replace("AND", "and").replace("OR k IS NULL", ""), {"k": k}) for k in range(1000)) <= 160
+                                  for p in even)
+
+
+def test_quantile_slices_of_other_values():
+    import datetime
+
+    from strata.sources.tables import quantile_predicates
+
+    assert quantile_predicates("k", [], 8) == quantile_predicates("k", [None], 8) == quantile_predicates("k", [3, 3], 8) == ["1 = 1"]
+    assert quantile_predicates("k", ["a", "it's"], 2) == ["k < 'it''s' OR k IS NULL", "k >= 'it''s'"]
+    assert quantile_predicates("d", [datetime.date(2020, 1, 1), datetime.date(2021, 1, 1)], 2)[1] == "d >= '2021-01-01'"
+    with pytest.raises(TypeError):
+        quantile_predicates("k", [1.5, 2.5], 2)
+    with pytest.raises(ValueError):
+        quantile_predicates("k", [1], 0)
