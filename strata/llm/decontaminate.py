@@ -1,11 +1,11 @@
 """Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact verification.
 
 An item's shingles are its runs of five lower-cased words (a shorter item is one shingle).  A
-window is as many consecutive words of a document as an item has.  Windows are laid where they
-can matter: wherever a document has a shingle of an item, the window starts so that the shingle
-stands where it stands in the item (moved inside the document where it would stick out).  A
+window is as many consecutive words of a document as an item has.  Every window is laid that can
+reach the similarity: one in which so many places hold a shingle of an item of this size as the
+similarity takes, in whatever order they stand.  A
 document shorter than the item is one window, its whole text.  Every window gets a 64-bit SimHash of its shingles.  The fingerprints are cut into ``RADIUS + 1``
-blocks, so a window and an item it was laid for whose fingerprints differ in at most ``RADIUS``
+blocks, so a window and an item whose fingerprints differ in at most ``RADIUS``
 bits agree in at least one block and meet there.  Fingerprints of a pair at the least similarity may
 differ in more bits, so a window and an item also meet by a shingle among the first of each in the
 order of the hashes, as many as no similar pair can do without: no pair is lost.  A met pair is
@@ -75,6 +75,25 @@ def _blocks(fingerprint: str, radius: int) -> Column:
                      for i, (lo, hi) in enumerate(zip(cuts, cuts[1:]))])
 
 
+def _needed(item_size: Column, window_size: Column, similarity: float) -> Column:
+    """How many shingles an item and a window of these numbers of shingles have in common, at least,
+    if they are similar enough."""
+    return F.greatest(F.lit(1), F.ceil(F.lit(similarity) * (item_size + window_size) / F.lit(1 + similarity) - 1e-9)).cast("int")
+
+
+def _starts(k: int) -> Column:
+    """Where the windows of ``n`` words start that hold ``need`` of the places ``ats`` (sorted) or
+    more, in a document of ``total`` words; 0 in a shorter document."""
+    size = F.col("n") - (k - 1)
+
+    def around(i: Column) -> Column:
+        low, high = F.get("ats", i), F.get("ats", i + F.col("need") - 1)
+        return F.when(high - low < size, F.sequence(F.greatest(F.lit(0), high - size + 1), F.least(low, F.col("total") - F.col("n"))))
+
+    tight = F.filter(F.transform(F.sequence(F.lit(0), F.size("ats") - F.col("need")), around), lambda s: s.isNotNull())
+    return F.when(F.col("total") < F.col("n"), F.array(F.lit(0))).otherwise(F.array_distinct(F.flatten(tight)))
+
+
 def _keys(radius: int, similarity: float, fingerprint: str, shingles: str) -> Column:
     """``_blocks``, and as block -1 the shingles one of which two similar multisets share (the prefix filter)."""
     first = F.size(shingles) - F.ceil(F.lit(similarity) * F.size(shingles) - 1e-9) + 1
@@ -94,27 +113,31 @@ def matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_c
     sized = [item.where(F.col("k") == k).withColumn("shingles", _shingles("words", k)) for k in range(1, SHINGLE + 1)]
     item = saved(reduce(DataFrame.unionByName, sized).drop("words"), "bench-shingles")
     item = saved(_with_print(item), "bench-items")
-    anchors = (item.select("n", "k", F.posexplode("shingles").alias("off", "shingle"))
-               .select("n", "k", "off", "shingle").distinct())
+    anchors = item.select("n", "k", F.explode("shingles").alias("shingle")).distinct()
     sizes = [r["k"] for r in item.select("k").distinct().collect()]  # at most five numbers
 
-    doc = docs.select(F.col(f"`{id_col}`").alias("doc_id"), words_column(
-        ascii_lower_column(F.col(f"`{text_col}`"))).alias("words"))
-    doc = doc.withColumn("text_key", F.xxhash64("words"))
+    doc = docs.select(F.struct(F.col(f"`{id_col}`").alias("doc_id")).alias("__id"), F.col(f"`{text_col}`").alias("text"),
+                      F.xxhash64(F.col(f"`{text_col}`")).alias("text_key"))
+
+    def split(df: DataFrame, k: int) -> DataFrame:
+        lowered = df.withColumn("words", words_column(ascii_lower_column(F.col("text"))))
+        return lowered.withColumn("shingles", _shingles("words", k))
+
     found = []
     for k in sizes or [SHINGLE]:
-        here = doc.withColumn("shingles", _shingles("words", k))
-        spots = (here.select("doc_id", "text_key", F.size("words").alias("total"),
-                             F.posexplode("shingles").alias("at", "shingle"))
+        spots = (split(doc, k).select("__id", "text_key", F.size("words").alias("total"),
+                                      F.posexplode("shingles").alias("at", "shingle"))
                  .join(anchors.where(F.col("k") == k), "shingle")
                  # With fewer shingles than this share of the item's a text cannot reach the similarity.
                  .where(F.col("total") - (k - 1) >= F.lit(similarity) * (F.col("n") - (k - 1))))
-        windows = (spots.select("doc_id", "text_key", "n", F.least("n", "total").alias("n_words"), F.greatest(
-            F.lit(0), F.least(F.col("at") - F.col("off"), F.col("total") - F.col("n"))).alias("start")).distinct()
-            .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n", "n_words")).alias("windows")))
-        cut = (here.withColumn("__id", F.struct("doc_id"))
-               .join(windows.withColumn("__id", F.struct("doc_id")).drop("doc_id"), ["__id", "text_key"])
-               .select("doc_id", "shingles", F.explode("windows").alias("w"))
+        places = (spots.groupBy("__id", "text_key", "n").agg(F.array_sort(F.collect_set("at")).alias("ats"), F.max("total").alias("total"))
+                  .withColumn("n_words", F.least("n", "total")))
+        windows = (places.withColumn("need", _needed(F.col("n") - (k - 1), F.col("n_words") - (k - 1), similarity))
+                   .where(F.size("ats") >= F.col("need")).withColumn("starts", _starts(k)).where(F.size("starts") > 0)
+                   .groupBy("__id", "text_key").agg(F.flatten(F.collect_list(F.transform("starts", lambda s: F.struct(
+                       s.alias("start"), F.col("n").alias("n"), F.col("n_words").alias("n_words"))))).alias("windows")))
+        cut = (split(doc.join(windows, ["__id", "text_key"]), k)
+               .select(F.col("__id.doc_id").alias("doc_id"), "shingles", F.explode("windows").alias("w"))
                .select("doc_id", F.col("w.start").alias("start"), F.col("w.n").alias("n"), F.col("w.n_words").alias("n_words"),
                        F.slice("shingles", F.col("w.start") + 1, F.col("w.n_words") - (k - 1)).alias("shingles")))
         found.append(cut)
@@ -127,8 +150,11 @@ def matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_c
              .join(right, ["n", "block", "bits"])
              .where((F.col("block") < 0) | (F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius))
              .dropDuplicates(["doc_id", "start", "n", "n_words", "item_id", "print"]))
-    both = F.aggregate(F.array_distinct("shingles"), F.lit(0), lambda a, h: a + F.least(
+    common = F.array_intersect("shingles", "item_shingles")
+    counted = F.aggregate(common, F.lit(0), lambda a, h: a + F.least(
         F.size(F.filter("shingles", lambda x: x == h)), F.size(F.filter("item_shingles", lambda x: x == h))))
+    once = F.size(F.array_distinct("shingles")) == F.size("shingles")  # then no shingle counts twice
+    both = F.when(once, F.size(common)).otherwise(counted)
     scored = (pairs.withColumn("both", both)
               .withColumn("either", F.size("shingles") + F.size("item_shingles") - F.col("both"))
               .where(F.col("both") >= F.lit(similarity) * F.col("either"))
