@@ -1,15 +1,20 @@
 """Secret scans: fixed patterns, and a small character convolutional network over candidates.
 
-The network sees a window of characters around every candidate (a long run of key-like
-characters that holds a digit or mixes cases) and says how likely it is a secret.  It is trained
-on labelled findings: candidates that a fixed pattern marks are positive, the others negative,
-on a bounded sample.  On a part of the sample that training does not see, the output is calibrated
-(a logistic fit, to the shares of the sample) and the threshold is the highest one that keeps the
-wanted recall there, however low.  Findings of the network are added;
-findings of the patterns always stay.
-
-A null text counts as an empty one and has no findings; repeated rows each get their own; an
-empty table gives an empty result.  Without candidates of both kinds the network adds nothing.
+The network sees windows of characters around every candidate (a run of six or more key-like
+characters that holds a digit or mixes cases, or a very long run of any) and says how likely it is a
+secret.  A candidate longer than a window is read whole, in several windows, and counts as its likeliest
+one.  The network is trained on labelled findings: candidates that a fixed pattern marks are positive,
+the others negative, on a bounded sample.  Every window is shown twice, with its surroundings and with
+these blanked, so the network learns the looks of a value beside the key word in front of it, and can find
+what the patterns, which need the word, do not.  On a part of the sample that training does not see, the
+output is calibrated (a logistic fit, to the shares of the sample), and two thresholds are the highest
+ones that keep the wanted recalls there, however low: one for windows with their surroundings, one for
+blanked ones.  A candidate that reaches either is a finding of the network.  These are added; findings of
+the patterns always stay.
+
+A null text counts as an empty one and has no findings; texts of any length are scanned whole; repeated
+rows each get their own findings; an empty table gives an empty result.  Without candidates of both kinds
+the network adds nothing.  ``scan`` keeps all columns; one named ``secret_spans`` is replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +35,10 @@ _ASSIGN = re.compile(
     re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
+LONG_RUN = 20  # a run of this length is a candidate whatever it is made of
+
+_DIGIT = re.compile("[0-9]")
 
 LEFT, BODY, RIGHT = 20, 40, 4
 WIDTH = LEFT + BODY + RIGHT
@@ -51,11 +59,12 @@ def ordered(spans):
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Runs of key-like characters that hold a digit, or both cases beyond a first capital."""
+    """Runs of key-like characters that hold a digit, or both cases beyond a first capital, or are
+    very long."""
     out = []
     for m in _CANDIDATE.finditer(text):
         run = m[0]
-        if any(c.isdigit() for c in run) or not (run[1:].islower() or run.isupper()):
+        if len(run) >= LONG_RUN or _DIGIT.search(run) or not (run[1:].islower() or run.isupper()):
             out.append(m.span())
     return out
 
@@ -72,16 +81,28 @@ CLASSES = 98
 _TABLE = _codes()
 
 
+def pieces(start: int, end: int) -> list[tuple[int, int]]:
+    """A candidate in parts of at most ``BODY`` characters, the last one full too."""
+    if end - start <= BODY:
+        return [(start, end)]
+    return [(min(at, end - BODY), min(at, end - BODY) + BODY) for at in range(start, end, BODY)]
+
+
 def encode(text: str, start: int, end: int) -> np.ndarray:
-    """Class codes of a candidate's window: context, the first and last of its body, context."""
+    """Class codes of a window: context, at most ``BODY`` characters, context."""
     body = text[start:end]
-    if len(body) > BODY:
-        body = body[:BODY // 2] + body[-(BODY // 2):]
     window = text[max(0, start - LEFT):start].rjust(LEFT, "\0") + body.ljust(BODY, "\0") + text[end:end + RIGHT].ljust(RIGHT, "\0")
     points = np.frombuffer(window.encode("utf-32-le", "surrogatepass"), np.uint32)
     return np.where(points == 0, 0, _TABLE[np.minimum(points, 0x2FF)])
 
 
+def bare(x: np.ndarray) -> np.ndarray:
+    """Windows without what surrounds the candidate."""
+    out = x.copy()
+    out[:, :LEFT] = out[:, LEFT + BODY:] = 0
+    return out
+
+
 @dataclass
 class CharNet:
     """Embedding, one convolution with ReLU, maximum and mean over the places, logistic output."""
@@ -92,6 +113,7 @@ class CharNet:
     out: np.ndarray
     out_bias: float
     threshold: float = 2.0  # above 1: finds nothing
+    bare_threshold: float = 2.0  # for windows without their surroundings
 
     @staticmethod
     def fresh(seed: int = 7, size: int = 8, span: int = 5, filters: int = 16) -> CharNet:
@@ -134,9 +156,10 @@ def calibrate(logits: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[floa
     return float(at[0]), float(at[1])
 
 
-def train(x: np.ndarray, y: np.ndarray, *, recall: float = 0.98, epochs: int = 12, batch: int = 64,
-          rate: float = 0.01, seed: int = 7) -> CharNet:
-    """Adam on the log loss, classes weighted alike; a fifth of the sample sets the threshold."""
+def train(x: np.ndarray, y: np.ndarray, *, recall: float = 0.98, bare_recall: float = 0.9, epochs: int = 12,
+          batch: int = 64, rate: float = 0.01, seed: int = 7) -> CharNet:
+    """Adam on the log loss, classes weighted alike; a fifth of the sample sets the threshold.  The
+    rest is shown with and without its surroundings."""
     net = CharNet.fresh(seed)
     if len(y) == 0 or y.min() == y.max():
         return net
@@ -144,6 +167,9 @@ def train(x: np.ndarray, y: np.ndarray, *, recall: float = 0.98, epochs: int = 1
     order = rng.permutation(len(y))
     held, used = order[: max(1, len(y) // 5)], order[max(1, len(y) // 5):]
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
+    shown = np.concatenate([x, bare(x)])
+    used = np.concatenate([used, used + len(x)])
+    weight, goal = np.concatenate([weight, weight]), np.concatenate([y, y])
     names = ("embed", "conv", "conv_bias", "out", "out_bias")
     first = {n: np.zeros_like(np.asarray(getattr(net, n), float)) for n in names}
     second = {n: np.zeros_like(v) for n, v in first.items()}
@@ -154,8 +180,8 @@ def train(x: np.ndarray, y: np.ndarray, *, recall: float = 0.98, epochs: int = 1
         rng.shuffle(used)
         for at in range(0, len(used), batch):
             rows = used[at:at + batch]
-            patches, hidden, pooled, p = net.forward(x[rows])
-            d_logit = (p - y[rows]) * weight[rows] / len(rows)
+            patches, hidden, pooled, p = net.forward(shown[rows])
+            d_logit = (p - goal[rows]) * weight[rows] / len(rows)
             grads = {"out": pooled.T @ d_logit, "out_bias": d_logit.sum()}
             d_pool = d_logit[:, None] * net.out
             k = hidden.shape[2]
@@ -168,7 +194,7 @@ def train(x: np.ndarray, y: np.ndarray, *, recall: float = 0.98, epochs: int = 1
             d_embed = np.zeros_like(net.embed)
             places = hidden.shape[1]
             for i in range(span):
-                np.add.at(d_embed, x[rows][:, i:i + places], d_patch[:, :, i * size:(i + 1) * size])
+                np.add.at(d_embed, shown[rows][:, i:i + places], d_patch[:, :, i * size:(i + 1) * size])
             grads["embed"] = d_embed
             step += 1
             for n in names:
@@ -181,10 +207,11 @@ def train(x: np.ndarray, y: np.ndarray, *, recall: float = 0.98, epochs: int = 1
     slope, offset = calibrate(np.log(p / (1 - p)), y[held])
     if slope > 0:  # else the net tells nothing, and turning it around would not help
         net.out, net.out_bias = net.out * slope, net.out_bias * slope + offset
-    good = np.sort(net.predict(x[held])[y[held] == 1])
-    if len(good):
-        # The highest threshold that keeps the wanted share of the held findings.
-        net.threshold = float(good[int(np.floor((1 - recall) * len(good)))])
+    for name, windows, wanted in (("threshold", x[held], recall), ("bare_threshold", bare(x[held]), bare_recall)):
+        good = np.sort(net.predict(windows)[y[held] == 1])
+        if len(good):
+            # The highest threshold that keeps the wanted share of the held findings.
+            setattr(net, name, float(good[int(np.floor((1 - wanted) * len(good)))]))
     return net
 
 
@@ -204,8 +231,9 @@ def sample(df: DataFrame, text_col: str = "text", max_findings: int = 3000) -> t
                 found = base_spans(text)
                 for start, end in spots:
                     hit = any(s < end and start < e for s, e, _ in found)
-                    windows.append(encode(text, start, end).astype(np.uint8).tobytes())
-                    labels.append(int(hit))
+                    for a, z in pieces(start, end):
+                        windows.append(encode(text, a, z).astype(np.uint8).tobytes())
+                        labels.append(int(hit))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(windows, pa.binary()), pa.array(labels, pa.int32())], names=["window", "label"])
 
@@ -227,15 +255,16 @@ def scan(df: DataFrame, net: CharNet, text_col: str = "text") -> DataFrame:
     def setup():
         def fn(texts):
             found = [base_spans(t) if t else [] for t in texts]
-            owners, spots, windows = [], [], []
+            spots, firsts, windows = [], [], []
             for i, text in enumerate(texts):
                 for start, end in candidates(text) if text else ():
-                    owners.append(i)
-                    spots.append((start, end))
-                    windows.append(encode(text, start, end))
+                    spots.append((i, start, end))
+                    firsts.append(len(windows))
+                    windows += [encode(text, a, z) for a, z in pieces(start, end)]
             if windows:
-                p = net.predict(np.array(windows))
-                for i, (start, end), yes in zip(owners, spots, p >= net.threshold):
+                x = np.array(windows)
+                yes = (net.predict(x) >= net.threshold) | (net.predict(bare(x)) >= net.bare_threshold)
+                for (i, start, end), yes in zip(spots, np.logical_or.reduceat(yes, firsts)):  # the likeliest part counts
                     if yes and not any(s < end and start < e for s, e, k in found[i] if k != "model"):
                         found[i].append((start, end, "model"))
             return [[[f"{k}:{s}:{e}" for s, e, k in ordered(f)] for f in found]]

@@ -191,7 +191,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         label_col: str = "toxic", max_rows: int = MAX_LABELLED_ROWS, max_candidates: int = 50_000,
         min_rows: int = 3, purity: float = 0.97, depth: int = 3,
         exceptions: tuple[str, ...] = DEFAULT_EXCEPTIONS) -> ToxicityModel:
-    """Learn the lexicon and its curve from at most ``max_rows`` labelled rows of ``labels``."""
+    """Learn the lexicon and its curve from at most ``max_rows`` labelled rows of ``labels``.  Of the words
+    and stems in ``min_rows`` toxic rows of that sample or more, the ``max_candidates`` most common
+    are weighed, so what reaches the driver is bounded by parameters."""
     ids = label_sample(labels, id_col, label_col, max_rows)
     sample = saved(docs.select(F.col(id_col).cast("long").alias("doc_id"),
                                F.col(text_col).alias("text"))
