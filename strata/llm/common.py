@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import scratch_path
+from strata.session import delete_path, scratch_path
 
 # Fixed value: the white space that separates words (tab, newline, vertical tab, form feed,
 # carriage return, blank).  Every other character belongs to a word.
@@ -58,7 +59,25 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{tag}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.saved_at = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables written by :func:`saved` that no later step reads, and the shuffles behind
+    them.  Only for tables whose every reader has itself been written."""
+    for t in tables:
+        delete_path(t.sparkSession, t.saved_at)
+    if tables:
+        drop_shuffles(tables[0].sparkSession)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let the driver drop its references to finished shuffles, so that executors delete their
+    files now and not at the next periodic collection.  Shuffles still in use are kept."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def remainder(id_col: str, divisor: int) -> Column:

@@ -6,14 +6,17 @@ first of each by any fixed order of all shingles (the prefix filter); the order
 shingles' counts, rare ones first, so sets meet in small buckets.  The sketch only orders: it has a
 fixed size and its errors cost time, never links.
 
-1. every set is compared with one set of each of its buckets, which already connects most copies;
+1. every set is compared with one set of each of its buckets, where sizes and bitmaps allow a link,
+   which already connects most copies;
 2. in each bucket that still holds several components, sorted rows form a signature tree: nodes
    hold the OR and the AND of the token bitmaps, the fewest bits of one, and the range of sizes and
    components below them.  A dual traversal drops node pairs of one component or whose largest
    possible overlap is too small.  A bucket of more than ``CELL`` rows is cut into cells by size band,
    large component and key; pairs of cells, each with a tree of its own, are spread over the tasks.
+   A pair is given out where its sets first meet: rows carry the ``LOW`` smallest of their set's shared
+   shingles, and a pair that has some of these in common counts only in the bucket of the smallest.
 
-Surviving pairs are verified on the shingles of their texts.  No link between components is lost; a pair
+Surviving pairs are verified on the shingles of their texts, which are made once for each set.  No link between components is lost; a pair
 within a component found before is not looked for, since it cannot change the result.
 
 Null and blank texts have the empty set and no links; repeated rows and equal texts are linked
@@ -31,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, fields, load, map_rows, saved, words_of
+from strata.llm.common import ascii_lower, drop_shuffles, fields, load, map_rows, release, saved, words_of
 from strata.llm.substrings import Windows, _mix
 
 SHINGLE, PERCENT = 5, 75
 BITMAP_BYTES = 128
 LEAF = 32  # rows of a leaf of the tree
 CELL = 2048  # rows of a cell of a large bucket, about
+LOW = 16  # shingles by which a pair knows where its sets first meet
 SLOT_BITS = 18  # the count sketch has 2 ** SLOT_BITS numbers at any input size
 _LAST_ID = (1 << 63) - 1
 
@@ -177,6 +181,15 @@ def tree_pairs(keys, comps, sizes, bits, percent: int = PERCENT, side=None):
             todo += [(a, k) for k in b[7]]
 
 
+def first_meeting(one: np.ndarray, other: np.ndarray, shingle: np.ndarray) -> np.ndarray:
+    """Whether a pair of rows is to be given out in this bucket: ``shingle`` is the smallest that
+    their ``LOW`` smallest shingles (0: none) have in common, or these have none in common."""
+    same = ((one[:, :, None] == other[:, None, :]) & (one != 0)[:, :, None]).any(axis=2)
+    at = same.argmax(axis=1)
+    rows = np.arange(len(one))
+    return ~same[rows, at] | (one[rows, at] == shingle)
+
+
 def leaf_pairs(codes, keys, comps, sizes, bits, percent: int = PERCENT):
     """The same for rows of many buckets, sorted by bucket, none larger than a leaf: rows that stand
     ``d`` apart are compared at once for all buckets.  Yields arrays of keys."""
@@ -202,7 +215,8 @@ def split(rows: DataFrame, percent: int, cell: int = CELL, any_large: bool = Tru
     ``held``, its rows) once for each cell to compare its own with; two cells are two sides.
 
     Sizes of similar sets are at most one band apart.  Cells of one component are not compared."""
-    once = rows.select(F.col("shingle").alias("bucket"), "key", "comp", "n", "bits", F.lit(0).alias("side"), "held")
+    carried = [c for c in ("key", "comp", "n", "bits", "low", "shingle") if c in rows.columns]
+    once = rows.select(F.col("shingle").alias("bucket"), *carried, F.lit(0).alias("side"), "held")
     if not any_large:
         return once.drop("held")
     step = math.log(max(100 / percent, 1.01)) * 1.000001  # so that rounding never makes it two bands
@@ -224,9 +238,9 @@ def split(rows: DataFrame, percent: int, cell: int = CELL, any_large: bool = Tru
                                            F.pmod(F.xxhash64("key"), F.col("own.m")).alias("part"))))
     others = F.filter("cells", lambda x: (F.abs(x["band"] - F.col("band")) <= 1)
                       & ((x["cls"] != F.col("own.cls")) | (x["cls"] < 0)))
-    met = placed.select("shingle", "key", "comp", "n", "bits", "mine", F.explode(F.flatten(F.transform(others, places))).alias("other"))
+    met = placed.select(*carried, "mine", F.explode(F.flatten(F.transform(others, places))).alias("other"))
     pairs = met.select(F.xxhash64("shingle", F.least("mine", "other"), F.greatest("mine", "other")).alias("bucket"),
-                       "key", "comp", "n", "bits", (F.col("mine") > F.col("other")).cast("int").alias("side"))
+                       *carried, (F.col("mine") > F.col("other")).cast("int").alias("side"))
     return once.where(F.col("held") <= cell).drop("held").unionByName(pairs)
 
 
@@ -235,17 +249,27 @@ def _bucket_pairs(rows: DataFrame, percent: int, cell: int = CELL, any_large: bo
     def run(parts):
         def unpack(part):
             bits = np.frombuffer(b"".join(part["bits"]), np.uint8).reshape(len(part), BITMAP_BYTES)
-            return [part[c].to_numpy() for c in ("bucket", "key", "comp", "n")] + [bits, part["side"].to_numpy()]
+            low = np.frombuffer(b"".join(part["low"]), ">i8").reshape(len(part), LOW).astype(np.int64)
+            return [part[c].to_numpy() for c in ("bucket", "key", "comp", "n")] + [bits, part["side"].to_numpy(), low, part["shingle"].to_numpy()]
 
-        def search(codes, keys, comps, sizes, bits, sides):
+        def search(codes, keys, comps, sizes, bits, sides, low, shingle):
             cuts = np.concatenate([[0], np.flatnonzero(codes[1:] != codes[:-1]) + 1, [len(codes)]])
+            spots = np.arange(len(codes))  # the searches pair up rows; their keys come after
             small = np.repeat(np.diff(cuts) <= LEAF, np.diff(cuts))
-            pairs = list(leaf_pairs(*(x[small] for x in (codes, keys, comps, sizes, bits)), percent))
+
+            def frame(pairs):
+                a, b = (np.concatenate([p[x] for p in pairs]) for x in (0, 1))
+                first = np.concatenate([first_meeting(low[a[i:i + 4096]], low[b[i:i + 4096]], shingle[a[i:i + 4096]])
+                                        for i in range(0, len(a), 4096)]) if len(a) else np.zeros(0, bool)
+                a, b = keys[a[first]], keys[b[first]]
+                return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+            pairs = list(leaf_pairs(*(x[small] for x in (codes, spots, comps, sizes, bits)), percent))
             chunk = []
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if hi - lo > LEAF:
                     side = sides[lo:hi] if sides[lo:hi].any() else None
-                    for pair in tree_pairs(keys[lo:hi], comps[lo:hi], sizes[lo:hi], bits[lo:hi], percent, side):
+                    for pair in tree_pairs(spots[lo:hi], comps[lo:hi], sizes[lo:hi], bits[lo:hi], percent, side):
                         chunk.append(pair)
                         if len(chunk) == 50_000:
                             yield frame([np.array(chunk, np.int64).T])
@@ -255,10 +279,6 @@ def _bucket_pairs(rows: DataFrame, percent: int, cell: int = CELL, any_large: bo
             if pairs:
                 yield frame(pairs)
 
-        def frame(pairs):
-            a, b = (np.concatenate([p[x] for p in pairs]) for x in (0, 1))
-            return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
         held = []  # pieces of the bucket that the next batch may go on with
         for part in parts:
             if not len(part):
@@ -278,6 +298,8 @@ def _bucket_pairs(rows: DataFrame, percent: int, cell: int = CELL, any_large: bo
         if held:
             yield from search(*map(np.concatenate, zip(*held)))
 
+    if "low" not in rows.columns:
+        rows = rows.join(_lowest(rows.select("shingle", "key")), "key")
     return split(rows, percent, cell, any_large).repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, "a long, b long").distinct()
 
 
@@ -306,25 +328,99 @@ def components(links: DataFrame, tag: str) -> DataFrame:
         edges.select(F.col("v").alias("key"), F.col("v").alias("comp"))).distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    left = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
+def _lowest(named: DataFrame) -> DataFrame:
+    """``(key, low)``: the ``LOW`` smallest shingles of each key, packed in 8 bytes each, padded by 0."""
+    def pack(x):
+        return F.unhex(F.lpad(F.hex(x), 16, "0"))
+
+    low = F.slice(F.array_sort(F.collect_set("shingle")), 1, LOW)
+    filled = F.concat(low, F.array_repeat(F.lit(0).cast("long"), F.lit(LOW) - F.size(low)))
+    return named.groupBy("key").agg(filled.alias("low")).select("key", F.concat(*[pack(F.get("low", F.lit(i))) for i in range(LOW)]).alias("low"))
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and bitmaps allow a link."""
+    def setup():
+        def fn(na, nb, one, other):
+            na, nb = np.array(na, np.int64), np.array(nb, np.int64)
+            x, y = (np.frombuffer(b"".join(z), np.uint8).reshape(len(z), BITMAP_BYTES) for z in (one, other))
+            lone = [np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64) for p, q in ((x, y), (y, x))]
+            most = np.minimum(na - lone[0], nb - lone[1])
+            return [pa.array(100 * most >= percent * (na + nb - most))]
+        return fn
+
+    both = (pairs.join(nodes.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a")
+            .join(nodes.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b")
+            .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)"))
+    return map_rows(both, ["na", "nb", "x", "y"], fields("possible boolean"), setup).where("possible").select("a", "b")
+
+
+def signature(codes: np.ndarray) -> bytes:
+    """A bitmap that grows with the set: eight to sixteen bits a shingle, a power of two in all."""
+    size = 8 << max(0, len(codes) - 1).bit_length()
+    bits = np.zeros(max(size, 64), bool)
+    bits[(codes.view(np.uint64) & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def most_common(one: bytes, other: bytes, na: int, nb: int) -> int:
+    """How many shingles two sets share at most, by their signatures; the longer is folded."""
+    x, y = (np.frombuffer(z, np.uint8) for z in (one, other))
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x = x[:len(x) // 2] | x[len(x) // 2:]
+        else:
+            y = y[:len(y) // 2] | y[len(y) // 2:]
+    return min(na - int(np.bitwise_count(x & ~y).sum(dtype=np.int64)), nb - int(np.bitwise_count(y & ~x).sum(dtype=np.int64)))
+
+
+def _sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """``(key, n, codes, sign)``: the shingles of every key of ``pairs`` and their signature, made once from
+    one document that has the text."""
+    keys = pairs.select(F.col("a").alias("key")).distinct().union(pairs.select(F.col("b").alias("key")).distinct()).distinct()
+    needed = nodes.select("key", "sha", "rank").join(keys, "key")
+    rows = docs.select("sha", F.coalesce("doc_id", F.lit(_LAST_ID)).alias("rank"), "text").join(needed, ["sha", "rank"])
+    texts = rows.groupBy("sha", "rank").agg(F.first("key").alias("key"), F.first("text").alias("text"))  # as the join left them
 
     def setup():
         shingler = Shingler(size)
 
+        def fn(texts):
+            got = [shingler(t) for t in texts]
+            return [[len(g) for g in got], [g.tobytes() for g in got], [signature(g) for g in got]]
+        return fn
+
+    return map_rows(texts.select("key", "text"), ["text"], fields("n long, codes binary, sign binary"), setup, slice_rows=128).drop("text")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets are similar enough.  The sets travel to those pairs only that their
+    signatures, an eighth of the size, leave open."""
+    def both(some: DataFrame, column: str) -> DataFrame:
+        left = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col(column).alias("x"))
+        right = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col(column).alias("y"))
+        return some.join(left, "a").join(right, "b")
+
+    def narrow():
+        def fn(na, nb, one, other):
+            most = [most_common(*z) for z in zip(one, other, na, nb)]
+            return [[100 * m >= percent * (p + q - m) for m, p, q in zip(most, na, nb)]]
+        return fn
+
+    left_open = saved(map_rows(both(pairs, "sign"), ["na", "nb", "x", "y"], fields("possible boolean"), narrow)
+                      .where("possible").select("a", "b"), "jaccard-open")
+
+    def setup():
         def fn(one, other):
-            out, last, known = [], None, None
+            out = []
             for x, y in zip(one, other):
-                if x != last:
-                    last, known = x, shingler(x)
-                mine = shingler(y)
-                both = len(np.intersect1d(known, mine, assume_unique=True))
-                out.append(100 * both >= percent * (len(known) + len(mine) - both))
+                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(100 * both >= percent * (len(x) + len(y) - both))
             return [out]
         return fn
 
-    return map_rows(pairs.join(left, "a").join(right, "b"), ["ta", "tb"], fields("linked boolean"), setup,
+    return map_rows(both(left_open, "codes"), ["x", "y"], fields("linked boolean"), setup,
                     slice_rows=64).where("linked").select("a", "b")
 
 
@@ -337,29 +433,40 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size:
     all_sets = saved(sets_of(docs, size, percent), "jaccard-sets")
     # One node per distinct text; its key is fixed once the table is written.
     nodes = saved(all_sets.where("n > 0").groupBy("sha").agg(
-        F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+        F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"),
+        F.min(F.coalesce("doc_id", F.lit(_LAST_ID))).alias("rank"))
         .withColumn("key", F.monotonically_increasing_id()), "jaccard-nodes")
+    rows_of = saved(all_sets.select("doc_id", "n", "sha"), "jaccard-rows")
+    release(all_sets)
     buckets = nodes.select("key", F.explode("prefix").alias("shingle"))
     heads = buckets.groupBy("shingle").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select("shingle", "a")
     shared = saved(buckets.join(heads, "shingle"), "jaccard-buckets")
-    sizes = nodes.select("key", "n")
-    star = (shared.where("key > a").select("a", F.col("key").alias("b")).distinct()
-            .join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-            .where("100 * least(na, nb) >= " + str(percent) + " * greatest(na, nb)").select("a", "b"))
-    needed = nodes.join(shared.select("key").distinct(), "key", "left_semi").select("sha", "key")
-    texts = saved(docs.select("sha", "text").join(needed, "sha").groupBy("key").agg(F.first("text").alias("text")), "jaccard-texts")
-    links = saved(_verified(star, texts, size, percent), "jaccard-links")
+    prefixes, nodes = nodes, saved(nodes.drop("prefix"), "jaccard-nodes")
+    release(prefixes)
+    star = saved(_possible(shared.where("key > a").select("a", F.col("key").alias("b")).distinct(), nodes, percent), "jaccard-star")
+    sets = saved(_sets(star, nodes, docs, size), "jaccard-codes")
+    drop_shuffles(df.sparkSession)
+    links = saved(_verified(star, sets, percent), "jaccard-links")
+    release(star, sets)
     comps = saved(components(links, "jaccard-stars"), "jaccard-comps")
     named = shared.select("shingle", "key").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     mixed = saved(named.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("held")).where("lo < hi").select("shingle", "held"), "jaccard-mixed")
     any_large = not mixed.where(F.col("held") > CELL).isEmpty()
-    rows = named.join(mixed, "shingle").join(nodes.select("key", "n", "bits"), "key").select("shingle", "key", "comp", "n", "bits", "held")
-    more = saved(_verified(_bucket_pairs(rows, percent, any_large=any_large), texts, size, percent), "jaccard-more")
+    met = named.join(mixed, "shingle")
+    rows = met.join(nodes.select("key", "n", "bits"), "key").join(_lowest(met.select("shingle", "key")), "key").select(
+        "shingle", "key", "comp", "n", "bits", "held", "low")
+    pairs = saved(_bucket_pairs(rows, percent, any_large=any_large), "jaccard-pairs")
+    release(shared, mixed)
+    sets = saved(_sets(pairs, nodes, docs, size), "jaccard-codes")
+    drop_shuffles(df.sparkSession)
+    more = saved(_verified(pairs, sets, percent), "jaccard-more")
+    release(sets, pairs)
     final = saved(components(links.union(more), "jaccard-all"), "jaccard-final")
-    placed = (all_sets.select("doc_id", "n", "sha", F.coalesce("doc_id", F.lit(_LAST_ID)).alias("rank"))
+    placed = (rows_of.select("doc_id", "n", "sha", F.coalesce("doc_id", F.lit(_LAST_ID)).alias("rank"))
               .join(nodes.select("sha", "key"), "sha", "left").join(final, "key", "left")
               .withColumn("comp", F.coalesce("comp", "key")))
     placed = saved(placed, "jaccard-placed")
+    release(rows_of, nodes, links, comps, more, final)
     first = placed.where("n > 0").groupBy("comp").agg(F.min("rank").alias("first"))
     return placed.join(first, "comp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
