@@ -2,8 +2,10 @@
 
 Every text is cut into reference blocks by its content: a window of ``window`` words belongs to
 the block named by the smallest hash of the half-windows in it, so equal windows of different
-documents always meet in one block.  Blocks that only one text has are never looked at again.
-The windows of the other blocks are indexed by a 128-bit hash with the smallest id they start in.
+documents always meet in one block.  Blocks that only one text has are never looked at again.  Blocks
+of equal name and equal words are one variant, however many texts have it; the windows of each variant
+are indexed once, by the block's name and a hash of the words (128 bits together), with the smallest id
+they start in.
 
 A window is held if the index has it for a smaller id; the union of a document's held windows are
 its duplicate spans.  No text is factored against reference blocks: the spans are those that greedy
@@ -23,8 +25,9 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.llm.common import fields, load, map_rows, saved, word_bytes, words_of
+from strata.llm.common import drop_shuffles, fields, load, map_rows, release, saved, word_bytes, words_of
 
 WINDOW = 50
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so they have inverses modulo 2**64
@@ -85,8 +88,22 @@ class Windows:
             return np.zeros(0, np.int64)
         return sliding_min(runs_hash(codes, half, _BASES[0]), self.window - half + 1).view(np.int64)
 
-    def hashes(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(runs_hash(codes, self.window, b).view(np.int64) for b in _BASES)
+    def runs(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The stretches of neighbouring windows in one block: its name, a hash of the stretch's
+        words, where its first window starts, and how many windows it has."""
+        b = self.blocks(codes)
+        if not len(b):
+            return (b,) * 4
+        at = np.concatenate([[0], np.flatnonzero(b[1:] != b[:-1]) + 1])
+        m = np.diff(np.concatenate([at, [len(b)]]))
+        n = len(codes)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * _powers(_BASES[1], n), dtype=np.uint64)])
+        back = _powers(pow(_BASES[1], -1, 1 << 64), n)
+        words = _mix((sums[at + m + self.window - 1] - sums[at]) * back[at])
+        return b[at], _mix(words + m.astype(np.uint64)).view(np.int64), at, m
+
+    def hashes(self, codes: np.ndarray) -> np.ndarray:
+        return runs_hash(codes, self.window, _BASES[1]).view(np.int64)
 
 
 def covered(starts, n: int, window: int) -> np.ndarray:
@@ -109,42 +126,55 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
 
     def list_blocks():
         w = Windows(window)
-        return lambda texts: [[np.unique(w.blocks(w.codes(t))).tolist() for t in texts]]
+
+        def fn(texts):
+            found = [w.runs(w.codes(t)) for t in texts]
+            return [[f[k].tolist() for f in found] for k in range(4)]
+
+        return fn
 
     texts = docs.select("sha", "rank", "text")
     reps = saved(texts.join(firsts, ["sha", "rank"], "left_semi").dropDuplicates(["sha"])
                  .withColumn("key", F.xxhash64("sha", "rank")), "substring-reps")
-    listed = map_rows(reps.select("key", "rank", "text"), ["text"], fields("blocks longs"), list_blocks)
-    listed = saved(listed.select("key", "rank", F.explode("blocks").alias("block")), "substring-blocks")
+    release(firsts)
+    listed = map_rows(reps.select("key", "rank", "text"), ["text"], fields("block longs, variant longs, at longs, m longs"),
+                      list_blocks, slice_rows=64)
+    listed = saved(listed.select("key", "rank", F.inline(F.arrays_zip("block", "variant", "at", "m"))), "substring-blocks")
     # (rank, key) is unique per text; a block is shared when two texts have it.
-    shared = (listed.groupBy("block").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi"))
-              .where("lo < hi").select("block"))
-    wanted = listed.join(shared, "block").groupBy("key", "rank").agg(F.collect_list("block").alias("blocks"))
+    shared = (listed.groupBy("block").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+              .where("lo != hi").select("block"))
+    occurring = saved(listed.join(shared, "block"), "substring-shared")
+    release(listed)
+    # Equal blocks are looked into once, in the text of the smallest rank that has them.
+    variants = occurring.groupBy("block", "variant").agg(F.min(F.struct("rank", "key", "at", "m")).alias("r"))
+    wanted = variants.groupBy(F.col("r.key").alias("key")).agg(F.collect_list(F.struct(
+        "block", "variant", F.col("r.rank").alias("lo"), F.col("r.at").alias("at"), F.col("r.m").alias("m"))).alias("blocks"))
 
     def list_windows():
         w = Windows(window)
 
         def fn(texts, blocks):
-            at, first, second = [], [], []
-            for t, b in zip(texts, blocks):
-                codes = w.codes(t)
-                spots = np.flatnonzero(np.isin(w.blocks(codes), np.array(b, np.int64)))
-                h1, h2 = w.hashes(codes)
-                at.append(spots.tolist())
-                first.append(h1[spots].tolist())
-                second.append(h2[spots].tolist())
-            return [at, first, second]
+            out = []
+            for t, wanted_ in zip(texts, blocks):
+                h = w.hashes(w.codes(t))
+                out.append([{**b, "h": h[b["at"]:b["at"] + b["m"]].tolist()} for b in wanted_])
+            return [out]
 
         return fn
 
-    spots = map_rows(reps.select("key", "rank", "text").join(wanted, ["key", "rank"]).drop("sha"),
-                     ["text", "blocks"], fields("at longs, h1 longs, h2 longs"), list_windows, slice_rows=64)
-    spots = saved(spots.select("key", "rank", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w"))
-                  .select("key", "rank", "w.at", "w.h1", "w.h2"), "substring-windows")
-    index = (spots.groupBy("h1", "h2").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi"))
-             .where("lo < hi").select("h1", "h2", "lo"))
-    held = (spots.join(index, ["h1", "h2"]).where("rank > lo")
-            .groupBy("key", "rank").agg(F.collect_list("at").alias("starts")))
+    block = T.StructType([T.StructField(n, T.LongType()) for n in ("block", "variant", "lo", "at", "m")]
+                         + [T.StructField("h", T.ArrayType(T.LongType()))])
+    hashed = map_rows(reps.select("key", "text").join(wanted, "key"), ["text", "blocks"],
+                      T.StructType([T.StructField("found", T.ArrayType(block))]), list_windows, slice_rows=64)
+    windows = saved(hashed.select(F.explode("found").alias("b")).select("b.block", "b.variant", "b.lo", F.posexplode("b.h").alias("off", "h")),
+                    "substring-windows")
+    drop_shuffles(df.sparkSession)
+    index = windows.groupBy("block", "h").agg(F.min("lo").alias("first"))
+    known = windows.join(index, ["block", "h"]).groupBy("block", "variant").agg(F.collect_list(F.struct("off", "first")).alias("offs"))
+    before = F.transform(F.filter("offs", lambda o: o["first"] < F.col("rank")), lambda o: F.col("at") + o["off"])
+    held = saved(occurring.join(known, ["block", "variant"]).select("key", "rank", before.alias("starts")).where(F.size("starts") > 0)
+                 .groupBy("key", "rank").agg(F.flatten(F.collect_list("starts")).alias("starts")), "substring-held")
+    release(occurring, windows)
 
     def parse():
         def fn(texts, starts):
