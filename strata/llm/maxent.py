@@ -1,33 +1,50 @@
 """Language-model scoring with a hashed maximum-entropy model and a class-factored softmax.
 
-A token's class is its hash modulo ``CLASSES``.  The class is predicted by a softmax over hashed
-features of the history: a bias, the previous word, the word before it (a skip) and both.  Inside
-its class a token has its add-one share of the training counts, with one slot for unseen tokens,
-so the probabilities of all tokens sum to one.  Weights are trained over all training texts: in
-each round every task sums observed and expected feature counts, Spark adds them up by feature,
-and the weights move along the gradient, scaled by the expected counts.  Counts of tokens are
-tables joined by Spark; only the fixed-size weights and the class totals reach the driver.
-
-Null and empty texts have one token, the end.  Equal texts are scored once and counted as often
-as they occur; texts of any length are scored whole; rows with a null id are held out as they
-have no remainder; without training rows all counts are zero and the classes equally likely.
+A token's hash gives its class and, inside the class, its subclass.  The class is predicted by a softmax
+over features of the history: a bias for each class, what the previous word and the word before it (a
+skip) say for each class, and the hashed pair of both.  A second softmax predicts the subclass inside the
+class in the same way, and inside its subclass a token has its add-one share of the training counts, with
+one slot for unseen tokens, so the probabilities of all tokens sum to one.
+
+What the words say is a table in Spark with one row for each word of ``MIN_COUNT`` training occurrences or
+more, so it grows with the corpus: the log ratio of a class after that word to the class anywhere, drawn
+towards zero by ``PRIOR`` occurrences, in steps of 1/16.  How far each kind of word feature counts for each
+class, the biases and the pair weights are trained by gradient rounds: every task sums gradients over
+its texts, Spark adds them up, and the weights, whose number is fixed, move.  In training a token's own
+occurrence is taken out of the word features, or they would seem to know more than they do.
+
+The texts are tokenised once, into chunks of about ``CHUNK`` tokens that hold 32-bit numbers of the chunk's
+own vocabulary.  Counts and word features are joined to the vocabularies, not to the tokens, so no row for
+a text and word is ever made, and a word in every text is one row a chunk.  All later passes
+read chunks and work on numpy arrays; only weights and class totals reach the driver.
+
+Tokens are compared by 64-bit hashes, up to collisions.  Null and empty texts have one token, the end;
+texts of any length are scored whole (a chunk holds at least one); repeated rows get equal scores and are
+counted as often as they occur; rows with a null id are held out as they have no remainder; without training
+rows all counts are zero and all classes equally likely; an empty table gives an empty result.  Only the
+id and text columns are read, so further columns of any name have no effect.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, fields, load, map_rows, remainder, saved, words_of
+from strata.llm.common import ascii_lower, drop_shuffles, load, release, remainder, saved, word_bytes, words_of
 
-CLASSES, FEATURES, ROUNDS = 32, 1 << 13, 3
+CLASSES, FEATURES, ROUNDS = 32, 1 << 13, 2
+MIN_COUNT, PRIOR = 32, 32.0
+STEP = 16.0  # word features are stored in steps of 1 / STEP
+CHUNK = 1 << 21  # tokens: the larger a chunk, the fewer rows its vocabulary adds to the joins
 END = "\n"  # no word holds a newline
-PART = 1 << 14  # tokens whose class probabilities are held at a time
+PART = 1 << 12  # tokens whose class probabilities are held at a time
 HELD_OUT_DIVISOR, HELD_OUT_REMAINDER = 7, 2
 
 
@@ -35,19 +52,14 @@ def tokens(text: str | None) -> list[str]:
     return [*(words_of(ascii_lower(text)) if text else []), END]
 
 
-class Coder:
-    """Token hashes (crc32 of the UTF-8 bytes), remembered."""
+def word_hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word)
 
-    def __init__(self):
-        self.memo: dict[str, int] = {}
 
-    def codes(self, toks: list[str]) -> np.ndarray:
-        memo = self.memo
-        if len(memo) > 500_000:
-            memo.clear()
-        for t in set(toks).difference(memo):
-            memo[t] = zlib.crc32(t.encode("utf-8", "surrogatepass"))
-        return np.fromiter(map(memo.__getitem__, toks), np.int64, len(toks))
+def class_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class and subclass of token hashes (signed or not)."""
+    h = h.astype(np.int64)
+    return h & (CLASSES - 1), (h >> 8) & (CLASSES - 1)
 
 
 def _slot(x: np.ndarray, salt: int) -> np.ndarray:
@@ -55,115 +67,424 @@ def _slot(x: np.ndarray, salt: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(29))) % np.uint64(FEATURES - 1)).astype(np.int64) + 1
 
 
-def history(codes: np.ndarray) -> np.ndarray:
-    """The active features of each token, four columns; feature 0 is the bias."""
-    one = np.concatenate([[1], codes[:-1]])
-    two = np.concatenate([[1, 1], codes[:-2]])[:len(codes)]
-    return np.stack([np.zeros(len(codes), np.int64), _slot(one, 11), _slot(two, 23), _slot(one * 31 + two * 7, 37)], axis=1)
+def _before(codes: np.ndarray, first: np.ndarray, end, back: int) -> np.ndarray:
+    """The token ``back`` places before each one of the same text, ``end`` where there is none;
+    ``first`` is where each token's text starts."""
+    at = np.arange(len(codes))
+    return np.where(at - back >= first, codes[np.maximum(at - back, 0)], end)
 
 
-def class_logs(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
-    logits = weights[feats].sum(axis=1)
+def history(codes: np.ndarray, first: np.ndarray | None = None, end: int = 1) -> np.ndarray:
+    """The hashed features of each token's history: the bias (feature 0) and the pair of words before."""
+    first = np.zeros(len(codes), np.int64) if first is None else first
+    one, two = (_before(codes, first, end, k).astype(np.uint64) for k in (1, 2))
+    return np.stack([np.zeros(len(codes), np.int64), _slot(one * np.uint64(31) + two * np.uint64(7), 37)], axis=1)
+
+
+def class_logs(weights: np.ndarray, feats: np.ndarray, more: np.ndarray | float = 0.0) -> np.ndarray:
+    """Log probabilities of the classes from hashed features and further logits."""
+    logits = weights[feats].sum(axis=1) + more
     logits -= logits.max(axis=1, keepdims=True)
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
-def _round(texts: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Observed and expected feature counts over all training texts, added up by Spark."""
-    shared = texts.sparkSession.sparkContext.broadcast(weights)
+class Weights:
+    """All trained weights: a fixed number.  They travel as a dictionary of arrays (``vars``).  ``hashed`` (bias and pairs), ``scale`` by level (class,
+    subclass), kind of word feature and class, ``inner`` (biases of the subclasses)."""
+
+    def __init__(self, leaf: np.ndarray):
+        top = leaf.sum(axis=1)
+        self.hashed = np.zeros((FEATURES, CLASSES), np.float32)
+        self.hashed[0] = np.log(top / top.sum())
+        self.leaf = np.log(leaf / top[:, None]).astype(np.float32)  # subclasses inside each class
+        self.inner = np.zeros(CLASSES, np.float32)
+        self.share = np.stack([top / top.sum(), leaf.sum(axis=0) / top.sum()]).astype(np.float32)  # by level
+        self.scale = np.full((2, 2, CLASSES), 0.7, np.float32)
+
+    @classmethod
+    def of(cls, arrays: dict) -> Weights:
+        w = cls.__new__(cls)
+        w.__dict__.update(arrays)
+        return w
+
+
+# --- chunks ---
+
+class _Vocabulary(dict):
+    """Words by their number; a new word gets the next one."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def _encode(docs: DataFrame, chunk_tokens: int) -> DataFrame:
+    """Rows ``(doc_id, text, learn)`` as chunks: the codes of all tokens in the chunk's vocabulary (code 0
+    is the end), the vocabulary's hashes and its counts in the texts to learn from."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+
+        def fresh():
+            return _Vocabulary({b"\n": 0}), [], [], [], 0
+
+        def flush():
+            nonlocal number
+            hashes = np.fromiter(map(word_hash, vocabulary), np.uint64, len(vocabulary)).view(np.int64)
+            all_codes = np.concatenate(codes)
+            learned = np.concatenate([c for c, x in zip(codes, learn) if x] or [np.zeros(0, np.int32)])
+            seen = np.bincount(learned, minlength=len(vocabulary)).astype(np.int64)
+            sizes = np.array([len(c) for c in codes], np.int64)
+            number += 1
+            return pa.RecordBatch.from_arrays([
+                pa.array([number]), pa.array([ids], pa.list_(pa.int64())), pa.array([learn], pa.list_(pa.bool_())),
+                *[pa.array([x.tobytes()], pa.binary()) for x in (sizes, all_codes, hashes, seen)]],
+                names=["chunk", "ids", "learn", "sizes", "codes", "hashes", "seen"])
+
+        vocabulary, codes, ids, learn, size = fresh()
+        for batch in batches:
+            for i, text, x in zip(*(batch.column(k) for k in range(3))):
+                words = word_bytes(text.as_py(), lower=True)
+                words.append(b"\n")
+                codes.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
+                ids.append(i.as_py())
+                learn.append(x.as_py())
+                size += len(words)
+                if size >= chunk_tokens:
+                    yield flush()
+                    vocabulary, codes, ids, learn, size = fresh()
+        if codes:
+            yield flush()
+
+    return docs.mapInArrow(run, "chunk long, ids array<long>, learn array<boolean>, sizes binary, codes binary, hashes binary, seen binary")
+
+
+def _vocabulary(chunks: DataFrame) -> DataFrame:
+    """``(chunk, code, h, c, first)``: each chunk's vocabulary with the words' training counts in all chunks;
+    ``first`` marks one row of each word."""
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                h, n = (np.frombuffer(batch.column(k)[i].as_py(), np.int64) for k in (1, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), batch.column(0)[i].as_py())), pa.array(np.arange(len(h))),
+                                                  pa.array(h), pa.array(n)], names=["chunk", "code", "h", "n"])
+
+    def total(batches):
+        held = None  # the rows of the word that the next batch may go on with: one a chunk at most
+        names = ["chunk", "code", "h", "c", "first"]
+
+        def out(chunk, code, h, n):
+            start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            c = np.repeat(np.add.reduceat(n, start), np.diff(np.append(start, len(h))))
+            first = np.zeros(len(h), bool)
+            first[start] = True
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (chunk, code, h, c, first)], names=names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(k).to_numpy() for k in range(4)]
+            if held is not None:
+                now = [np.concatenate(z) for z in zip(held, now)]
+            whole = int(np.searchsorted(now[2], now[2][-1], "left"))
+            held = [x[whole:] for x in now]
+            if whole:
+                yield out(*(x[:whole] for x in now))
+        if held is not None:
+            yield out(*held)
+
+    rows = chunks.select("chunk", "hashes", "seen").mapInArrow(run, "chunk long, code long, h long, n long")
+    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(total, "chunk long, code long, h long, c long, first boolean")
+
+
+def _by_chunk(rows: DataFrame, names: list[str]) -> DataFrame:
+    """``(chunk, code, *names)`` rows (numbers, or binary values of one length) as one row a chunk, by code."""
+    binary = {n: dict(rows.dtypes)[n] == "binary" for n in names}
 
     def run(batches):
-        w, coder = shared.value, Coder()
-        seen, said = np.zeros((FEATURES, CLASSES)), np.zeros((FEATURES, CLASSES))
+        chunk, parts = None, []
+
+        def flush():
+            values = [np.concatenate([p[k] for p in parts]) if k == 0 or not binary[names[k - 1]]
+                      else np.frombuffer(b"".join(b for p in parts for b in p[k]), np.int8) for k in range(len(names) + 1)]
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), *[pa.array([v.tobytes()], pa.binary()) for v in values]],
+                                              names=["chunk", "code", *names])
+
         for batch in batches:
-            for text, times in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                codes = coder.codes(tokens(text))
-                feats = history(codes)
-                for at in range(0, len(codes), PART):
-                    f, c = feats[at:at + PART], codes[at:at + PART] % CLASSES
-                    p = np.exp(class_logs(w, f)) * times
-                    seen += np.bincount((f * CLASSES + c[:, None]).ravel(), minlength=seen.size).reshape(seen.shape) * times
-                    for column in f.T:
-                        order = np.argsort(column, kind="stable")
-                        names, starts = np.unique(column[order], return_index=True)
-                        said[names] += np.add.reduceat(p[order], starts, axis=0)
-        spots = np.flatnonzero(said.ravel())
-        yield pa.RecordBatch.from_arrays([pa.array(spots), pa.array(seen.ravel()[spots]), pa.array(said.ravel()[spots])],
-                                         names=["spot", "seen", "said"])
-
-    sums = (texts.select("text", "times").mapInArrow(run, "spot long, seen double, said double")
-            .groupBy("spot").agg(F.sum("seen").alias("seen"), F.sum("said").alias("said")).toArrow())
-    seen, said = np.zeros(FEATURES * CLASSES), np.zeros(FEATURES * CLASSES)
-    spots = sums.column("spot").to_numpy()
-    seen[spots], said[spots] = sums.column("seen").to_numpy(), sums.column("said").to_numpy()
-    return seen.reshape(FEATURES, CLASSES), said.reshape(FEATURES, CLASSES)
-
-
-def train(texts: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights from ``(text, times)`` rows."""
-    weights = np.zeros((FEATURES, CLASSES), np.float32)
-    for _ in range(rounds):
-        seen, said = _round(texts, weights)
-        step = (seen - said) / (said + 4.0)
-        weights += (np.clip(step, -0.9, 4.0) / 3.0).astype(np.float32)
-    return weights
-
-
-def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            keys = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            for a, z in zip(cuts, cuts[1:]):
+                if a == z:
+                    continue
+                if parts and keys[a] != chunk:
+                    yield flush()
+                    parts = []
+                chunk = int(keys[a])
+                columns = [batch.column(k).slice(a, z - a) for k in range(1, len(names) + 2)]
+                parts.append([c.to_pylist() if k and binary[names[k - 1]] else c.to_numpy() for k, c in enumerate(columns)])
+        if parts:
+            yield flush()
+
+    return (rows.select("chunk", "code", *names).repartition("chunk").sortWithinPartitions("chunk", "code")
+            .mapInArrow(run, ", ".join(["chunk long", "code binary", *[f"{n} binary" for n in names]])))
+
+
+class Chunk:
+    """A chunk's arrays."""
+
+    def __init__(self, r: dict):
+        self.ids, self.learn = r["ids"], np.array(r["learn"], bool)
+        self.sizes = np.frombuffer(r["sizes"], np.int64)
+        self.codes = np.frombuffer(r["codes"], np.int32)
+        self.hashes = np.frombuffer(r["hashes"], np.int64)
+        self.counts = np.frombuffer(r["c"], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.one = self._shifted(1)
+        self.two = self._shifted(2)
+        self.top, self.sub = class_of(self.hashes)
+        # Row 0 of the tables (previous word, skip) is that of words without features.
+        self.rows = np.zeros(len(self.hashes), np.int32)
+        table = np.zeros((1, 4 * CLASSES), np.int8)
+        if r.get("features") is not None:
+            words = np.frombuffer(r["words"], np.int64)
+            table = np.concatenate([table, np.frombuffer(r["features"], np.int8).reshape(-1, 4 * CLASSES)])
+            self.rows[words] = np.arange(1, len(words) + 1)
+        self.tables = [np.ascontiguousarray(table[:, k * 2 * CLASSES:(k + 1) * 2 * CLASSES]) for k in (0, 1)]
+
+    def _shifted(self, back: int) -> np.ndarray:
+        """The token ``back`` places before each one of the same text; the end (0) where there is none."""
+        out = np.zeros_like(self.codes)
+        out[back:] = self.codes[:-back]
+        for k in range(back):
+            out[self.starts[self.sizes > k] + k] = 0
+        return out
+
+    def said(self, at, w: Weights, own: bool = True) -> list[np.ndarray]:
+        """What the words before the tokens ``at`` (places or a slice) say, by kind, for all classes
+        and then all subclasses; without ``own``, the token's own occurrence is taken out of it."""
+        out = []
+        for kind, words in enumerate((self.one[at], self.two[at])):
+            row = self.rows[words]
+            x = self.tables[kind][row] * np.float32(1 / STEP)
+            if not own:
+                n, held = np.arange(len(x)), self.counts[words].astype(np.float32) + np.float32(PRIOR)
+                for level, cls in enumerate((self.top, self.sub)):
+                    cls = cls[self.codes[at]]
+                    spot = level * CLASSES + cls
+                    p, mine = w.share[level][cls], x[n, spot]
+                    rest = np.maximum(np.exp(mine) * p * held - 1, 0.5 * p * PRIOR)
+                    x[n, spot] = np.where(row > 0, np.log(rest / ((held - 1) * p)), mine)
+            out.append(x)
+        return out
+
+    def pairs(self, at) -> np.ndarray:
+        """The hashed feature of the two words before each token."""
+        h = self.hashes.view(np.uint64)
+        return _slot(h[self.one[at]] * np.uint64(31) + h[self.two[at]] * np.uint64(7), 37)
+
+    def logits(self, w: Weights, at, said: list[np.ndarray], pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of all classes, and of all subclasses of each token's class.  Small enough for ``exp``."""
+        z = said[0] * w.scale[:, 0].ravel()
+        z += said[1] * w.scale[:, 1].ravel()
+        outer, inner = z[:, :CLASSES], z[:, CLASSES:]
+        outer += w.hashed[0]
+        outer += w.hashed[pair]
+        inner += w.inner
+        inner += w.leaf[self.top[self.codes[at]]]
+        return outer, inner
+
+    def log_likelihood(self, w: Weights, at) -> np.ndarray:
+        """Natural log probability of each token's class and subclass."""
+        outer, inner = self.logits(w, at, self.said(at, w), self.pairs(at))
+        codes = self.codes[at]
+        n = np.arange(len(codes))
+        return (outer[n, self.top[codes]].astype(np.float64) + inner[n, self.sub[codes]]
+                - np.log(np.exp(outer).sum(axis=1)) - np.log(np.exp(inner).sum(axis=1)))
+
+
+def _each(batches) -> Iterator[Chunk]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield Chunk({n: batch.column(n)[i].as_py() for n in batch.schema.names})
+
+
+# --- what words say ---
+
+def _features(chunks: DataFrame, leaf: np.ndarray) -> DataFrame:
+    """``(h, features)`` of every word of ``MIN_COUNT`` occurrences: for each kind (previous word, skip)
+    and level (class, subclass) the rounded log ratios of the classes after it."""
+    top = leaf.sum(axis=1) / leaf.sum()
+    share = np.concatenate([top, leaf.sum(axis=0) / leaf.sum()] * 2)
+
+    def count(batches):
+        for chunk in _each(batches):
+            often = np.flatnonzero(chunk.counts >= MIN_COUNT)
+            place = np.full(len(chunk.hashes), -1, np.int64)
+            place[often] = np.arange(len(often))
+            learn = np.repeat(chunk.learn, chunk.sizes)
+            total = np.zeros((len(often), 4 * CLASSES), np.int32)
+            for kind, w in enumerate((chunk.one, chunk.two)):
+                at = place[w]
+                use = learn & (at >= 0)
+                at, codes = at[use] * CLASSES, chunk.codes[use]
+                for level, cls in enumerate((chunk.top, chunk.sub)):
+                    first = (2 * kind + level) * CLASSES
+                    total[:, first:first + CLASSES] = np.bincount(at + cls[codes], minlength=len(often) * CLASSES).reshape(-1, CLASSES)
+            word, spot = np.nonzero(total)
+            packed = spot << 32 | total[word, spot]
+            bounds = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1, [len(word)]])
+            if len(word):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(chunk.hashes[often[word[bounds[:-1]]]]),
+                    pa.array([packed[a:z].tobytes() for a, z in zip(bounds[:-1], bounds[1:])], pa.binary())], names=["h", "n"])
+
+    def ratios(n: np.ndarray) -> np.ndarray:
+        parts, p = n.reshape(len(n), 4, CLASSES), share.reshape(4, CLASSES)
+        out = np.log((parts + PRIOR * p) / (parts.sum(axis=2, keepdims=True) + PRIOR) / p)
+        return np.clip(np.rint(out * STEP), -127, 127).astype(np.int8).reshape(len(n), 4 * CLASSES)
+
+    def add(batches):
+        word, total = None, None  # the word that the next batch may go on with
+
+        def emit(words, totals):
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array([r.tobytes() for r in ratios(totals)], pa.binary())],
+                                              names=["h", "features"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                h, packed = part.column(0).to_numpy(), part.column(1).to_pylist()
+                start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+                run = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(h))))
+                x = np.frombuffer(b"".join(packed), np.int64)
+                run = np.repeat(run, [len(b) // 8 for b in packed])
+                words = h[start]
+                totals = np.bincount(run * (4 * CLASSES) + (x >> 32), x & 0xFFFFFFFF, len(start) * 4 * CLASSES).reshape(-1, 4 * CLASSES)
+                if word is not None and word == words[0]:
+                    totals[0] += total
+                elif word is not None:
+                    yield emit([word], total[None])
+                if len(words) > 1:
+                    yield emit(words[:-1], totals[:-1])
+                word, total = int(words[-1]), totals[-1]
+        if word is not None:
+            yield emit([word], total[None])
+
+    counted = chunks.select("ids", "learn", "sizes", "codes", "hashes", "c").mapInArrow(count, "h long, n binary")
+    return counted.repartition("h").sortWithinPartitions("h").mapInArrow(add, "h long, features binary")
+
+
+# --- training and scoring ---
+
+_COLUMNS = ("ids", "learn", "sizes", "codes", "hashes", "c", "words", "features")
+
+
+def _round(chunks: DataFrame, w: Weights, turn: int, turns: int) -> dict[str, np.ndarray]:
+    """Gradients over the training texts whose turn it is, added up by Spark: observed and expected counts
+    of the hashed features and biases, and slope and curvature of each scale."""
+    shared = chunks.sparkSession.sparkContext.broadcast(vars(w))
+    hashed = FEATURES * CLASSES
+
+    def run(batches):
+        w = Weights.of(shared.value)
+        seen, said = np.zeros(hashed + 5 * CLASSES), np.zeros(hashed + 5 * CLASSES)
+        for chunk in _each(batches):
+            mine = chunk.learn & (np.arange(len(chunk.learn)) % turns == turn)
+            learn = np.repeat(mine, chunk.sizes)
+            chosen = np.flatnonzero(learn)
+            for i in range(0, len(chosen), PART):
+                at = chosen[i:i + PART]
+                words, pair = chunk.said(at, w, own=False), chunk.pairs(at)
+                n = np.arange(len(at))
+                for level, (z, cls) in enumerate(zip(chunk.logits(w, at, words, pair), (chunk.top, chunk.sub))):
+                    cls, p = cls[chunk.codes[at]], np.exp(z)
+                    p /= p.sum(axis=1, keepdims=True)
+                    every = p.sum(axis=0)
+                    if level == 0:
+                        seen[:CLASSES] += np.bincount(cls, minlength=CLASSES)
+                        said[:CLASSES] += every
+                        np.add.at(seen, pair * CLASSES + cls, 1)
+                        order = np.argsort(pair, kind="stable")
+                        names, starts = np.unique(pair[order], return_index=True)
+                        said[:hashed].reshape(FEATURES, CLASSES)[names] += np.add.reduceat(p[order], starts, axis=0)
+                    else:
+                        first = hashed + 4 * CLASSES
+                        seen[first:] += np.bincount(cls, minlength=CLASSES)
+                        said[first:] += every
+                    for kind in (0, 1):
+                        x = words[kind][:, level * CLASSES:(level + 1) * CLASSES]
+                        q = p * x
+                        first = hashed + (2 * level + kind) * CLASSES
+                        seen[first:first + CLASSES] += np.bincount(cls, x[n, cls], CLASSES) - q.sum(axis=0)
+                        said[first:first + CLASSES] += np.einsum("ij,ij->j", q, x) - np.einsum("ij,ij->j", q, q)
+        spots = np.flatnonzero((seen != 0) | (said != 0))
+        yield pa.RecordBatch.from_arrays([pa.array(spots), pa.array(seen[spots]), pa.array(said[spots])], names=["spot", "seen", "said"])
+
+    got = (chunks.select(*_COLUMNS).mapInArrow(run, "spot long, seen double, said double")
+           .groupBy("spot").agg(F.sum("seen").alias("seen"), F.sum("said").alias("said")).toArrow())  # a fixed number of spots
+    seen, said = np.zeros(hashed + 5 * CLASSES), np.zeros(hashed + 5 * CLASSES)
+    spots = got.column("spot").to_numpy()
+    seen[spots], said[spots] = got.column("seen").to_numpy(), got.column("said").to_numpy()
+    return {"hashed": (seen[:hashed].reshape(FEATURES, CLASSES), said[:hashed].reshape(FEATURES, CLASSES)),
+            "scale": (seen[hashed:hashed + 4 * CLASSES].reshape(2, 2, CLASSES), said[hashed:hashed + 4 * CLASSES].reshape(2, 2, CLASSES)),
+            "inner": (seen[hashed + 4 * CLASSES:], said[hashed + 4 * CLASSES:])}
+
+
+def train(chunks: DataFrame, w: Weights, rounds: int = ROUNDS) -> Weights:
+    """``w`` moved along the gradients of ``rounds`` rounds, scaled by counts and curvature.  Each training
+    text has its turn in one of them, so all are learned from and none is read for nothing."""
+    for turn in range(rounds):
+        got = _round(chunks, w, turn, rounds)
+        for name, weights in (("hashed", w.hashed), ("inner", w.inner)):
+            seen, said = got[name]
+            weights += (np.clip((seen - said) / (said + 4.0), -0.9, 4.0) / 2.0).astype(np.float32)
+        slope, curve = got["scale"]
+        w.scale += np.clip(slope / (curve + 10.0) / 2.0, -0.3, 0.3).astype(np.float32)
+    return w
+
+
+def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = CHUNK) -> DataFrame:
     """Per row ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``; rows where
     the condition ``training`` holds are learned from."""
-    docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
-                     F.coalesce(training, F.lit(False)).alias("learn")).withColumn(
-        "sha", F.sha2(F.col("text").cast("binary"), 256))
-    texts = saved(docs.groupBy("sha").agg(F.first("text").alias("text"), F.sum(F.col("learn").cast("long")).alias("times")), "lm-texts")
-
-    def count():
-        def fn(rows):
-            words, times = [], []
-            for t in rows:
-                got: dict[str, int] = {}
-                for w in tokens(t):
-                    got[w] = got.get(w, 0) + 1
-                words.append(list(got))
-                times.append(list(got.values()))
-            return [words, times]
-        return fn
-
-    listed = map_rows(texts, ["text"], fields("words strings, counts longs"), count, slice_rows=128)
-    listed = saved(listed.select("sha", "times", F.explode(F.arrays_zip("words", "counts")).alias("t"))
-                   .select("sha", "times", F.col("t.words").alias("word"), F.col("t.counts").alias("n")), "lm-tokens")
-    kind = F.crc32(F.col("word").cast("binary")) % CLASSES
-    counts = saved(listed.where("times > 0").groupBy("word").agg(F.sum(F.col("n") * F.col("times")).alias("c")), "lm-counts")
-    totals = {r["k"]: (r["n"], r["v"]) for r in counts.groupBy(kind.alias("k")).agg(
-        F.sum("c").alias("n"), F.count("*").alias("v")).collect()}  # one row a class
-    n_all, v_all = sum(n for n, _ in totals.values()), sum(v for _, v in totals.values())
-    rooms = F.array(*[F.lit(float(sum(totals.get(k, (0, 0))) + 1)) for k in range(CLASSES)])
-    c = F.coalesce(F.col("c"), F.lit(0))
-    sums = (listed.join(counts, "word", "left").groupBy("sha").agg(
-        F.sum("n").alias("n_tokens"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("n") * F.log10((c + 1) / F.lit(float(n_all + v_all + 1)))).alias("base_score"),
-        F.sum(F.col("n") * F.log10((c + 1) / F.get(rooms, kind.cast("int")))).alias("inside")))
-
-    shared = df.sparkSession.sparkContext.broadcast(train(texts.where("times > 0")))
-
-    def predict():
-        weights, coder = shared.value, Coder()
-
-        def one(text):
-            codes = coder.codes(tokens(text))
-            feats, total = history(codes), 0.0
-            for at in range(0, len(codes), PART):
-                logs = class_logs(weights, feats[at:at + PART])
-                total += float(logs[np.arange(len(logs)), codes[at:at + PART] % CLASSES].sum(dtype=np.float64))
-            return total / math.log(10)
-
-        return lambda rows: [[one(t) for t in rows]]
-
-    classes = map_rows(texts.select("sha", "text"), ["text"], fields("classes double"), predict).select("sha", "classes")
-    result = saved(sums.join(classes, "sha"), "lm-scores")
-    return docs.select("doc_id", "learn", "sha").join(result, "sha").select(
-        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"),
-        "base_score", (F.col("classes") + F.col("inside")).alias("score"))
+    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                     F.coalesce(training, F.lit(False)).alias("learn"))
+    encoded = saved(_encode(docs, chunk_tokens), "lm-encoded")
+    vocabulary = saved(_vocabulary(encoded), "lm-vocabulary")
+    drop_shuffles(df.sparkSession)
+    leaf = np.ones((CLASSES, CLASSES))  # a slot for unseen tokens in each
+    n_all = v_all = 0
+    kinds = vocabulary.where("first and c > 0").groupBy(F.expr(f"h & {CLASSES - 1}").alias("k"), F.expr(f"shiftright(h, 8) & {CLASSES - 1}").alias("s"))
+    for r in kinds.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # one row a subclass
+        leaf[r["k"], r["s"]] += r["n"] + r["v"]
+        n_all, v_all = n_all + r["n"], v_all + r["v"]
+    counted = saved(encoded.drop("seen").join(_by_chunk(vocabulary, ["c"]).select("chunk", "c"), "chunk"), "lm-counted")
+    release(encoded)
+    features = saved(_features(counted, leaf), "lm-features")
+    drop_shuffles(df.sparkSession)
+    wanted = vocabulary.where(F.col("c") >= MIN_COUNT).select("chunk", "code", "h").join(features, "h")
+    words = saved(_by_chunk(wanted, ["features"]).withColumnRenamed("code", "words"), "lm-words")
+    drop_shuffles(df.sparkSession)
+    chunks = saved(counted.join(words, "chunk", "left"), "lm-chunks")
+    release(vocabulary, counted, features, words)
+    shared = df.sparkSession.sparkContext.broadcast(vars(train(chunks, Weights(leaf))))
+    rooms = np.log10(leaf)
+
+    def run(batches):
+        w = Weights.of(shared.value)
+        for chunk in _each(batches):
+            per = np.zeros(len(chunk.codes))
+            for a in range(0, len(chunk.codes), PART):
+                per[a:a + PART] = chunk.log_likelihood(w, slice(a, a + PART))
+            seen = np.log10(chunk.counts + 1.0)
+            inside = (seen - rooms[chunk.top, chunk.sub])[chunk.codes]
+            base = (seen - math.log10(n_all + v_all + 1))[chunk.codes]
+            sums = [np.add.reduceat(x, chunk.starts) for x in (per / math.log(10) + inside, base, (chunk.counts > 0)[chunk.codes].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(chunk.ids, pa.int64()), pa.array(~chunk.learn), pa.array(chunk.sizes), pa.array(sums[2]),
+                pa.array(np.full(len(chunk.ids), n_all, np.int64)), pa.array(sums[1]), pa.array(sums[0])],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return chunks.select(*_COLUMNS).mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                                                    "base_score double, score double")
 
 
 def op8_maxent(spark, sf_dir: str) -> DataFrame:
