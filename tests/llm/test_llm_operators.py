@@ -230,6 +230,47 @@ def test_maxent_counts_and_probabilities(docs, spark):
     assert np.exp(logs).sum(axis=1) == pytest.approx(np.ones(9))
 
 
+def test_maxent_base_score_equals_a_plain_recomputation(spark):
+    import math
+    from collections import Counter
+    from zlib import crc32
+
+    docs = load(spark, SF, "documents", "doc_id", "text").collect() + [(None, "no id"), (10**6, None)]
+    df = spark.createDataFrame([tuple(r) for r in docs], "doc_id long, text string")
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
+    counts = Counter()
+    for i, text in docs:
+        if i is not None and crc32(str(i).encode()) % 7 != 2:
+            counts.update(maxent.tokens(text))
+    n, v = sum(counts.values()), len(counts)
+    for chunk in (300, maxent.CHUNK):  # many chunks, and one a task
+        rows = {r["doc_id"]: r for r in maxent.score(df.repartition(3), learn, chunk_tokens=chunk).collect()}
+        assert len(rows) == len(docs)
+        for i, text in docs:
+            words, r = maxent.tokens(text), rows[i]
+            assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(words), sum(counts[w] > 0 for w in words), n)
+            assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words))
+            assert r["held_out"] == (i is None or crc32(str(i).encode()) % 7 == 2) and r["score"] < 0
+
+
+def test_maxent_probabilities_sum_to_one():
+    r = np.random.default_rng(4)
+    leaf = r.integers(1, 50, (maxent.CLASSES, maxent.CLASSES)).astype(float)
+    w = maxent.Weights(leaf)
+    w.hashed += r.normal(0, 0.3, w.hashed.shape).astype(np.float32)
+    w.inner += r.normal(0, 0.3, w.inner.shape).astype(np.float32)
+    hashes = (np.arange(maxent.CLASSES)[:, None] + (np.arange(maxent.CLASSES)[None, :] << 8)).ravel()  # one word a subclass
+    words = np.arange(0, len(hashes), 3)
+    features = r.integers(-60, 60, (len(words), 4 * maxent.CLASSES)).astype(np.int8)
+    total = 0.0
+    for last in range(len(hashes)):  # the probability of each word after the same two
+        codes = np.array([3, 7, last], np.int32)
+        chunk = maxent.Chunk({"ids": [1], "learn": [True], "sizes": np.array([3]).tobytes(), "codes": codes.tobytes(), "hashes": hashes.tobytes(),
+                              "c": np.ones(len(hashes), np.int64).tobytes(), "words": words.tobytes(), "features": features.tobytes()})
+        total += float(np.exp(chunk.log_likelihood(w, slice(2, 3))[0]))
+    assert total == pytest.approx(1.0, abs=1e-4)
+
+
 def test_neighbours_recall_and_invalid_vectors(spark):
     r = np.random.default_rng(2)
     rows = [(i, r.normal(size=16).tolist()) for i in range(1500)]
