@@ -456,15 +456,15 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     for r in kinds.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # one row a subclass
         leaf[r["k"], r["s"]] += r["n"] + r["v"]
         n_all, v_all = n_all + r["n"], v_all + r["v"]
-    counted = saved(encoded.drop("seen").join(_by_chunk(vocabulary, ["c"]).select("chunk", "c"), "chunk"), "lm-counted")
-    release(encoded)
+    counts = saved(_by_chunk(vocabulary, ["c"]).select("chunk", "c"), "lm-counts")
+    counted = encoded.drop("seen").join(counts, "chunk")  # joined again below: the codes are kept once
     features = saved(_features(counted, leaf), "lm-features")
     drop_shuffles(df.sparkSession)
     wanted = vocabulary.where(F.col("c") >= MIN_COUNT).select("chunk", "code", "h").join(features, "h")
     words = saved(_by_chunk(wanted, ["features"]).withColumnRenamed("code", "words"), "lm-words")
     drop_shuffles(df.sparkSession)
     chunks = saved(counted.join(words, "chunk", "left"), "lm-chunks")
-    release(vocabulary, counted, features, words)
+    release(encoded, vocabulary, counts, features, words)
     shared = df.sparkSession.sparkContext.broadcast(vars(train(chunks, Weights(leaf))))
     rooms = np.log10(leaf)
 
