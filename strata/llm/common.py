@@ -53,12 +53,12 @@ def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return df.select(*columns) if columns else df
 
 
-def saved(df: DataFrame, tag: str) -> DataFrame:
+def saved(df: DataFrame, tag: str, compression: str | None = None) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back: cuts the lineage on
     storage every executor can read, so a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{tag}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     back = spark.read.schema(df.schema).parquet(path)
     back.saved_at = path
     return back

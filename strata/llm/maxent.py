@@ -447,7 +447,7 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     the condition ``training`` holds are learned from."""
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                      F.coalesce(training, F.lit(False)).alias("learn"))
-    encoded = saved(_encode(docs, chunk_tokens), "lm-encoded")
+    encoded = saved(_encode(docs, chunk_tokens), "lm-encoded", "zstd")
     vocabulary = saved(_vocabulary(encoded), "lm-vocabulary")
     drop_shuffles(df.sparkSession)
     leaf = np.ones((CLASSES, CLASSES))  # a slot for unseen tokens in each
@@ -461,10 +461,10 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     features = saved(_features(counted, leaf), "lm-features")
     drop_shuffles(df.sparkSession)
     wanted = vocabulary.where(F.col("c") >= MIN_COUNT).select("chunk", "code", "h").join(features, "h")
-    words = saved(_by_chunk(wanted, ["features"]).withColumnRenamed("code", "words"), "lm-words")
-    drop_shuffles(df.sparkSession)
-    chunks = saved(counted.join(words, "chunk", "left"), "lm-chunks")
-    release(encoded, vocabulary, counts, features, words)
+    words = saved(_by_chunk(wanted, ["features"]).withColumnRenamed("code", "words"), "lm-words", "zstd")
+    release(vocabulary, features)
+    chunks = saved(counted.join(words, "chunk", "left"), "lm-chunks", "zstd")
+    release(encoded, counts, words)
     shared = df.sparkSession.sparkContext.broadcast(vars(train(chunks, Weights(leaf))))
     rooms = np.log10(leaf)
 
