@@ -410,6 +410,39 @@ def test_network_finds_secrets_without_key_words(spark):
     assert sum(hits) >= 0.8 * len(keys) and len(wrong) <= 0.02 * len(held) * 30
 
 
+def test_network_learns_from_every_window(spark, monkeypatch):
+    texts = spark.range(9000).selectExpr("concat('value ', sha2(cast(id as string), 256), if(id % 2 = 0, ' token = key0', ' was ab0'), id) as text")
+    windows = secrets.labelled_windows(texts)
+    n = windows.count()
+    used = windows.where("not held").count()
+    assert 0.78 * n < used < 0.82 * n and n > 2 * 9000
+    taken = []
+
+    def counted(blocks, vector, turn, rows, *more):
+        taken.append((rows, blocks.selectExpr("sum(size(rows))").first()[0]))
+        return vector
+
+    monkeypatch.setattr(secrets, "_round", counted)
+    secrets.fit(texts, block_rows=4000)
+    assert taken == [(used, used)] * secrets.ROUNDS
+    taken.clear()
+    secrets.fit(texts, block_rows=1000)  # more blocks, which take turns
+    assert len(taken) == secrets.ROUNDS and sum(t for _, t in taken) % used == 0 and sum(t for _, t in taken) >= 2 * used
+
+
+def test_averaged_blocks_find_secrets(spark):
+    rows, _ = planted_secrets(1, 600, True)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    net = secrets.fit(df, block_rows=1000)
+    again = secrets.fit(df.repartition(3), block_rows=1000)
+    assert all(np.array_equal(getattr(net, n), getattr(again, n)) for n in vars(net))
+    held, keys = planted_secrets(2, 300, False)
+    found = {r["doc_id"]: r["secret_spans"] for r in secrets.scan(spark.createDataFrame(held, "doc_id long, text string"), net).collect()}
+    texts = dict(held)
+    hits = [any(texts[i][int(a):int(z)] == key for a, z in (s.split(":")[1:] for s in found[i])) for i, key in keys]
+    assert sum(hits) >= 0.8 * len(keys)
+
+
 def test_long_candidates_are_read_whole():
     assert secrets.pieces(5, 30) == [(5, 30)]
     parts = secrets.pieces(7, 7 + 95)
