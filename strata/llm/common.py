@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -73,11 +74,17 @@ def release(*tables: DataFrame) -> None:
         drop_shuffles(tables[0].sparkSession)
 
 
+PY4J_SLEEP = 1.5  # seconds; Py4J passes on dropped references from a thread that wakes every second
+
+
 def drop_shuffles(spark: SparkSession) -> None:
     """Let the driver drop its references to finished shuffles, so that executors delete their
     files now and not at the next periodic collection.  Shuffles still in use are kept."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    time.sleep(PY4J_SLEEP)  # else the references dropped just now would outlive the JVM's collection
+    for _ in range(2):  # some are held by objects that the first collection finalises
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def remainder(id_col: str, divisor: int) -> Column:

@@ -135,7 +135,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
 
     texts = docs.select("sha", "rank", "text")
     reps = saved(texts.join(firsts, ["sha", "rank"], "left_semi").dropDuplicates(["sha"])
-                 .withColumn("key", F.xxhash64("sha", "rank")), "substring-reps")
+                 .withColumn("key", F.xxhash64("sha", "rank")), "substring-reps", "zstd")
     release(firsts)
     listed = map_rows(reps.select("key", "rank", "text"), ["text"], fields("block longs, variant longs, at longs, m longs"),
                       list_blocks, slice_rows=64)

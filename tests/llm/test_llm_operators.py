@@ -465,6 +465,26 @@ def test_learned_scores_on_held_out_rows(spark, module, label):
     assert sum(r["predicted"] == r[label] for r in rows) >= 0.8 * len(rows)
 
 
+def test_released_shuffles_leave_the_disk(spark):
+    import glob
+    import time
+
+    from strata.llm.common import release, saved
+
+    def files():
+        dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    before = files()
+    table = saved(spark.range(20000).groupBy((F.col("id") % 7777).alias("k")).count().repartition(3, "count"), "released")
+    assert files() - before
+    release(table)
+    end = time.time() + 5
+    while files() - before and time.time() < end:  # executors delete in the background
+        time.sleep(0.2)
+    assert not files() - before
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DDL)
     assert substrings.dedup(none).count() == jaccard.join(none).count() == jaccard.keep_one(none).count() == 0
