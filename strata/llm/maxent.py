@@ -434,6 +434,7 @@ def train(chunks: DataFrame, w: Weights, rounds: int = ROUNDS) -> Weights:
     text has its turn in one of them, so all are learned from and none is read for nothing."""
     for turn in range(rounds):
         got = _round(chunks, w, turn, rounds)
+        drop_shuffles(chunks.sparkSession)
         for name, weights in (("hashed", w.hashed), ("inner", w.inner)):
             seen, said = got[name]
             weights += (np.clip((seen - said) / (said + 4.0), -0.9, 4.0) / 2.0).astype(np.float32)
@@ -463,8 +464,8 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     wanted = vocabulary.where(F.col("c") >= MIN_COUNT).select("chunk", "code", "h").join(features, "h")
     words = saved(_by_chunk(wanted, ["features"]).withColumnRenamed("code", "words"), "lm-words", "zstd")
     release(vocabulary, features)
-    chunks = saved(counted.join(words, "chunk", "left"), "lm-chunks", "zstd")
-    release(encoded, counts, words)
+    # Joined again in each pass: a third copy of the chunks would take more disk than all the rest.
+    chunks = counted.join(words, "chunk", "left")
     shared = df.sparkSession.sparkContext.broadcast(vars(train(chunks, Weights(leaf))))
     rooms = np.log10(leaf)
 

@@ -485,6 +485,16 @@ def test_released_shuffles_leave_the_disk(spark):
     assert not files() - before
 
 
+def test_language_model_writes_no_joined_chunks(spark, monkeypatch):
+    written = []
+    kept = maxent.saved
+    monkeypatch.setattr(maxent, "saved", lambda df, tag, *more: written.append((tag, df.columns)) or kept(df, tag, *more))
+    rows = [(i, f"a{i % 3} b{i % 2} c") for i in range(200)]
+    out = maxent.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 7 != 2).collect()
+    assert len(out) == 200 and all(r["n_tokens"] == 4 and r["score"] < 0 for r in out)
+    assert not [tag for tag, columns in written if {"codes", "features"} <= set(columns)]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DDL)
     assert substrings.dedup(none).count() == jaccard.join(none).count() == jaccard.keep_one(none).count() == 0
