@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import delete_path, scratch_path
+from strata.session import delete_path, scratch_path, scratch_table
 
 # Fixed value: the white space that separates words (tab, newline, vertical tab, form feed,
 # carriage return, blank).  Every other character belongs to a word.
@@ -65,6 +65,20 @@ def saved(df: DataFrame, tag: str, compression: str | None = None) -> DataFrame:
     return back
 
 
+def saved_by(key: str, parts: list[DataFrame], tag: str, compression: str = "snappy") -> DataFrame:
+    """``parts``, tables of the same columns, written one after the other as one table whose files lie by
+    ``key``: joins on it with another such table shuffle nothing.  The shuffles behind a part leave the
+    disk before the next begins.  ``tag`` holds no hyphen."""
+    spark = parts[0].sparkSession
+    name, buckets = scratch_table(spark, f"llm_{tag}"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for i, part in enumerate(parts):
+        if i:
+            drop_shuffles(spark)
+        (part.write.format("parquet").option("compression", compression).bucketBy(buckets, key)
+         .mode("append").saveAsTable(name))
+    return spark.table(name)
+
+
 def release(*tables: DataFrame) -> None:
     """Delete tables written by :func:`saved` that no later step reads, and the shuffles behind
     them.  Only for tables whose every reader has itself been written."""

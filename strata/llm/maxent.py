@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, drop_shuffles, load, release, remainder, saved, word_bytes, words_of
+from strata.llm.common import ascii_lower, drop_shuffles, load, release, remainder, saved, saved_by, word_bytes, words_of
 
 CLASSES, FEATURES, ROUNDS = 32, 1 << 13, 2
 MIN_COUNT, PRIOR = 32, 32.0
@@ -45,6 +45,7 @@ STEP = 16.0  # word features are stored in steps of 1 / STEP
 CHUNK = 1 << 21  # tokens: the larger a chunk, the fewer rows its vocabulary adds to the joins
 END = "\n"  # no word holds a newline
 PART = 1 << 12  # tokens whose class probabilities are held at a time
+WAVES = 4  # parts in which word features are joined to the chunks: only one part's shuffles are on the disk
 HELD_OUT_DIVISOR, HELD_OUT_REMAINDER = 7, 2
 
 
@@ -448,7 +449,7 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     the condition ``training`` holds are learned from."""
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                      F.coalesce(training, F.lit(False)).alias("learn"))
-    encoded = saved(_encode(docs, chunk_tokens), "lm-encoded", "zstd")
+    encoded = saved_by("chunk", [_encode(docs, chunk_tokens)], "lm_encoded", "zstd")
     vocabulary = saved(_vocabulary(encoded), "lm-vocabulary")
     drop_shuffles(df.sparkSession)
     leaf = np.ones((CLASSES, CLASSES))  # a slot for unseen tokens in each
@@ -457,14 +458,18 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     for r in kinds.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # one row a subclass
         leaf[r["k"], r["s"]] += r["n"] + r["v"]
         n_all, v_all = n_all + r["n"], v_all + r["v"]
-    counts = saved(_by_chunk(vocabulary, ["c"]).select("chunk", "c"), "lm-counts")
+    counts = saved_by("chunk", [_by_chunk(vocabulary, ["c"]).select("chunk", "c")], "lm_counts")
+    drop_shuffles(df.sparkSession)
     counted = encoded.drop("seen").join(counts, "chunk")  # joined again below: the codes are kept once
     features = saved(_features(counted, leaf), "lm-features")
     drop_shuffles(df.sparkSession)
-    wanted = vocabulary.where(F.col("c") >= MIN_COUNT).select("chunk", "code", "h").join(features, "h")
-    words = saved(_by_chunk(wanted, ["features"]).withColumnRenamed("code", "words"), "lm-words", "zstd")
+    often = vocabulary.where(F.col("c") >= MIN_COUNT).select("chunk", "code", "h")
+    wave = F.pmod(F.xxhash64("chunk"), F.lit(WAVES))
+    words = saved_by("chunk", [_by_chunk(often.where(wave == k).join(features, "h"), ["features"]).withColumnRenamed("code", "words")
+                               for k in range(WAVES)], "lm_words", "zstd")
     release(vocabulary, features)
-    # Joined again in each pass: a third copy of the chunks would take more disk than all the rest.
+    # Joined again in each pass, without a shuffle as all three tables lie by chunk: a third copy of
+    # the chunks, or moving them in each pass, would take more disk than all the rest.
     chunks = counted.join(words, "chunk", "left")
     shared = df.sparkSession.sparkContext.broadcast(vars(train(chunks, Weights(leaf))))
     rooms = np.log10(leaf)

@@ -495,6 +495,20 @@ def test_language_model_writes_no_joined_chunks(spark, monkeypatch):
     assert not [tag for tag, columns in written if {"codes", "features"} <= set(columns)]
 
 
+def test_language_model_joins_its_chunks_without_a_shuffle(spark, monkeypatch):
+    plans, train = [], maxent.train
+    monkeypatch.setattr(maxent, "train", lambda chunks, w: plans.append(chunks._jdf.queryExecution().executedPlan().toString()) or train(chunks, w))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, " ".join(words(i, 30))) for i in range(400)]
+        out = maxent.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 7 != 2, chunk_tokens=900).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(out) == 400 and all(r["n_tokens"] == 31 for r in out)
+    assert "SortMergeJoin" in plans[0] and "Exchange" not in plans[0]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DDL)
     assert substrings.dedup(none).count() == jaccard.join(none).count() == jaccard.keep_one(none).count() == 0
