@@ -140,14 +140,17 @@ def guarded_export(df: DataFrame, path: str, **options) -> ExportResult:
     return ExportResult("exported", path)
 
 
-def dataset_writer(df: DataFrame, fmt: str, max_records_per_file: int | None = None) -> DataFrameWriter:
+def dataset_writer(df: DataFrame, fmt: str, max_records_per_file: int | None = None,
+                   compression: str | None = None) -> DataFrameWriter:
     """A writer of ``df`` as ``fmt`` with this library's options for the format."""
     f = check_format(fmt)
     if max_records_per_file is None:
-        max_records_per_file = {"csv": DEFAULT_MAX_RECORDS_PER_FILE,
-                                "xml": XML_MAX_RECORDS_PER_FILE}.get(f, 0)
+        max_records_per_file = {"csv": DEFAULT_MAX_RECORDS_PER_FILE, "xml": XML_MAX_RECORDS_PER_FILE,
+                                "json": DEFAULT_MAX_RECORDS_PER_FILE if compression else 0}.get(f, 0)
     out = printable(df) if f == "csv" else df
     writer = out.write.format(f)
+    if compression:
+        writer = writer.option("compression", compression)
     if f == "csv":
         writer = writer.options(**csv_write_options(max_records_per_file=max_records_per_file,
                                                      columns=len(out.columns)))
@@ -164,7 +167,7 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str =
                   varchar_limits: Mapping[str, int] | None = None,
                   partition_by: list[str] | None = None,
                   max_records_per_file: int | None = None, atomic: bool = False,
-                  target_bytes: int | None = None) -> str:
+                  target_bytes: int | None = None, compression: str | None = None) -> str:
     """Write ``df`` to ``path`` as ``fmt`` (K3).
 
     ``atomic`` overwrites ``path`` as a ledger table, replaced by the creation of one file; read it
@@ -176,17 +179,19 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str =
     ``max_records_per_file`` defaults per format (0 means unbounded): CSV and XML may hold
     records spanning lines and are then read one task per file, so their files are bounded;
     parquet, orc, avro and JSON lines split on read and keep Spark's one file per task.
-    ``target_bytes`` bounds the files of a text format by their size instead of their rows.
+    ``target_bytes`` bounds the files of a text format by their size (before compression) instead of their rows.
+    ``compression`` names a codec of the format in place of its default (none for text formats);
+    reads find it by the file names.  Compressed JSON does not split, so its files are bounded like CSV's.
     """
     f = check_format(fmt)
     if atomic:
-        if partition_by or target_bytes or max_records_per_file is not None or mode != "overwrite":
+        if partition_by or target_bytes or compression or max_records_per_file is not None or mode != "overwrite":
             raise ValueError("an atomic write overwrites, in the default layout")
         LedgerTable(df.sparkSession, path).overwrite(df, f, varchar_limits)
         return path
     if target_bytes:
         max_records_per_file = rows_per_file(df, f, target_bytes)
-    writer = dataset_writer(enforce_varchar(df, varchar_limits or {}), f, max_records_per_file)
+    writer = dataset_writer(enforce_varchar(df, varchar_limits or {}), f, max_records_per_file, compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     try:

@@ -27,7 +27,7 @@ from strata.plans.resume import resumable_flow
 from strata.schemas import MOVIE_ANALYTICS, REVIEW_LOGS, USER_PURCHASE, USER_PURCHASE_VARCHAR
 from strata.session import delete_path, scratch_path, scratch_table
 from strata.sources.csv import naming_bad_csv_record, read_bronze_csv, read_csv_typed
-from strata.sources.datasets import read_dataset
+from strata.sources.datasets import SCHEMA_NEEDED, read_dataset
 from strata.sources.records import BadRecordError
 from strata.sources.tables import read_table
 from strata.streaming.arrival import arrival_load
@@ -125,11 +125,12 @@ def q_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dataset_format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The first format is written from the joined input; the others from that written
-    # copy, so the joins run once.
+    # copy, so the joins run once.  Text formats, several times the input's size, are compressed.
     source = inputs.purchases(spark, sf_dir)
     out = None
     for fmt in ROUNDTRIP_FORMATS:
-        path = write_dataset(source, scratch_path(spark, f"dataset_{fmt}"), fmt)
+        path = write_dataset(source, scratch_path(spark, f"dataset_{fmt}"), fmt,
+                             compression="gzip" if fmt in SCHEMA_NEEDED else None)
         back = read_dataset(spark, path, fmt, USER_PURCHASE)
         if fmt == "parquet":
             source = back

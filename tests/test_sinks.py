@@ -123,3 +123,29 @@ def test_only_text_files_are_bounded_by_bytes(spark, tmp_path):
     with pytest.raises(ValueError):
         export_csv(spark.range(3), str(tmp_path / "p"), target_bytes=1000, atomic=True)
     export_csv(spark.range(3).where("id > 5"), str(tmp_path / "e"), target_bytes=1000)
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv", "xml"])
+def test_compressed_text_datasets_are_small_and_keep_every_row(spark, tmp_path, fmt):
+    df = spark.createDataFrame(ROWS * 2000, USER_PURCHASE).coalesce(1)
+    sizes = {}
+    for codec in (None, "gzip"):
+        path = write_dataset(df, str(tmp_path / f"{fmt}-{codec}"), fmt, compression=codec, max_records_per_file=1500)
+        parts = [f for f in os.listdir(path) if f.startswith("part-")]
+        assert len(parts) == 3 and all(f.endswith(".gz") == bool(codec) for f in parts)
+        sizes[codec] = sum(os.path.getsize(os.path.join(path, f)) for f in parts)
+        assert read_dataset(spark, path, fmt, USER_PURCHASE).exceptAll(df).isEmpty()
+        assert df.exceptAll(read_dataset(spark, path, fmt, USER_PURCHASE)).isEmpty()
+    assert sizes["gzip"] * 5 < sizes[None]
+
+
+def test_format_roundtrip_writes_text_formats_compressed(spark, monkeypatch):
+    from strata.plans import registry
+
+    paths = []
+    monkeypatch.setattr(registry, "write_dataset", lambda *a, **k: paths.append(write_dataset(*a, **k)) or paths[-1])
+    got = registry.q_dataset_format_roundtrip(spark, "/root/testdata/sf0.001")
+    assert {r["count"] for r in got.groupBy("fmt").count().collect()} == {got.where("fmt = 'parquet'").count()}
+    parts = {p: [f for _, _, fs in os.walk(p.removeprefix("file:")) for f in fs if f.startswith("part-")] for p in paths}
+    assert len(parts) == 5 and all(parts.values())
+    assert all(f.endswith(".gz") for p, fs in parts.items() if "parquet" not in p and "orc" not in p for f in fs)
