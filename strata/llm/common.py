@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 from collections.abc import Callable, Iterator
@@ -101,6 +102,26 @@ def drop_shuffles(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def give_back() -> None:
+    """Return freed memory to the system.  Spark keeps worker processes for later stages, and with them
+    what their allocators hold, so an executor would pay for the largest batches of every stage so far."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow``, followed by :func:`give_back` when its task has no more batches."""
+    def task(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def remainder(id_col: str, divisor: int) -> Column:
     """crc32 of the id's decimal text, modulo ``divisor`` (NULL for a NULL id)."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % divisor
@@ -150,7 +171,7 @@ def map_rows(df: DataFrame, inputs: list[str], outputs: T.StructType,
                            for o, t in zip(out, types)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(giving_back(run), schema)
 
 
 def _arrow(t: T.DataType) -> pa.DataType:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, drop_shuffles, fields, load, map_rows, release, saved, words_of
+from strata.llm.common import giving_back, ascii_lower, drop_shuffles, fields, load, map_rows, release, saved, words_of
 from strata.llm.substrings import Windows, _mix
 
 SHINGLE, PERCENT = 5, 75
@@ -88,7 +88,7 @@ def sketch(docs: DataFrame, size: int) -> np.ndarray:
         spots = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(spots), pa.array(counts[spots])], names=["slot", "c"])
 
-    got = docs.select("text").mapInArrow(run, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()
+    got = docs.select("text").mapInArrow(giving_back(run), "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()
     counts = np.zeros(1 << SLOT_BITS, np.int64)
     counts[got.column("slot").to_numpy()] = got.column("c").to_numpy()
     return counts

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import fields, load, map_rows, release, saved
+from strata.llm.common import giving_back, fields, load, map_rows, release, saved
 
 KINDS = ("assign", "access", "hex", "model")
 
@@ -298,7 +298,7 @@ def labelled_windows(df: DataFrame, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(windows, pa.binary()), pa.array(labels, pa.int32())], names=["window", "label"])
 
-    found = df.select(F.col(text_col).alias("text")).mapInArrow(run, fields("window binary, label int"))
+    found = df.select(F.col(text_col).alias("text")).mapInArrow(giving_back(run), fields("window binary, label int"))
     # Copies of a text hold the same windows; one of each is enough to learn from.
     return (found.groupBy("window").agg(F.max("label").alias("label"))
             .withColumn("held", F.pmod(F.xxhash64("window"), F.lit(5)) == 0))
@@ -333,7 +333,7 @@ def _round(blocks: DataFrame, vector: np.ndarray, turn: int, rows: int, class_we
                 total += np.rint(np.append(learner.vector(), 1.0) * (len(x) / rows * 2.0 ** 40)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["spot", "n"])
 
-    got = blocks.mapInArrow(run, fields("spot long, n long")).groupBy("spot").agg(F.sum("n").alias("n")).toArrow()  # a fixed number of spots
+    got = blocks.mapInArrow(giving_back(run), fields("spot long, n long")).groupBy("spot").agg(F.sum("n").alias("n")).toArrow()  # a fixed number of spots
     total = np.zeros(len(vector) + 1)
     total[got.column("spot").to_numpy()] = got.column("n").to_numpy()
     return total[:-1] / total[-1] if total[-1] else vector
@@ -373,7 +373,7 @@ def fit(df: DataFrame, text_col: str = "text", *, recall: float = 0.98, bare_rec
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), is_bare)), batch.column(1), pa.array(bins(net.predict(bare(x) if is_bare else x)))],
                                                  names=["bare", "label", "bin"])
 
-    judged = windows.where("held").select("window", "label").mapInArrow(judge, fields("bare boolean, label int, bin long"))
+    judged = windows.where("held").select("window", "label").mapInArrow(giving_back(judge), fields("bare boolean, label int, bin long"))
     got = judged.groupBy("bare", "label", "bin").count().toArrow()  # a fixed number of bins
     columns = [got.column(c).to_numpy() for c in ("bin", "label", "count")]
     is_bare = got.column("bare").to_numpy().astype(bool)

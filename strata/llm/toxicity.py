@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import (SLICE, fields, label_sample, load, map_rows, remainder, saved)
+from strata.llm.common import (giving_back, SLICE, fields, label_sample, load, map_rows, remainder, saved)
 
 # Letters of other scripts that look like a Latin one.
 LOOK_ALIKES = {
@@ -183,7 +183,7 @@ def _feature_counts(sample: DataFrame, label: int, allowed: set[str] | None) ->
                 [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
                 names=["feature", "n"])
 
-    return (rows.mapInArrow(run, fields("feature string, n long"))
+    return (rows.mapInArrow(giving_back(run), fields("feature string, n long"))
             .groupBy("feature").agg(F.sum("n").alias("n")))
 
 
@@ -234,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                     names=["key", "found"])
 
     by_key: dict[int, set[str]] = defaultdict(set)
-    for r in texts.mapInArrow(run, fields("key long, found strings")).collect():
+    for r in texts.mapInArrow(giving_back(run), fields("key long, found strings")).collect():
         by_key[r["key"]].update(r["found"])
     weights = {f: log_odds(f) for f in _cover(list(by_key.values()), rate, min_rows, depth)}
     return _calibrated(sample, ToxicityModel(weights, exceptions), n_pos, n_neg)

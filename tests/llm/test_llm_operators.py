@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, html, jaccard, maxent, neighbours, pieces, quality, secrets, substrings, toxicity
+from strata.llm import common, decontaminate, html, jaccard, maxent, neighbours, pieces, quality, secrets, substrings, toxicity
 from strata.llm.common import load, words_of
 
 SF = "/root/testdata/sf0.001"
@@ -509,6 +509,26 @@ def test_language_model_joins_its_chunks_without_a_shuffle(spark, monkeypatch):
     assert "SortMergeJoin" in plans[0] and "Exchange" not in plans[0]
 
 
+def test_a_task_gives_its_freed_memory_back():
+    import re
+
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+    kept = []
+
+    def run(batches):
+        for _ in batches:
+            rows = [np.ones(1000, np.int8) for _ in range(300_000)]
+            kept.append(rows[-1])  # what lies behind the freed rows keeps the heap from shrinking by itself
+            yield held()
+
+    before = held()
+    within = list(common.giving_back(run)(iter([1])))[0]
+    assert within > before + 200 and held() < before + 60
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DDL)
     assert substrings.dedup(none).count() == jaccard.join(none).count() == jaccard.keep_one(none).count() == 0
