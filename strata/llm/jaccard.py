@@ -35,37 +35,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import giving_back, ascii_lower, drop_shuffles, fields, load, map_rows, release, saved, words_of
-from strata.llm.substrings import Windows, _mix
+from strata.llm.substrings import _mix, _powers
+from strata.llm.words import Words
 
 SHINGLE, PERCENT = 5, 75
 BITMAP_BYTES = 128
 LEAF = 32  # rows of a leaf of the tree
 CELL = 2048  # rows of a cell of a large bucket, about
+SLICE = 128  # texts whose words are hashed together
 LOW = 16  # shingles by which a pair knows where its sets first meet
 SLOT_BITS = 18  # the count sketch has 2 ** SLOT_BITS numbers at any input size
 _LAST_ID = (1 << 63) - 1
 
 
 class Shingler:
-    """Sorted 64-bit hashes of a text's distinct shingles."""
+    """Sorted 64-bit hashes of texts' distinct shingles; the words of many texts are hashed together."""
 
     def __init__(self, size: int = SHINGLE):
-        self.size, self.words = size, Windows(size)
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        codes = self.words.codes(text, lower=True)
-        size = min(self.size, len(codes))
-        if not size:
-            return np.zeros(0, np.int64)
-        runs = np.full(len(codes) - size + 1, size, np.uint64)  # shorter runs differ from the start
-        for k in range(size):
-            runs = _mix(runs * np.uint64(0x9E3779B97F4A7C15) + codes[k:len(codes) - size + 1 + k])
-        runs.sort()
-        return runs[np.concatenate([[True], runs[1:] != runs[:-1]])].view(np.int64)
+        self.size = size
+        self.factors = _powers(0xC2B2AE3D27D4EB4F, size)
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        words = Words(texts, lower=True)
+        codes, size = words.hashes, self.size
+        runs = np.zeros(max(len(codes) - size + 1, 0), np.uint64)
+        for k, factor in enumerate(self.factors):
+            runs += codes[k:k + len(runs)] * factor
+        runs = _mix(runs + np.uint64(size))
+        out, at = [], 0
+        for n in words.sizes.tolist():
+            if n >= size:
+                mine = np.sort(runs[at:at + n - size + 1].view(np.int64))
+                out.append(mine[np.concatenate([[True], mine[1:] != mine[:-1]])])
+            elif n:  # the whole text; shorter runs differ from the start
+                out.append(_mix((codes[at:at + n] * self.factors[:n]).sum(keepdims=True) + np.uint64(n)).view(np.int64))
+            else:
+                out.append(np.zeros(0, np.int64))
+            at += n
+        return out
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    return Shingler(size)(text)
+    return Shingler(size)([text])[0]
 
 
 def bitmap(codes: np.ndarray) -> bytes:
@@ -83,8 +94,9 @@ def sketch(docs: DataFrame, size: int) -> np.ndarray:
     def run(batches):
         shingler, counts = Shingler(size), np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                np.add.at(counts, _slots(shingler(text.as_py())), 1)
+            for at in range(0, batch.num_rows, SLICE):
+                got = shingler(batch.column(0).slice(at, SLICE).to_pylist())
+                counts += np.bincount(_slots(np.concatenate(got)), minlength=1 << SLOT_BITS)
         spots = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(spots), pa.array(counts[spots])], names=["slot", "c"])
 
@@ -103,14 +115,14 @@ def sets_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
         def prefix(codes: np.ndarray) -> list[int]:
             room = len(codes) - -(-percent * len(codes) // 100) + 1 if len(codes) else 0
-            return codes[np.lexsort((codes, common[_slots(codes)]))[:room]].tolist()
+            return codes[np.argsort(common[_slots(codes)], kind="stable")[:room]].tolist()  # codes come sorted
 
         def fn(texts):
-            got = [shingler(t) for t in texts]
+            got = shingler(texts)
             return [[len(g) for g in got], [prefix(g) for g in got], [bitmap(g) for g in got]]
         return fn
 
-    return map_rows(docs, ["text"], fields("n long, prefix longs, bits binary"), setup).drop("text")
+    return map_rows(docs, ["text"], fields("n long, prefix longs, bits binary"), setup, slice_rows=SLICE).drop("text")
 
 
 def _tree(lo: int, hi: int, comps, sizes, bits) -> tuple:
@@ -386,11 +398,11 @@ def _sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> Dat
         shingler = Shingler(size)
 
         def fn(texts):
-            got = [shingler(t) for t in texts]
+            got = shingler(texts)
             return [[len(g) for g in got], [g.tobytes() for g in got], [signature(g) for g in got]]
         return fn
 
-    return map_rows(texts.select("key", "text"), ["text"], fields("n long, codes binary, sign binary"), setup, slice_rows=128).drop("text")
+    return map_rows(texts.select("key", "text"), ["text"], fields("n long, codes binary, sign binary"), setup, slice_rows=SLICE).drop("text")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import common, decontaminate, html, jaccard, maxent, neighbours, pieces, quality, secrets, substrings, toxicity
 from strata.llm.common import load, words_of
+from strata.llm.words import Words
 
 SF = "/root/testdata/sf0.001"
 # A column name that clashes with one that an operator makes.
@@ -60,6 +61,20 @@ def test_jaccard_equals_brute_force(docs):
     assert got == sorted(want, key=str)
 
 
+def test_words_of_many_texts_equal_those_of_each():
+    r = random.Random(13)
+    texts = [None, "", " ", "a", " A", "a" * 8, "a" * 9, "b" * 256 + "\t" + "b" * 257 + " " + "B" * 256]
+    texts += ["".join(r.choice(" \t\n\x0b\f\r\x1c\x85abABé中\U0001F600") for _ in range(r.randrange(60))) for _ in range(300)]
+    got = Words(texts, lower=True)
+    want = [common.word_bytes(t, lower=True) for t in texts]
+    flat = [w for ws in want for w in ws]
+    assert got.sizes.tolist() == list(map(len, want)) and [got.word(i) for i in range(len(flat))] == flat
+    assert len(set(zip(flat, got.hashes.tolist()))) == len(set(flat)) == len(set(got.hashes.tolist()))
+    for ws, codes, text in zip(want, jaccard.Shingler(5)(texts), texts):
+        assert len(codes) == len({tuple(ws[i:i + 5]) for i in range(max(1, len(ws) - 4))} if ws else ())
+        assert (codes[1:] > codes[:-1]).all() and (jaccard.shingles(text) == codes).all()
+
+
 def test_signature_tree_loses_no_pair():
     r = np.random.default_rng(4)
     sets = [set(r.choice(60, r.integers(5, 40), replace=False).tolist()) for _ in range(150)]
