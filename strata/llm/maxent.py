@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, drop_shuffles, load, release, remainder, saved, saved_by, word_bytes, words_of
+from strata.llm.common import ascii_lower, drop_shuffles, give_back, giving_back, load, release, remainder, saved, saved_by, words_of
+from strata.llm.words import Words
 
 CLASSES, FEATURES, ROUNDS = 32, 1 << 13, 2
 MIN_COUNT, PRIOR = 32, 32.0
@@ -45,6 +47,8 @@ STEP = 16.0  # word features are stored in steps of 1 / STEP
 CHUNK = 1 << 21  # tokens: the larger a chunk, the fewer rows its vocabulary adds to the joins
 END = "\n"  # no word holds a newline
 PART = 1 << 12  # tokens whose class probabilities are held at a time
+BLOCK = 1 << 13  # words whose counts are packed at a time
+SLICE = 128  # texts whose words are hashed together
 WAVES = 4  # parts in which word features are joined to the chunks: only one part's shuffles are on the disk
 HELD_OUT_DIVISOR, HELD_OUT_REMAINDER = 7, 2
 
@@ -111,12 +115,16 @@ class Weights:
 
 # --- chunks ---
 
-class _Vocabulary(dict):
-    """Words by their number; a new word gets the next one."""
+def _binary(x: np.ndarray) -> pa.Array:
+    """The array's bytes as one binary value, compressed here: so sorts, joins and batches hold and move
+    chunks at a fraction of their size."""
+    x = np.ascontiguousarray(x)
+    return pa.array([x.nbytes.to_bytes(8, "little") + pa.Codec("zstd", 3).compress(x, asbytes=True)], pa.binary())
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
+
+def _bytes(value: pa.Scalar) -> pa.Buffer:
+    held = value.as_buffer()
+    return pa.Codec("zstd").decompress(held[8:], int.from_bytes(held[:8].to_pybytes(), "little"))
 
 
 def _encode(docs: DataFrame, chunk_tokens: int) -> DataFrame:
@@ -125,38 +133,53 @@ def _encode(docs: DataFrame, chunk_tokens: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
 
-        def fresh():
-            return _Vocabulary({b"\n": 0}), [], [], [], 0
-
         def flush():
             nonlocal number
-            hashes = np.fromiter(map(word_hash, vocabulary), np.uint64, len(vocabulary)).view(np.int64)
-            all_codes = np.concatenate(codes)
-            learned = np.concatenate([c for c, x in zip(codes, learn) if x] or [np.zeros(0, np.int32)])
-            seen = np.bincount(learned, minlength=len(vocabulary)).astype(np.int64)
-            sizes = np.array([len(c) for c in codes], np.int64)
+            # Equal hashes are one word; the vocabulary has the end and then each word, by its first occurrence.
+            _, first, code = np.unique(np.concatenate([w.hashes for w in held]), return_index=True, return_inverse=True)
+            order = np.argsort(first)
+            rank = np.empty(len(first), np.int32)
+            rank[order] = np.arange(1, len(first) + 1)
+            first = first[order]
+            bounds = np.cumsum([0, *(len(w.hashes) for w in held)])
+            owner = np.searchsorted(bounds, first, "right") - 1
+            hashes = np.fromiter((word_hash(held[o].word(at)) for o, at in zip(owner.tolist(), (first - bounds[owner]).tolist())), np.uint64, len(first))
+            hashes = np.concatenate([[np.uint64(word_hash(b"\n"))], hashes]).view(np.int64)
+            sizes = np.concatenate([w.sizes for w in held]) + 1
+            ends = np.cumsum(sizes) - 1
+            codes = np.zeros(int(sizes.sum()), np.int32)
+            is_word = np.ones(len(codes), bool)
+            is_word[ends] = False
+            codes[is_word] = rank[code]
+            seen = np.bincount(codes[np.repeat(np.array(learn, bool), sizes)], minlength=len(hashes)).astype(np.int64)
             number += 1
             return pa.RecordBatch.from_arrays([
                 pa.array([number]), pa.array([ids], pa.list_(pa.int64())), pa.array([learn], pa.list_(pa.bool_())),
-                *[pa.array([x.tobytes()], pa.binary()) for x in (sizes, all_codes, hashes, seen)]],
+                *map(_binary, (sizes, codes, hashes, seen))],
                 names=["chunk", "ids", "learn", "sizes", "codes", "hashes", "seen"])
 
-        vocabulary, codes, ids, learn, size = fresh()
+        held, ids, learn, size = [], [], [], 0
         for batch in batches:
-            for i, text, x in zip(*(batch.column(k) for k in range(3))):
-                words = word_bytes(text.as_py(), lower=True)
-                words.append(b"\n")
-                codes.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
-                ids.append(i.as_py())
-                learn.append(x.as_py())
-                size += len(words)
+            at = 0
+            while at < batch.num_rows:
+                i, text, x = (batch.column(k).slice(at, SLICE) for k in range(3))
+                words = Words(text.to_pylist(), lower=True)
+                room = int(np.searchsorted(np.cumsum(words.sizes + 1), chunk_tokens - size)) + 1  # the text that fills the chunk is its last
+                if room < len(i):
+                    i, text, x = (c.slice(0, room) for c in (i, text, x))
+                    words = Words(text.to_pylist(), lower=True)
+                held.append(words)
+                ids += i.to_pylist()
+                learn += x.to_pylist()
+                size += int(words.sizes.sum()) + len(i)
+                at += len(i)
                 if size >= chunk_tokens:
                     yield flush()
-                    vocabulary, codes, ids, learn, size = fresh()
-        if codes:
+                    held, ids, learn, size = [], [], [], 0
+        if held:
             yield flush()
 
-    return docs.mapInArrow(run, "chunk long, ids array<long>, learn array<boolean>, sizes binary, codes binary, hashes binary, seen binary")
+    return docs.mapInArrow(giving_back(run), "chunk long, ids array<long>, learn array<boolean>, sizes binary, codes binary, hashes binary, seen binary")
 
 
 def _vocabulary(chunks: DataFrame) -> DataFrame:
@@ -165,7 +188,7 @@ def _vocabulary(chunks: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                h, n = (np.frombuffer(batch.column(k)[i].as_py(), np.int64) for k in (1, 2))
+                h, n = (np.frombuffer(_bytes(batch.column(k)[i]), np.int64) for k in (1, 2))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), batch.column(0)[i].as_py())), pa.array(np.arange(len(h))),
                                                   pa.array(h), pa.array(n)], names=["chunk", "code", "h", "n"])
 
@@ -193,22 +216,27 @@ def _vocabulary(chunks: DataFrame) -> DataFrame:
         if held is not None:
             yield out(*held)
 
-    rows = chunks.select("chunk", "hashes", "seen").mapInArrow(run, "chunk long, code long, h long, n long")
-    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(total, "chunk long, code long, h long, c long, first boolean")
+    rows = chunks.select("chunk", "hashes", "seen").mapInArrow(giving_back(run), "chunk long, code long, h long, n long")
+    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(giving_back(total), "chunk long, code long, h long, c long, first boolean")
 
 
 def _by_chunk(rows: DataFrame, names: list[str]) -> DataFrame:
     """``(chunk, code, *names)`` rows (numbers, or binary values of one length) as one row a chunk, by code."""
-    binary = {n: dict(rows.dtypes)[n] == "binary" for n in names}
+    def values(column: pa.Array) -> np.ndarray:
+        """The column's numbers, or its binary values as rows of a matrix."""
+        if not pa.types.is_binary(column.type):
+            return column.to_numpy()
+        bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+        return np.frombuffer(column.buffers()[2], np.int8)[bounds[0]:bounds[-1]].reshape(len(column), -1)
 
     def run(batches):
         chunk, parts = None, []
 
         def flush():
-            values = [np.concatenate([p[k] for p in parts]) if k == 0 or not binary[names[k - 1]]
-                      else np.frombuffer(b"".join(b for p in parts for b in p[k]), np.int8) for k in range(len(names) + 1)]
-            return pa.RecordBatch.from_arrays([pa.array([chunk]), *[pa.array([v.tobytes()], pa.binary()) for v in values]],
-                                              names=["chunk", "code", *names])
+            code = np.concatenate([p[0] for p in parts])
+            order = np.argsort(code)
+            rest = [np.concatenate([p[k] for p in parts])[order] for k in range(1, len(names) + 1)]
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), *map(_binary, (code[order], *rest))], names=["chunk", "code", *names])
 
         for batch in batches:
             keys = batch.column(0).to_numpy()
@@ -220,13 +248,13 @@ def _by_chunk(rows: DataFrame, names: list[str]) -> DataFrame:
                     yield flush()
                     parts = []
                 chunk = int(keys[a])
-                columns = [batch.column(k).slice(a, z - a) for k in range(1, len(names) + 2)]
-                parts.append([c.to_pylist() if k and binary[names[k - 1]] else c.to_numpy() for k, c in enumerate(columns)])
+                parts.append([values(batch.column(k).slice(a, z - a)) for k in range(1, len(names) + 2)])
         if parts:
             yield flush()
 
-    return (rows.select("chunk", "code", *names).repartition("chunk").sortWithinPartitions("chunk", "code")
-            .mapInArrow(run, ", ".join(["chunk long", "code binary", *[f"{n} binary" for n in names]])))
+    # Sorted by one number only, as Spark sorts those fastest; each chunk's codes are put in order above.
+    return (rows.select("chunk", "code", *names).repartition("chunk").sortWithinPartitions("chunk")
+            .mapInArrow(giving_back(run), ", ".join(["chunk long", "code binary", *[f"{n} binary" for n in names]])))
 
 
 class Chunk:
@@ -238,18 +266,25 @@ class Chunk:
         self.codes = np.frombuffer(r["codes"], np.int32)
         self.hashes = np.frombuffer(r["hashes"], np.int64)
         self.counts = np.frombuffer(r["c"], np.int64)
+        self.held = self.counts.astype(np.float32) + np.float32(PRIOR)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.one = self._shifted(1)
         self.two = self._shifted(2)
         self.top, self.sub = class_of(self.hashes)
         # Row 0 of the tables (previous word, skip) is that of words without features.
         self.rows = np.zeros(len(self.hashes), np.int32)
-        table = np.zeros((1, 4 * CLASSES), np.int8)
+        features = np.zeros((0, 4 * CLASSES), np.int8)
         if r.get("features") is not None:
-            words = np.frombuffer(r["words"], np.int64)
-            table = np.concatenate([table, np.frombuffer(r["features"], np.int8).reshape(-1, 4 * CLASSES)])
-            self.rows[words] = np.arange(1, len(words) + 1)
-        self.tables = [np.ascontiguousarray(table[:, k * 2 * CLASSES:(k + 1) * 2 * CLASSES]) for k in (0, 1)]
+            features = np.frombuffer(r["features"], np.int8).reshape(-1, 4 * CLASSES)
+            self.rows[np.frombuffer(r["words"], np.int64)] = np.arange(1, len(features) + 1)
+        # By level (class, subclass) and kind (previous word, skip).
+        self.tables = [[self._table(features, (2 * kind + level) * CLASSES) for kind in (0, 1)] for level in (0, 1)]
+
+    @staticmethod
+    def _table(features: np.ndarray, first: int) -> np.ndarray:
+        out = np.zeros((len(features) + 1, CLASSES), np.int8)
+        out[1:] = features[:, first:first + CLASSES]
+        return out
 
     def _shifted(self, back: int) -> np.ndarray:
         """The token ``back`` places before each one of the same text; the end (0) where there is none."""
@@ -259,53 +294,77 @@ class Chunk:
             out[self.starts[self.sizes > k] + k] = 0
         return out
 
-    def said(self, at, w: Weights, own: bool = True) -> list[np.ndarray]:
-        """What the words before the tokens ``at`` (places or a slice) say, by kind, for all classes
-        and then all subclasses; without ``own``, the token's own occurrence is taken out of it."""
-        out = []
-        for kind, words in enumerate((self.one[at], self.two[at])):
-            row = self.rows[words]
-            x = self.tables[kind][row] * np.float32(1 / STEP)
-            if not own:
-                n, held = np.arange(len(x)), self.counts[words].astype(np.float32) + np.float32(PRIOR)
-                for level, cls in enumerate((self.top, self.sub)):
-                    cls = cls[self.codes[at]]
-                    spot = level * CLASSES + cls
-                    p, mine = w.share[level][cls], x[n, spot]
-                    rest = np.maximum(np.exp(mine) * p * held - 1, 0.5 * p * PRIOR)
-                    x[n, spot] = np.where(row > 0, np.log(rest / ((held - 1) * p)), mine)
-            out.append(x)
-        return out
-
     def pairs(self, at) -> np.ndarray:
         """The hashed feature of the two words before each token."""
         h = self.hashes.view(np.uint64)
         return _slot(h[self.one[at]] * np.uint64(31) + h[self.two[at]] * np.uint64(7), 37)
 
-    def logits(self, w: Weights, at, said: list[np.ndarray], pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of all classes, and of all subclasses of each token's class.  Small enough for ``exp``."""
-        z = said[0] * w.scale[:, 0].ravel()
-        z += said[1] * w.scale[:, 1].ravel()
-        outer, inner = z[:, :CLASSES], z[:, CLASSES:]
-        outer += w.hashed[0]
-        outer += w.hashed[pair]
-        inner += w.inner
-        inner += w.leaf[self.top[self.codes[at]]]
-        return outer, inner
-
-    def log_likelihood(self, w: Weights, at) -> np.ndarray:
+    def own(self, w: Weights, level: int, kind: int, words: np.ndarray, row: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the ``words`` before some tokens say for these tokens' own classes: as the tables have it,
+        and with the token's own occurrence taken out."""
+        mine = self.tables[level][kind][row, cls] * np.float32(1 / STEP)
+        held, p = self.held[words], w.share[level][cls]
+        rest = np.maximum(np.exp(mine) * p * held - 1, 0.5 * p * PRIOR)
+        return mine, np.where(row > 0, np.log(rest / ((held - 1) * p)), mine).astype(np.float32)
+
+    def log_likelihood(self, w: Weights, at: slice) -> np.ndarray:
         """Natural log probability of each token's class and subclass."""
-        outer, inner = self.logits(w, at, self.said(at, w), self.pairs(at))
-        codes = self.codes[at]
-        n = np.arange(len(codes))
-        return (outer[n, self.top[codes]].astype(np.float64) + inner[n, self.sub[codes]]
-                - np.log(np.exp(outer).sum(axis=1)) - np.log(np.exp(inner).sum(axis=1)))
+        start, stop, _ = at.indices(len(self.codes))
+        out = np.zeros(stop - start)
+        for level, cls in enumerate((self.top, self.sub)):
+            factors = Factors(self, w, level)
+            for a in range(start, stop, PART):
+                part = slice(a, min(a + PART, stop))
+                codes = self.codes[part]
+                z = factors(self.rows[self.one[part]], self.rows[self.two[part]], self.top[codes] if level else self.pairs(part))
+                out[a - start:part.stop - start] += np.log(z[np.arange(len(codes)), cls[codes]] / _row_sums(z))
+            factors = z = None  # before the next level's are made
+        return out
+
+
+class Factors:
+    """Unnormalised probabilities of one level's classes, as products: the exponential of what each word
+    says is taken once a word of the chunk, that of hashed features and biases once in all.  Small enough for ``exp``."""
+
+    def __init__(self, chunk: Chunk, w: Weights, level: int):
+        self.words = [t * (scale * np.float32(1 / STEP)) for t, scale in zip(chunk.tables[level], w.scale[level])]
+        for x in self.words:
+            np.exp(x, out=x)
+        self.other = np.exp(w.leaf + w.inner) if level else np.exp(w.hashed + w.hashed[0])
+        self.room = np.empty((3, PART, CLASSES), np.float32)  # written anew for each part: fresh pages cost more than the sums
+
+    def __call__(self, one: np.ndarray, two: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """From the rows of the two words before and the pair's feature, or for subclasses the class."""
+        z, x = self.room[:2, :len(one)]
+        _rows(self.words[0], one, z)
+        z *= _rows(self.words[1], two, x)
+        z *= _rows(self.other, other, x)
+        return z
+
+
+def _rows(table: np.ndarray, at: np.ndarray, out: np.ndarray) -> np.ndarray:
+    return table.take(at, axis=0, out=out, mode="clip")  # no row is out of bounds; only so it writes straight to ``out``
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def _column_sums(x: np.ndarray, y: np.ndarray | None = None) -> np.ndarray:
+    """Sums of the columns of ``x``, or of ``x * y``; many rows are taken as one long row."""
+    n, wide = len(x) // 16 * 16, 16 * CLASSES
+    if y is None:
+        return x[:n].reshape(-1, wide).sum(axis=0).reshape(16, CLASSES).sum(axis=0) + x[n:].sum(axis=0)
+    return (np.einsum("ij,ij->j", x[:n].reshape(-1, wide), y[:n].reshape(-1, wide)).reshape(16, CLASSES).sum(axis=0)
+            + np.einsum("ij,ij->j", x[n:], y[n:]))
 
 
 def _each(batches) -> Iterator[Chunk]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield Chunk({n: batch.column(n)[i].as_py() for n in batch.schema.names})
+            values = {n: batch.column(n)[i] for n in batch.schema.names}
+            yield Chunk({n: _bytes(v) if v.is_valid and pa.types.is_binary(v.type) else v.as_py() for n, v in values.items()})
+            give_back()
 
 
 # --- what words say ---
@@ -319,24 +378,26 @@ def _features(chunks: DataFrame, leaf: np.ndarray) -> DataFrame:
     def count(batches):
         for chunk in _each(batches):
             often = np.flatnonzero(chunk.counts >= MIN_COUNT)
-            place = np.full(len(chunk.hashes), -1, np.int64)
+            place = np.full(len(chunk.hashes), -1, np.int32)
             place[often] = np.arange(len(often))
             learn = np.repeat(chunk.learn, chunk.sizes)
             total = np.zeros((len(often), 4 * CLASSES), np.int32)
             for kind, w in enumerate((chunk.one, chunk.two)):
                 at = place[w]
                 use = learn & (at >= 0)
-                at, codes = at[use] * CLASSES, chunk.codes[use]
+                at, codes = at[use] * np.int64(CLASSES), chunk.codes[use]
                 for level, cls in enumerate((chunk.top, chunk.sub)):
                     first = (2 * kind + level) * CLASSES
                     total[:, first:first + CLASSES] = np.bincount(at + cls[codes], minlength=len(often) * CLASSES).reshape(-1, CLASSES)
-            word, spot = np.nonzero(total)
-            packed = spot << 32 | total[word, spot]
-            bounds = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1, [len(word)]])
-            if len(word):
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(chunk.hashes[often[word[bounds[:-1]]]]),
-                    pa.array([packed[a:z].tobytes() for a, z in zip(bounds[:-1], bounds[1:])], pa.binary())], names=["h", "n"])
+            hashes = chunk.hashes[often]
+            at = codes = use = learn = chunk = None
+            for a in range(0, len(often), BLOCK):  # packed, all counts would take a multiple of the table's memory
+                word, spot = np.nonzero(total[a:a + BLOCK])
+                packed = spot << 32 | total[a + word, spot]
+                bounds = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1, [len(word)]])
+                if len(word):
+                    values = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((8 * bounds).astype(np.int32)), pa.py_buffer(packed)])
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes[a + word[bounds[:-1]]]), values], names=["h", "n"])
 
     def ratios(n: np.ndarray) -> np.ndarray:
         parts, p = n.reshape(len(n), 4, CLASSES), share.reshape(4, CLASSES)
@@ -370,15 +431,69 @@ def _features(chunks: DataFrame, leaf: np.ndarray) -> DataFrame:
         if word is not None:
             yield emit([word], total[None])
 
-    counted = chunks.select("ids", "learn", "sizes", "codes", "hashes", "c").mapInArrow(count, "h long, n binary")
-    return counted.repartition("h").sortWithinPartitions("h").mapInArrow(add, "h long, features binary")
+    counted = chunks.select("ids", "learn", "sizes", "codes", "hashes", "c").mapInArrow(giving_back(count), "h long, n binary")
+    return counted.repartition("h").sortWithinPartitions("h").mapInArrow(giving_back(add), "h long, features binary")
 
 
 # --- training and scoring ---
 
+@contextmanager
+def _one_chunk_a_batch(spark) -> Iterator[None]:
+    """Chunks with their word features go to Python one by one: Spark would put all of a task's into one
+    batch, held twice outside the executor's heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _COLUMNS = ("ids", "learn", "sizes", "codes", "hashes", "c", "words", "features")
 
 
+def _gradients(chunk: Chunk, w: Weights, turn: int, turns: int, seen: np.ndarray, said: np.ndarray) -> None:
+    """Adds the chunk's part of :func:`_round` to ``seen`` and ``said``."""
+    hashed = FEATURES * CLASSES
+    mine = chunk.learn & (np.arange(len(chunk.learn)) % turns == turn)
+    chosen = np.flatnonzero(np.repeat(mine, chunk.sizes)).astype(np.int32)
+    if not len(chosen):
+        return
+    pair = np.concatenate([chunk.pairs(chosen[i:i + PART]).astype(np.uint16) for i in range(0, len(chosen), PART)])
+    order = np.argsort(pair, kind="stable")
+    chosen, pair, order = chosen[order], pair[order], None  # so that tokens of one pair stand together
+    seen[:hashed] += np.bincount(pair * np.int64(CLASSES) + chunk.top[chunk.codes[chosen]], minlength=hashed)
+    for level, classes in enumerate((chunk.top, chunk.sub)):
+        factors = Factors(chunk, w, level)
+        bytes_ = np.empty((PART, CLASSES), np.int8)
+        bias = 4 * CLASSES + hashed if level else 0
+        for i in range(0, len(chosen), PART):
+            at = chosen[i:i + PART]
+            codes, words = chunk.codes[at], (chunk.one[at], chunk.two[at])
+            cls, n = classes[codes], np.arange(len(at))
+            rows = [chunk.rows[x] for x in words]
+            p = factors(*rows, chunk.top[codes] if level else pair[i:i + PART])
+            own = [chunk.own(w, level, kind, words[kind], rows[kind], cls) for kind in (0, 1)]
+            p[n, cls] *= np.exp(sum((new - old) * w.scale[level, kind][cls] for kind, (old, new) in enumerate(own)))
+            p /= _row_sums(p)[:, None]
+            seen[bias:bias + CLASSES] += np.bincount(cls, minlength=CLASSES)
+            said[bias:bias + CLASSES] += _column_sums(p)
+            if not level:
+                starts = np.flatnonzero(np.diff(pair[i:i + PART].astype(np.int32), prepend=-1))
+                said[:hashed].reshape(FEATURES, CLASSES)[pair[i:i + PART][starts]] += np.add.reduceat(p, starts, axis=0)
+            for kind in (0, 1):
+                x, q = factors.room[1:, :len(at)]
+                np.multiply(_rows(chunk.tables[level][kind], rows[kind], bytes_[:len(at)]), np.float32(1 / STEP), out=x)
+                x[n, cls] = own[kind][1]
+                np.multiply(p, x, out=q)
+                first = hashed + (2 * level + kind) * CLASSES
+                seen[first:first + CLASSES] += np.bincount(cls, own[kind][1], CLASSES) - _column_sums(q)
+                x -= q
+                said[first:first + CLASSES] += _column_sums(q, x)
+        factors = p = x = q = None  # before the next level's are made
+
+
 def _round(chunks: DataFrame, w: Weights, turn: int, turns: int) -> dict[str, np.ndarray]:
     """Gradients over the training texts whose turn it is, added up by Spark: observed and expected counts
     of the hashed features and biases, and slope and curvature of each scale."""
@@ -389,39 +504,17 @@ def _round(chunks: DataFrame, w: Weights, turn: int, turns: int) -> dict[str, np
         w = Weights.of(shared.value)
         seen, said = np.zeros(hashed + 5 * CLASSES), np.zeros(hashed + 5 * CLASSES)
         for chunk in _each(batches):
-            mine = chunk.learn & (np.arange(len(chunk.learn)) % turns == turn)
-            learn = np.repeat(mine, chunk.sizes)
-            chosen = np.flatnonzero(learn)
-            for i in range(0, len(chosen), PART):
-                at = chosen[i:i + PART]
-                words, pair = chunk.said(at, w, own=False), chunk.pairs(at)
-                n = np.arange(len(at))
-                for level, (z, cls) in enumerate(zip(chunk.logits(w, at, words, pair), (chunk.top, chunk.sub))):
-                    cls, p = cls[chunk.codes[at]], np.exp(z)
-                    p /= p.sum(axis=1, keepdims=True)
-                    every = p.sum(axis=0)
-                    if level == 0:
-                        seen[:CLASSES] += np.bincount(cls, minlength=CLASSES)
-                        said[:CLASSES] += every
-                        np.add.at(seen, pair * CLASSES + cls, 1)
-                        order = np.argsort(pair, kind="stable")
-                        names, starts = np.unique(pair[order], return_index=True)
-                        said[:hashed].reshape(FEATURES, CLASSES)[names] += np.add.reduceat(p[order], starts, axis=0)
-                    else:
-                        first = hashed + 4 * CLASSES
-                        seen[first:] += np.bincount(cls, minlength=CLASSES)
-                        said[first:] += every
-                    for kind in (0, 1):
-                        x = words[kind][:, level * CLASSES:(level + 1) * CLASSES]
-                        q = p * x
-                        first = hashed + (2 * level + kind) * CLASSES
-                        seen[first:first + CLASSES] += np.bincount(cls, x[n, cls], CLASSES) - q.sum(axis=0)
-                        said[first:first + CLASSES] += np.einsum("ij,ij->j", q, x) - np.einsum("ij,ij->j", q, q)
+            _gradients(chunk, w, turn, turns, seen, said)
+            chunk = None
         spots = np.flatnonzero((seen != 0) | (said != 0))
         yield pa.RecordBatch.from_arrays([pa.array(spots), pa.array(seen[spots]), pa.array(said[spots])], names=["spot", "seen", "said"])
 
-    got = (chunks.select(*_COLUMNS).mapInArrow(run, "spot long, seen double, said double")
-           .groupBy("spot").agg(F.sum("seen").alias("seen"), F.sum("said").alias("said")).toArrow())  # a fixed number of spots
+    sums = (chunks.select(*_COLUMNS).mapInArrow(giving_back(run), "spot long, seen double, said double")
+            .groupBy("spot").agg(F.sum("seen").alias("seen"), F.sum("said").alias("said")))
+    with _one_chunk_a_batch(chunks.sparkSession):
+        sums = saved(sums, "lm-round")
+    got = sums.toArrow()  # a fixed number of spots
+    release(sums)
     seen, said = np.zeros(hashed + 5 * CLASSES), np.zeros(hashed + 5 * CLASSES)
     spots = got.column("spot").to_numpy()
     seen[spots], said[spots] = got.column("seen").to_numpy(), got.column("said").to_numpy()
@@ -435,7 +528,6 @@ def train(chunks: DataFrame, w: Weights, rounds: int = ROUNDS) -> Weights:
     text has its turn in one of them, so all are learned from and none is read for nothing."""
     for turn in range(rounds):
         got = _round(chunks, w, turn, rounds)
-        drop_shuffles(chunks.sparkSession)
         for name, weights in (("hashed", w.hashed), ("inner", w.inner)):
             seen, said = got[name]
             weights += (np.clip((seen - said) / (said + 4.0), -0.9, 4.0) / 2.0).astype(np.float32)
@@ -449,8 +541,8 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     the condition ``training`` holds are learned from."""
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                      F.coalesce(training, F.lit(False)).alias("learn"))
-    encoded = saved_by("chunk", [_encode(docs, chunk_tokens)], "lm_encoded", "zstd")
-    vocabulary = saved(_vocabulary(encoded), "lm-vocabulary")
+    encoded = saved_by("chunk", [_encode(docs, chunk_tokens)], "lm_encoded")
+    vocabulary = saved(_vocabulary(encoded), "lm-vocabulary", "zstd")
     drop_shuffles(df.sparkSession)
     leaf = np.ones((CLASSES, CLASSES))  # a slot for unseen tokens in each
     n_all = v_all = 0
@@ -466,7 +558,7 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     often = vocabulary.where(F.col("c") >= MIN_COUNT).select("chunk", "code", "h")
     wave = F.pmod(F.xxhash64("chunk"), F.lit(WAVES))
     words = saved_by("chunk", [_by_chunk(often.where(wave == k).join(features, "h"), ["features"]).withColumnRenamed("code", "words")
-                               for k in range(WAVES)], "lm_words", "zstd")
+                               for k in range(WAVES)], "lm_words")
     release(vocabulary, features)
     # Joined again in each pass, without a shuffle as all three tables lie by chunk: a third copy of
     # the chunks, or moving them in each pass, would take more disk than all the rest.
@@ -477,9 +569,7 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     def run(batches):
         w = Weights.of(shared.value)
         for chunk in _each(batches):
-            per = np.zeros(len(chunk.codes))
-            for a in range(0, len(chunk.codes), PART):
-                per[a:a + PART] = chunk.log_likelihood(w, slice(a, a + PART))
+            per = chunk.log_likelihood(w, slice(None))
             seen = np.log10(chunk.counts + 1.0)
             inside = (seen - rooms[chunk.top, chunk.sub])[chunk.codes]
             base = (seen - math.log10(n_all + v_all + 1))[chunk.codes]
@@ -488,9 +578,12 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
                 pa.array(chunk.ids, pa.int64()), pa.array(~chunk.learn), pa.array(chunk.sizes), pa.array(sums[2]),
                 pa.array(np.full(len(chunk.ids), n_all, np.int64)), pa.array(sums[1]), pa.array(sums[0])],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            chunk = None
 
-    return chunks.select(*_COLUMNS).mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                                                    "base_score double, score double")
+    scored = chunks.select(*_COLUMNS).mapInArrow(giving_back(run), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                                                                   "base_score double, score double")
+    with _one_chunk_a_batch(df.sparkSession):
+        return saved(scored, "lm-scores")
 
 
 def op8_maxent(spark, sf_dir: str) -> DataFrame:

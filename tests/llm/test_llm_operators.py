@@ -524,6 +524,37 @@ def test_language_model_joins_its_chunks_without_a_shuffle(spark, monkeypatch):
     assert "SortMergeJoin" in plans[0] and "Exchange" not in plans[0]
 
 
+def test_language_model_reads_its_chunks_one_by_one(spark, monkeypatch):
+    name, seen, kept = "spark.sql.execution.arrow.maxRecordsPerBatch", [], maxent.saved
+    monkeypatch.setattr(maxent, "saved", lambda df, tag, *more: seen.append((tag, spark.conf.get(name))) or kept(df, tag, *more))
+    before = spark.conf.get(name)
+    rows = [(i, f"a{i % 3} b{i % 2} c") for i in range(50)]
+    assert maxent.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 7 != 2).count() == 50
+    assert [tag for tag, size in seen if size == "1"] == ["lm-round"] * maxent.ROUNDS + ["lm-scores"] and spark.conf.get(name) == before != "1"
+
+
+def test_language_model_factors_equal_the_plain_softmax():
+    r = np.random.default_rng(12)
+    w = maxent.Weights(r.integers(1, 50, (maxent.CLASSES, maxent.CLASSES)).astype(float))
+    w.hashed += r.normal(0, 0.3, w.hashed.shape).astype(np.float32)
+    w.inner += r.normal(0, 0.3, w.inner.shape).astype(np.float32)
+    w.scale += r.normal(0, 0.1, w.scale.shape).astype(np.float32)
+    hashes, codes = r.integers(-(1 << 62), 1 << 62, 60), r.integers(0, 60, 500).astype(np.int32)
+    features = r.integers(-60, 60, (40, 4 * maxent.CLASSES)).astype(np.int8)
+    chunk = maxent.Chunk({"ids": [1, 2], "learn": [True, True], "sizes": np.array([200, 300]).tobytes(), "codes": codes.tobytes(), "hashes": hashes.tobytes(),
+                          "c": np.full(60, 100).tobytes(), "words": np.arange(40).tobytes(), "features": features.tobytes()})
+    said = np.concatenate([features, np.zeros((20, 4 * maxent.CLASSES))]).reshape(60, 2, 2, maxent.CLASSES) / maxent.STEP
+    top, sub = maxent.class_of(hashes)
+    want = []
+    for i, code in enumerate(codes):
+        one, two = (codes[i - k] if i - k >= 200 * (i >= 200) else 0 for k in (1, 2))
+        z = [said[one, 0, k] * w.scale[k, 0] + said[two, 1, k] * w.scale[k, 1] for k in (0, 1)]
+        z[0] = z[0] + w.hashed[0] + w.hashed[chunk.pairs(slice(i, i + 1))[0]]
+        z[1] = z[1] + w.inner + w.leaf[top[code]]
+        want.append(sum(x[c] - np.log(np.exp(x).sum()) for x, c in zip(z, (top[code], sub[code]))))
+    assert chunk.log_likelihood(w, slice(None)) == pytest.approx(want, abs=1e-4)
+
+
 def test_a_task_gives_its_freed_memory_back():
     import re
 
