@@ -15,7 +15,8 @@ occurrence is taken out of the word features, or they would seem to know more th
 
 The texts are tokenised once, into chunks of about ``CHUNK`` tokens that hold 32-bit numbers of the chunk's
 own vocabulary.  Counts and word features are joined to the vocabularies, not to the tokens, so no row for
-a text and word is ever made, and a word in every text is one row a chunk.  All later passes
+a text and word is ever made, and a word in every text is one row a chunk.  A chunk and what belongs to it
+are stored as rows of bounded size, its pieces, and put together where they are read.  All later passes
 read chunks and work on numpy arrays; only weights and class totals reach the driver.
 
 Tokens are compared by 64-bit hashes, up to collisions.  Null and empty texts have one token, the end;
@@ -28,7 +29,7 @@ id and text columns are read, so further columns of any name have no effect.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -48,6 +49,10 @@ CHUNK = 1 << 21  # tokens: the larger a chunk, the fewer rows its vocabulary add
 END = "\n"  # no word holds a newline
 PART = 1 << 12  # tokens whose class probabilities are held at a time
 BLOCK = 1 << 13  # words whose counts are packed at a time
+# A chunk is kept as pieces, rows of well under half a MB: larger objects fragment an executor's heap.  A piece has so many
+# words of the vocabulary with what belongs to them, and so many tokens and texts.
+PIECE_WORDS, PIECE_TOKENS, PIECE_TEXTS = 1 << 12, 1 << 15, 1 << 12
+BATCH_BYTES = 1 << 20  # of the batches that go to Python
 SLICE = 128  # texts whose words are hashed together
 WAVES = 4  # parts in which word features are joined to the chunks: only one part's shuffles are on the disk
 HELD_OUT_DIVISOR, HELD_OUT_REMAINDER = 7, 2
@@ -127,9 +132,41 @@ def _bytes(value: pa.Scalar) -> pa.Buffer:
     return pa.Codec("zstd").decompress(held[8:], int.from_bytes(held[:8].to_pybytes(), "little"))
 
 
+def _piece(chunk: int, part: int, fields: dict) -> pa.RecordBatch:
+    """A row ``(chunk, part, *fields)``; lists stay lists, what is empty is null."""
+    lists = {"ids": pa.list_(pa.int64()), "learn": pa.list_(pa.bool_())}
+    row = [pa.array([x or None], lists[n]) if n in lists else _binary(x) if len(x) else pa.nulls(1, pa.binary()) for n, x in fields.items()]
+    return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([part]), *row], names=["chunk", "part", *fields])
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> dict:
+    """The fields of a chunk from its pieces, which come in any order."""
+    found: dict[str, list] = {}
+    for batch in batches:
+        parts = batch.column("part").to_pylist()
+        for name, column in zip(batch.schema.names, batch.columns):
+            if name not in ("chunk", "part"):
+                values = [_bytes(v) if v.is_valid else b"" for v in column] if pa.types.is_binary(column.type) else [v or [] for v in column.to_pylist()]
+                found.setdefault(name, []).extend(zip(parts, values))
+    out = {}
+    for name in list(found):
+        values = [v for _, v in sorted(found.pop(name), key=lambda x: x[0])]
+        out[name] = [x for v in values for x in v] if isinstance(values[0], list) else b"".join(values) or None
+    return out
+
+
+def _over_chunks(pieces: DataFrame, run: Callable[[Chunk], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``run`` on each chunk, put together from its pieces.  These lie by chunk, so nothing is shuffled."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(Chunk(_together(batches)))
+        give_back()
+
+    return pieces.groupBy("chunk").applyInArrow(task, schema)
+
+
 def _encode(docs: DataFrame, chunk_tokens: int) -> DataFrame:
-    """Rows ``(doc_id, text, learn)`` as chunks: the codes of all tokens in the chunk's vocabulary (code 0
-    is the end), the vocabulary's hashes and its counts in the texts to learn from."""
+    """Rows ``(doc_id, text, learn)`` as pieces of chunks: the codes of all tokens in the chunk's vocabulary
+    (code 0 is the end), the vocabulary's hashes and its counts in the texts to learn from."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
 
@@ -153,10 +190,10 @@ def _encode(docs: DataFrame, chunk_tokens: int) -> DataFrame:
             codes[is_word] = rank[code]
             seen = np.bincount(codes[np.repeat(np.array(learn, bool), sizes)], minlength=len(hashes)).astype(np.int64)
             number += 1
-            return pa.RecordBatch.from_arrays([
-                pa.array([number]), pa.array([ids], pa.list_(pa.int64())), pa.array([learn], pa.list_(pa.bool_())),
-                *map(_binary, (sizes, codes, hashes, seen))],
-                names=["chunk", "ids", "learn", "sizes", "codes", "hashes", "seen"])
+            fields = {"ids": (ids, PIECE_TEXTS), "learn": (learn, PIECE_TEXTS), "sizes": (sizes, PIECE_TEXTS), "codes": (codes, PIECE_TOKENS),
+                      "hashes": (hashes, PIECE_WORDS), "seen": (seen, PIECE_WORDS)}
+            for part in range(max(-(-len(x) // n) for x, n in fields.values())):
+                yield _piece(number, part, {name: x[part * n:(part + 1) * n] for name, (x, n) in fields.items()})
 
         held, ids, learn, size = [], [], [], 0
         for batch in batches:
@@ -174,12 +211,12 @@ def _encode(docs: DataFrame, chunk_tokens: int) -> DataFrame:
                 size += int(words.sizes.sum()) + len(i)
                 at += len(i)
                 if size >= chunk_tokens:
-                    yield flush()
+                    yield from flush()
                     held, ids, learn, size = [], [], [], 0
         if held:
-            yield flush()
+            yield from flush()
 
-    return docs.mapInArrow(giving_back(run), "chunk long, ids array<long>, learn array<boolean>, sizes binary, codes binary, hashes binary, seen binary")
+    return docs.mapInArrow(giving_back(run), "chunk long, part long, ids array<long>, learn array<boolean>, sizes binary, codes binary, hashes binary, seen binary")
 
 
 def _vocabulary(chunks: DataFrame) -> DataFrame:
@@ -188,8 +225,9 @@ def _vocabulary(chunks: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                h, n = (np.frombuffer(_bytes(batch.column(k)[i]), np.int64) for k in (1, 2))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), batch.column(0)[i].as_py())), pa.array(np.arange(len(h))),
+                h, n = (np.frombuffer(_bytes(batch.column(k)[i]), np.int64) for k in (2, 3))
+                chunk, part = (batch.column(k)[i].as_py() for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), chunk)), pa.array(np.arange(len(h)) + part * PIECE_WORDS),
                                                   pa.array(h), pa.array(n)], names=["chunk", "code", "h", "n"])
 
     def total(batches):
@@ -216,12 +254,12 @@ def _vocabulary(chunks: DataFrame) -> DataFrame:
         if held is not None:
             yield out(*held)
 
-    rows = chunks.select("chunk", "hashes", "seen").mapInArrow(giving_back(run), "chunk long, code long, h long, n long")
+    rows = chunks.where("hashes is not null").select("chunk", "part", "hashes", "seen").mapInArrow(giving_back(run), "chunk long, code long, h long, n long")
     return rows.repartition("h").sortWithinPartitions("h").mapInArrow(giving_back(total), "chunk long, code long, h long, c long, first boolean")
 
 
 def _by_chunk(rows: DataFrame, names: list[str]) -> DataFrame:
-    """``(chunk, code, *names)`` rows (numbers, or binary values of one length) as one row a chunk, by code."""
+    """``(chunk, code, *names)`` rows (numbers, or binary values of one length) as pieces of chunks, by code."""
     def values(column: pa.Array) -> np.ndarray:
         """The column's numbers, or its binary values as rows of a matrix."""
         if not pa.types.is_binary(column.type):
@@ -235,8 +273,11 @@ def _by_chunk(rows: DataFrame, names: list[str]) -> DataFrame:
         def flush():
             code = np.concatenate([p[0] for p in parts])
             order = np.argsort(code)
-            rest = [np.concatenate([p[k] for p in parts])[order] for k in range(1, len(names) + 1)]
-            return pa.RecordBatch.from_arrays([pa.array([chunk]), *map(_binary, (code[order], *rest))], names=["chunk", "code", *names])
+            code, *rest = (np.concatenate([p[k] for p in parts])[order] for k in range(len(names) + 1))
+            parts.clear()
+            ends = np.append(np.flatnonzero(np.diff(code // PIECE_WORDS)) + 1, len(code)).tolist()
+            for a, z in zip([0, *ends], ends):
+                yield _piece(chunk, int(code[a]) // PIECE_WORDS, {"code": code[a:z], **{n: x[a:z] for n, x in zip(names, rest)}})
 
         for batch in batches:
             keys = batch.column(0).to_numpy()
@@ -245,16 +286,15 @@ def _by_chunk(rows: DataFrame, names: list[str]) -> DataFrame:
                 if a == z:
                     continue
                 if parts and keys[a] != chunk:
-                    yield flush()
-                    parts = []
+                    yield from flush()
                 chunk = int(keys[a])
                 parts.append([values(batch.column(k).slice(a, z - a)) for k in range(1, len(names) + 2)])
         if parts:
-            yield flush()
+            yield from flush()
 
     # Sorted by one number only, as Spark sorts those fastest; each chunk's codes are put in order above.
     return (rows.select("chunk", "code", *names).repartition("chunk").sortWithinPartitions("chunk")
-            .mapInArrow(giving_back(run), ", ".join(["chunk long", "code binary", *[f"{n} binary" for n in names]])))
+            .mapInArrow(giving_back(run), ", ".join(["chunk long", "part long", "code binary", *[f"{n} binary" for n in names]])))
 
 
 class Chunk:
@@ -359,14 +399,6 @@ def _column_sums(x: np.ndarray, y: np.ndarray | None = None) -> np.ndarray:
             + np.einsum("ij,ij->j", x[n:], y[n:]))
 
 
-def _each(batches) -> Iterator[Chunk]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            values = {n: batch.column(n)[i] for n in batch.schema.names}
-            yield Chunk({n: _bytes(v) if v.is_valid and pa.types.is_binary(v.type) else v.as_py() for n, v in values.items()})
-            give_back()
-
-
 # --- what words say ---
 
 def _features(chunks: DataFrame, leaf: np.ndarray) -> DataFrame:
@@ -375,29 +407,28 @@ def _features(chunks: DataFrame, leaf: np.ndarray) -> DataFrame:
     top = leaf.sum(axis=1) / leaf.sum()
     share = np.concatenate([top, leaf.sum(axis=0) / leaf.sum()] * 2)
 
-    def count(batches):
-        for chunk in _each(batches):
-            often = np.flatnonzero(chunk.counts >= MIN_COUNT)
-            place = np.full(len(chunk.hashes), -1, np.int32)
-            place[often] = np.arange(len(often))
-            learn = np.repeat(chunk.learn, chunk.sizes)
-            total = np.zeros((len(often), 4 * CLASSES), np.int32)
-            for kind, w in enumerate((chunk.one, chunk.two)):
-                at = place[w]
-                use = learn & (at >= 0)
-                at, codes = at[use] * np.int64(CLASSES), chunk.codes[use]
-                for level, cls in enumerate((chunk.top, chunk.sub)):
-                    first = (2 * kind + level) * CLASSES
-                    total[:, first:first + CLASSES] = np.bincount(at + cls[codes], minlength=len(often) * CLASSES).reshape(-1, CLASSES)
-            hashes = chunk.hashes[often]
-            at = codes = use = learn = chunk = None
-            for a in range(0, len(often), BLOCK):  # packed, all counts would take a multiple of the table's memory
-                word, spot = np.nonzero(total[a:a + BLOCK])
-                packed = spot << 32 | total[a + word, spot]
-                bounds = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1, [len(word)]])
-                if len(word):
-                    values = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((8 * bounds).astype(np.int32)), pa.py_buffer(packed)])
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes[a + word[bounds[:-1]]]), values], names=["h", "n"])
+    def count(chunk):
+        often = np.flatnonzero(chunk.counts >= MIN_COUNT)
+        place = np.full(len(chunk.hashes), -1, np.int32)
+        place[often] = np.arange(len(often))
+        learn = np.repeat(chunk.learn, chunk.sizes)
+        total = np.zeros((len(often), 4 * CLASSES), np.int32)
+        for kind, w in enumerate((chunk.one, chunk.two)):
+            at = place[w]
+            use = learn & (at >= 0)
+            at, codes = at[use] * np.int64(CLASSES), chunk.codes[use]
+            for level, cls in enumerate((chunk.top, chunk.sub)):
+                first = (2 * kind + level) * CLASSES
+                total[:, first:first + CLASSES] = np.bincount(at + cls[codes], minlength=len(often) * CLASSES).reshape(-1, CLASSES)
+        hashes = chunk.hashes[often]
+        at = codes = use = learn = chunk = None
+        for a in range(0, len(often), BLOCK):  # packed, all counts would take a multiple of the table's memory
+            word, spot = np.nonzero(total[a:a + BLOCK])
+            packed = spot << 32 | total[a + word, spot]
+            bounds = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1, [len(word)]])
+            if len(word):
+                values = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((8 * bounds).astype(np.int32)), pa.py_buffer(packed)])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[a + word[bounds[:-1]]]), values], names=["h", "n"])
 
     def ratios(n: np.ndarray) -> np.ndarray:
         parts, p = n.reshape(len(n), 4, CLASSES), share.reshape(4, CLASSES)
@@ -431,26 +462,29 @@ def _features(chunks: DataFrame, leaf: np.ndarray) -> DataFrame:
         if word is not None:
             yield emit([word], total[None])
 
-    counted = chunks.select("ids", "learn", "sizes", "codes", "hashes", "c").mapInArrow(giving_back(count), "h long, n binary")
+    counted = _over_chunks(chunks, count, "h long, n binary")
     return counted.repartition("h").sortWithinPartitions("h").mapInArrow(giving_back(add), "h long, features binary")
 
 
 # --- training and scoring ---
 
 @contextmanager
-def _one_chunk_a_batch(spark) -> Iterator[None]:
-    """Chunks with their word features go to Python one by one: Spark would put all of a task's into one
-    batch, held twice outside the executor's heap."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def _set(spark, name: str, value: str) -> Iterator[None]:
+    """A setting of ``spark.sql`` for a while."""
+    name = f"spark.sql.{name}"
     before = spark.conf.get(name)
-    spark.conf.set(name, "1")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
-_COLUMNS = ("ids", "learn", "sizes", "codes", "hashes", "c", "words", "features")
+# Rows go to Python in small batches, pieces one by one: Spark would put all of a task's into one batch, held
+# twice outside the executor's heap.
+_BATCH = "execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)
+_ONE = "execution.arrow.maxRecordsPerBatch", "1"
+_BY_CHUNK = "requireAllClusterKeysForCoPartition", "false"  # joins by chunk and part use that tables lie by chunk
 
 
 def _gradients(chunk: Chunk, w: Weights, turn: int, turns: int, seen: np.ndarray, said: np.ndarray) -> None:
@@ -500,18 +534,16 @@ def _round(chunks: DataFrame, w: Weights, turn: int, turns: int) -> dict[str, np
     shared = chunks.sparkSession.sparkContext.broadcast(vars(w))
     hashed = FEATURES * CLASSES
 
-    def run(batches):
-        w = Weights.of(shared.value)
+    def run(chunk):
         seen, said = np.zeros(hashed + 5 * CLASSES), np.zeros(hashed + 5 * CLASSES)
-        for chunk in _each(batches):
-            _gradients(chunk, w, turn, turns, seen, said)
-            chunk = None
+        _gradients(chunk, Weights.of(shared.value), turn, turns, seen, said)
+        chunk = None
         spots = np.flatnonzero((seen != 0) | (said != 0))
         yield pa.RecordBatch.from_arrays([pa.array(spots), pa.array(seen[spots]), pa.array(said[spots])], names=["spot", "seen", "said"])
 
-    sums = (chunks.select(*_COLUMNS).mapInArrow(giving_back(run), "spot long, seen double, said double")
+    sums = (_over_chunks(chunks, run, "spot long, seen double, said double")
             .groupBy("spot").agg(F.sum("seen").alias("seen"), F.sum("said").alias("said")))
-    with _one_chunk_a_batch(chunks.sparkSession):
+    with _set(chunks.sparkSession, *_ONE):
         sums = saved(sums, "lm-round")
     got = sums.toArrow()  # a fixed number of spots
     release(sums)
@@ -541,20 +573,26 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     the condition ``training`` holds are learned from."""
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                      F.coalesce(training, F.lit(False)).alias("learn"))
+    with _set(df.sparkSession, *_BATCH), _set(df.sparkSession, *_BY_CHUNK):
+        return _score(docs, chunk_tokens)
+
+
+def _score(docs: DataFrame, chunk_tokens: int) -> DataFrame:
+    spark = docs.sparkSession
     encoded = saved_by("chunk", [_encode(docs, chunk_tokens)], "lm_encoded")
     vocabulary = saved(_vocabulary(encoded), "lm-vocabulary", "zstd")
-    drop_shuffles(df.sparkSession)
+    drop_shuffles(spark)
     leaf = np.ones((CLASSES, CLASSES))  # a slot for unseen tokens in each
     n_all = v_all = 0
     kinds = vocabulary.where("first and c > 0").groupBy(F.expr(f"h & {CLASSES - 1}").alias("k"), F.expr(f"shiftright(h, 8) & {CLASSES - 1}").alias("s"))
     for r in kinds.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # one row a subclass
         leaf[r["k"], r["s"]] += r["n"] + r["v"]
         n_all, v_all = n_all + r["n"], v_all + r["v"]
-    counts = saved_by("chunk", [_by_chunk(vocabulary, ["c"]).select("chunk", "c")], "lm_counts")
-    drop_shuffles(df.sparkSession)
-    counted = encoded.drop("seen").join(counts, "chunk")  # joined again below: the codes are kept once
+    counts = saved_by("chunk", [_by_chunk(vocabulary, ["c"]).drop("code")], "lm_counts")
+    drop_shuffles(spark)
+    counted = encoded.drop("seen").join(counts, ["chunk", "part"], "left")  # joined again below: the codes are kept once
     features = saved(_features(counted, leaf), "lm-features")
-    drop_shuffles(df.sparkSession)
+    drop_shuffles(spark)
     often = vocabulary.where(F.col("c") >= MIN_COUNT).select("chunk", "code", "h")
     wave = F.pmod(F.xxhash64("chunk"), F.lit(WAVES))
     words = saved_by("chunk", [_by_chunk(often.where(wave == k).join(features, "h"), ["features"]).withColumnRenamed("code", "words")
@@ -562,27 +600,23 @@ def score(df: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     release(vocabulary, features)
     # Joined again in each pass, without a shuffle as all three tables lie by chunk: a third copy of
     # the chunks, or moving them in each pass, would take more disk than all the rest.
-    chunks = counted.join(words, "chunk", "left")
-    shared = df.sparkSession.sparkContext.broadcast(vars(train(chunks, Weights(leaf))))
+    chunks = counted.join(words, ["chunk", "part"], "left")
+    shared = spark.sparkContext.broadcast(vars(train(chunks, Weights(leaf))))
     rooms = np.log10(leaf)
 
-    def run(batches):
-        w = Weights.of(shared.value)
-        for chunk in _each(batches):
-            per = chunk.log_likelihood(w, slice(None))
-            seen = np.log10(chunk.counts + 1.0)
-            inside = (seen - rooms[chunk.top, chunk.sub])[chunk.codes]
-            base = (seen - math.log10(n_all + v_all + 1))[chunk.codes]
-            sums = [np.add.reduceat(x, chunk.starts) for x in (per / math.log(10) + inside, base, (chunk.counts > 0)[chunk.codes].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(chunk.ids, pa.int64()), pa.array(~chunk.learn), pa.array(chunk.sizes), pa.array(sums[2]),
-                pa.array(np.full(len(chunk.ids), n_all, np.int64)), pa.array(sums[1]), pa.array(sums[0])],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-            chunk = None
-
-    scored = chunks.select(*_COLUMNS).mapInArrow(giving_back(run), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                                                                   "base_score double, score double")
-    with _one_chunk_a_batch(df.sparkSession):
+    def run(chunk):
+        per = chunk.log_likelihood(Weights.of(shared.value), slice(None))
+        seen = np.log10(chunk.counts + 1.0)
+        inside = (seen - rooms[chunk.top, chunk.sub])[chunk.codes]
+        base = (seen - math.log10(n_all + v_all + 1))[chunk.codes]
+        sums = [np.add.reduceat(x, chunk.starts) for x in (per / math.log(10) + inside, base, (chunk.counts > 0)[chunk.codes].astype(np.int64))]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(chunk.ids, pa.int64()), pa.array(~chunk.learn), pa.array(chunk.sizes), pa.array(sums[2]),
+            pa.array(np.full(len(chunk.ids), n_all, np.int64)), pa.array(sums[1]), pa.array(sums[0])],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    scored = _over_chunks(chunks, run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    with _set(spark, *_ONE):
         return saved(scored, "lm-scores")
 
 

@@ -533,6 +533,25 @@ def test_language_model_reads_its_chunks_one_by_one(spark, monkeypatch):
     assert [tag for tag, size in seen if size == "1"] == ["lm-round"] * maxent.ROUNDS + ["lm-scores"] and spark.conf.get(name) == before != "1"
 
 
+def test_language_model_keeps_its_chunks_in_bounded_rows(spark, monkeypatch):
+    tables, kept = [], maxent.saved_by
+    monkeypatch.setattr(maxent, "saved_by", lambda *a: tables.append(kept(*a)) or tables[-1])
+    rows = [(i, " ".join([*(f"w{i * 20 + k}" for k in range(20)), "the", "end"])) for i in range(1500)] + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def scored():
+        return sorted((tuple(r) for r in maxent.score(df, F.col("doc_id") % 7 != 2).collect()), key=lambda r: r[0] or -1)
+
+    whole = scored()
+    longest = [t.agg(F.max(F.length("hashes"))).first()[0] for t in tables if "hashes" in t.columns]
+    assert longest and max(longest) < 40_000  # of 30,000 words, 240,000 bytes
+    for name, value in (("PIECE_WORDS", 700), ("PIECE_TOKENS", 1100), ("PIECE_TEXTS", 90)):
+        monkeypatch.setattr(maxent, name, value)
+    parts = scored()
+    assert len(whole) == 1501 and [r[:6] for r in parts] == [r[:6] for r in whole]
+    assert max(abs(a[6] - b[6]) for a, b in zip(parts, whole)) < 1e-4
+
+
 def test_language_model_factors_equal_the_plain_softmax():
     r = np.random.default_rng(12)
     w = maxent.Weights(r.integers(1, 50, (maxent.CLASSES, maxent.CLASSES)).astype(float))
